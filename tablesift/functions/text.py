@@ -49,6 +49,26 @@ def clean_suffix(suffix: str) -> str:
     return " ".join(kept.split())
 
 
+def _without_suffix(name: Column, suffixes: Sequence[str], word_boundary: bool = False) -> Column:
+    """Name without the first listed suffix it ends in."""
+    if not suffixes:
+        return name
+    listed = F.array(*[F.lit(s) for s in suffixes])
+
+    def cut(n: Column) -> Column:
+        def ends(s: Column) -> Column:
+            if word_boundary:
+                return (n == s) | F.endswith(n, F.concat(F.lit(" "), s))
+            return F.endswith(n, s)
+
+        hit = F.get(F.filter(listed, ends), F.lit(0))
+        kept = F.trim(F.substring(n, F.lit(1), F.length(n) - F.length(hit)))
+        return F.when(hit.isNotNull(), kept).otherwise(n)
+
+    # the one-element array binds the cleaned name, so it is computed once
+    return F.get(F.transform(F.array(name), cut), F.lit(0))
+
+
 def normalize_name(
     col: Column, suffixes: Iterable[str] | None = None, word_boundary: bool = False
 ) -> Column:
@@ -56,26 +76,14 @@ def normalize_name(
 
     ``word_boundary`` keeps ``cisco`` whole when ``co`` is a suffix.
     """
-    name = _clean(col.cast("string"))
-    stripped = name
-    for suffix in reversed([s for s in map(clean_suffix, suffixes or []) if s]):
-        ends = F.endswith(name, F.lit(suffix))
-        if word_boundary:
-            ends = (name == suffix) | F.endswith(name, F.lit(" " + suffix))
-        cut = F.trim(F.substring(name, F.lit(1), F.length(name) - len(suffix)))
-        stripped = F.when(ends, cut).otherwise(stripped)
-    return F.when(stripped != "", stripped)
+    listed = [s for s in map(clean_suffix, suffixes or []) if s]
+    name = _without_suffix(_clean(col.cast("string")), listed, word_boundary)
+    return F.nullif(name, F.lit(""))
 
 
 def strip_suffix_plain(col: Column, suffixes: Sequence[str]) -> Column:
     """Lower-case and take off the last listed suffix that matches; nothing else is cleaned."""
-    name = F.lower(col)
-    out = name
-    for suffix in suffixes:
-        low = suffix.lower()
-        cut = F.trim(F.substring(name, F.lit(1), F.length(name) - len(low)))
-        out = F.when(F.endswith(name, F.lit(low)), cut).otherwise(out)
-    return out
+    return _without_suffix(F.lower(col), [s.lower() for s in reversed(suffixes)])
 
 
 def remove_substrings(col: Column, parts: Sequence[str]) -> Column:
