@@ -91,16 +91,23 @@ def terminal_ids(step: DataFrame) -> DataFrame:
     return finished
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Every node hangs on one center, and no center hangs on another node."""
+    centers = edges.select(F.col("lo").alias("hi"))
+    if not edges.join(centers, "hi", "left_semi").isEmpty():
+        return False
+    return edges.groupBy("hi").count().where("count > 1").isEmpty()
+
+
 def connected_groups(links: DataFrame) -> DataFrame:
     """(id, group) for an undirected graph (a, b); the group is its smallest ID.
 
-    Alternates two rewirings until nothing moves: every node sends its larger
+    Alternates two rewirings until only stars are left: every node sends its larger
     neighbours, then its smaller ones, to the smallest neighbour it knows.
     """
-    edges = checkpoint(
-        links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
-    )
-    while True:
+    hi, lo = F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")
+    edges = checkpoint(links.where("a <> b").select(hi, lo).distinct())
+    while not _all_stars(edges):
         both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
         least = both.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("m"))
         least = least.select("node", F.least("node", "m").alias("m"))
@@ -111,21 +118,13 @@ def connected_groups(links: DataFrame) -> DataFrame:
             .distinct()
         )
         near = wide.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("m"))
-        linked = wide.join(near, wide["hi"] == near["node"])
-        tight = (
-            linked.select(F.explode(F.array(F.struct("hi", F.col("m").alias("lo")),
-                                            F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e"))
-            .select("e.hi", "e.lo")
+        ends = F.explode(F.array("hi", "lo")).alias("hi")
+        edges = checkpoint(
+            wide.join(near, wide["hi"] == near["node"])
+            .select(ends, F.col("m").alias("lo"))
             .where("hi <> lo")
             .distinct()
         )
-        tight = checkpoint(tight)
-        moved = tight.join(edges, ["hi", "lo"], "left_anti").isEmpty() and edges.join(
-            tight, ["hi", "lo"], "left_anti"
-        ).isEmpty()
-        edges = tight
-        if moved:
-            break
     roots = edges.select(F.col("lo").alias("id"), F.col("lo").alias("group"))
     return edges.select(F.col("hi").alias("id"), F.col("lo").alias("group")).unionByName(roots).distinct()
 
@@ -142,7 +141,7 @@ def resolve_lineage(changes: DataFrame, seeds: DataFrame | Sequence[str]) -> Lin
 
     edges = checkpoint(build_edges(changes))
     step = successors(edges)
-    ends = checkpoint(terminal_ids(step))
+    ends = terminal_ids(step)
     # every ID in the graph with its chain end; IDs without a successor are their own
     nodes = edges.select(F.col("old_id").alias("id")).union(edges.select("new_id")).distinct()
     newest = checkpoint(

@@ -46,6 +46,7 @@ from ..functions.text import (
     tokens,
 )
 from ..session import checkpoint
+from .filters import BROADCAST_BYTES
 
 BUCKETS = 4096
 _EPS = 1e-9
@@ -67,9 +68,12 @@ def _grams(text: Column, size: int) -> Column:
     )
 
 
+def _bucket(item: Column) -> Column:
+    return F.pmod(F.xxhash64(item), F.lit(BUCKETS)).cast("int")
+
+
 def _rarity(item: Column, table: bytes) -> Column:
-    bucket = F.pmod(F.xxhash64(item), F.lit(BUCKETS)).cast("int")
-    return F.hex(F.substring(F.lit(bytearray(table)), bucket + 1, F.lit(1)))
+    return F.hex(F.substring(F.lit(bytearray(table)), _bucket(item) + 1, F.lit(1)))
 
 
 class Rarity:
@@ -84,21 +88,21 @@ class Rarity:
     @classmethod
     def of(cls, names: DataFrame, column: str) -> Rarity:
         text = F.col(column)
-        items = F.array_union(
-            F.transform(F.array_union(_grams(text, 1), _grams(text, 2)), lambda g: F.struct(
-                F.lit(0).alias("kind"), F.pmod(F.xxhash64(g), F.lit(BUCKETS)).alias("bucket"))),
-            F.transform(F.array_distinct(_words(text)), lambda w: F.struct(
-                F.lit(1).alias("kind"), F.pmod(F.xxhash64(w), F.lit(BUCKETS)).alias("bucket"))),
+        grams = F.array_distinct(F.concat(_grams(text, 1), _grams(text, 2)))
+        words = F.array_distinct(_words(text))
+        buckets = F.concat(
+            F.transform(grams, _bucket), F.transform(words, lambda w: _bucket(w) + BUCKETS)
         )
         counts = (
-            names.select(F.explode(items).alias("i"))
-            .groupBy("i.kind", "i.bucket")
+            names.select(F.explode(buckets).alias("bucket"))
+            .groupBy("bucket")
             .agg(F.count("*").alias("n"))
             .collect()  # at most 2 * BUCKETS rows
         )
         tables = [bytearray(BUCKETS), bytearray(BUCKETS)]
         for row in counts:
-            tables[row["kind"]][row["bucket"]] = min(255, int(4 * math.log2(row["n"] + 1)))
+            kind, bucket = divmod(row["bucket"], BUCKETS)
+            tables[kind][bucket] = min(255, int(4 * math.log2(row["n"] + 1)))
         return cls(bytes(tables[0]), bytes(tables[1]))
 
 
@@ -214,8 +218,50 @@ def name_keys(
 
 def _within_ratio(a: Column, b: Column, c: float) -> Column:
     """Cheap necessary test for ``ratio >= c``: edits with replacements are never more."""
-    total = F.length(a) + F.length(b)
-    return F.levenshtein(a, b) <= total * (1 - c) + _EPS
+    allowed = F.floor((F.length(a) + F.length(b)) * (1 - c) + _EPS).cast("int")
+    return F.call_function("levenshtein", a, b, allowed) >= 0
+
+
+def _similar_length(a: Column, b: Column, c: float) -> Column:
+    short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
+    return short >= long * (c / (2 - c)) - _EPS
+
+
+def _wide(df: DataFrame) -> int:
+    """Partitions for work whose time, not size, counts; such a number is not merged away."""
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _candidates(searches: DataFrame, names: DataFrame, bound: str, floor: float) -> DataFrame:
+    """Distinct (search, name) pairs that share a key.
+
+    The search keys are measured: below ``BROADCAST_BYTES`` they are broadcast and the
+    reference names stay where they are, above it both sides are shuffled by key.
+    """
+    rarity = Rarity.of(names, "name")
+    left = checkpoint(name_keys(searches, "search", bound, floor, rarity, True))
+    right = name_keys(names, "name", bound, floor, rarity, False)
+    size = left.agg(F.sum(F.octet_length("search") + 32)).first()[0] or 0
+    small = size <= BROADCAST_BYTES
+    pairs = right.join(F.broadcast(left) if small else left, "key").select("search", "name")
+    if bound not in RATIO_SCORERS:
+        return pairs.distinct() if small else pairs.repartition(_wide(names), "search", "name").distinct()
+
+    c = floor / 100
+    forms = [F.col("search"), F.col("name")]
+    if bound == "token_sort_ratio":
+        forms = [F.array_join(F.array_sort(_words(f)), " ") for f in forms]
+    if bound != "token_sort_ratio":
+        pairs = pairs.where(_similar_length(*forms, c))
+    if not small:
+        # unlikely pairs go before the shuffle
+        pairs = pairs.where(_within_ratio(*forms, c)).repartition(_wide(names), "search", "name")
+        return pairs.distinct()
+    # a name's keys are all in one task, so equal pairs are merged before the test; the
+    # count in the condition keeps the optimizer from moving the test below
+    merged = pairs.groupBy("search", "name").agg(F.count("*").alias("_keys"))
+    return merged.where(F.when(F.col("_keys") > 0, _within_ratio(*forms, c))).select("search", "name")
 
 
 def qualifying_pairs(
@@ -237,20 +283,7 @@ def qualifying_pairs(
             raise ValueError("a callable scorer needs guard=(scorer name, cut-off)")
         bound, floor = guard
     floor = max(floor, _EPS)
-    rarity = Rarity.of(names, "name")
-    left = name_keys(searches, "search", bound, floor, rarity, True)
-    right = name_keys(names, "name", bound, floor, rarity, False)
-    pairs = left.join(right, "key")
-    if bound in RATIO_SCORERS:
-        forms = [F.col("search"), F.col("name")]
-        if bound == "token_sort_ratio":
-            forms = [F.array_join(F.array_sort(_words(f)), " ") for f in forms]
-        pairs = pairs.where(_within_ratio(*forms, floor / 100))
-    # a pair may share several keys; only its two texts are shuffled here.  Scoring costs
-    # time, not bytes, so the number of partitions is fixed and not merged by size
-    spark = searches.sparkSession
-    wide = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    pairs = pairs.select("search", "name").repartition(wide, "search", "name").distinct()
+    pairs = _candidates(searches, names, bound, floor)
     if callable(scorer):
         # the guard is part of the definition, not only a way to find candidates
         pairs = pairs.where(score(bound, F.col("search"), F.col("name"), floor) >= floor)
@@ -386,7 +419,8 @@ def match_names(
     search strings are one.  The prepared names and the pairs at the cut-off are
     checkpointed, so each is computed once.
     """
-    names = checkpoint(prepare_names(df, match_column, return_column, suffixes, order_by))
+    names = prepare_names(df, match_column, return_column, suffixes, order_by)
+    names = checkpoint(names.repartition(_wide(df), "name"))
     wanted = searches.select(
         normalize_name(F.col(f"`{searches.columns[0]}`"), suffixes).alias("search")
     ).where("search IS NOT NULL").distinct()
@@ -447,7 +481,9 @@ def match_names_plain(
                  F.col(match_column).alias("match")).alias("row"),
     ).where("name IS NOT NULL")
     names = checkpoint(
-        rows.groupBy("name").agg(F.min("row").alias("head"), F.max("row").alias("tail"))
+        rows.groupBy("name")
+        .agg(F.min("row").alias("head"), F.max("row").alias("tail"))
+        .repartition(_wide(df), "name")
     )
     wanted = search.alias("search")
     wanted = searches.select(wanted).where("search IS NOT NULL").distinct()

@@ -331,8 +331,9 @@ def plain_sql(removed, suffixes, every: bool) -> str:
     WITH names AS (SELECT {low('name', removed, suffixes)} AS name, name AS shown, page_id FROM ({TITLES})),
     wanted AS (SELECT DISTINCT {low('search', [], suffixes)} AS search FROM ({MISSPELLED})),
     distinct_names AS (SELECT DISTINCT name FROM names),
-    scored AS (SELECT search, name, {ratio('search', 'name')} AS score FROM wanted, distinct_names
+    near AS MATERIALIZED (SELECT search, name FROM wanted, distinct_names
                WHERE search NOT IN (SELECT name FROM names) AND {near_enough('search', 'name', 80)}),
+    scored AS MATERIALIZED (SELECT search, name, {ratio('search', 'name')} AS score FROM near),
     fuzzy AS (SELECT s.search, s.name, score, shown, page_id FROM scored s JOIN names n ON s.name = n.name WHERE score >= 80 QUALIFY {final}),
     exact AS (SELECT w.search, n.name, 100.0 AS score, shown, page_id FROM wanted w JOIN names n ON w.search = n.name {exact}),
     hits AS (SELECT * FROM fuzzy UNION ALL SELECT * FROM exact)
@@ -368,7 +369,7 @@ ORACLES: dict[str, str] = {
     "string_predicate": financials_where("total_assets > 400000"),
     "column_predicate": financials_where("o_orderstatus = 'F' AND total_assets BETWEEN 1000 AND 200000"),
     "table_function": f"SELECT entity_id, max(total_assets) AS largest, count(*) AS n FROM ({FINANCIALS}) GROUP BY entity_id",
-    "partition_function": f"SELECT o_orderkey, round(total_assets / 1e6, 6) AS millions FROM ({FINANCIALS}) WHERE total_assets > 250000",
+    "partition_function": f"SELECT o_orderkey, total_assets / 1000 AS thousands FROM ({FINANCIALS}) WHERE total_assets > 250000",
     "sample_limit": financials_where("true") + " ORDER BY o_orderkey LIMIT 1000",
     "national_id_lookup": f"SELECT entity_id, c_custkey FROM ({ENTITIES}) WHERE c_custkey IN (1, 7, 42, 99, 100, 1001)",
     "id_list_classify": f"""

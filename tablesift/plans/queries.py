@@ -139,13 +139,13 @@ def table_function(spark, sf):
 
 @query
 def partition_function(spark, sf):
-    def in_millions(batch: pd.DataFrame, floor: float) -> pd.DataFrame:
+    def in_thousands(batch: pd.DataFrame, floor: float) -> pd.DataFrame:
         batch = batch[batch["total_assets"] > floor]
-        return batch.assign(millions=(batch["total_assets"] / 1e6).round(6))[["o_orderkey", "millions"]]
+        return batch.assign(thousands=batch["total_assets"] / 1000)[["o_orderkey", "thousands"]]
 
     rows = d.financials(spark, sf).select("o_orderkey", "total_assets")
-    spec = ExtractSpec(function=in_millions, function_args=(250000.0,), scope="partition",
-                       function_schema="o_orderkey long, millions double")
+    spec = ExtractSpec(function=in_thousands, function_args=(250000.0,), scope="partition",
+                       function_schema="o_orderkey long, thousands double")
     return extract(rows, spec)
 
 
