@@ -1,0 +1,134 @@
+"""Keys of a name: any two names at or above a cut-off share one.
+
+For cut-off ``c`` (0..1), texts ``a`` and ``b`` with a longest common subsequence
+``L`` and ``ratio = 2 L / (|a| + |b|) >= c``:
+
+* ``a`` and ``b`` share at least ``L`` characters;
+* pairs of neighbouring characters, counted with a blank before and after the text, do
+  not depend on the order of words; at least ``3 L - |a| - |b| + 1`` are shared;
+* a bag of ``n`` elements that shares ``o`` with a partner has ``k`` of the shared ones
+  among its ``n - o + k`` rarest ("rare first" must only be the same on both sides);
+  names where this is a short list are looked up by two rare elements at once;
+* the lengths differ by a factor of at most ``(2 - c) / c``, so keys carry a length class;
+* a score from shared words alone needs the shared words to cover ``c / (2 - c)`` of one
+  text, so one of them is among the rare words that cannot be left out.
+
+This runs in pandas UDFs: the same rules as nested array functions took ten times as
+long, because lambdas over arrays are interpreted.
+"""
+
+from __future__ import annotations
+
+import math
+import sys
+import zlib
+from collections import Counter
+from itertools import combinations
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+BUCKETS = 4096
+EPS = 1e-9
+#: longest list of two-element keys a reference name gets; beyond it one element is a key
+MOST_PAIRS = 66
+
+
+def grams(text: str, size: int) -> list[str]:
+    if size == 1:
+        return list(text)
+    padded = f" {text} "
+    return [padded[i : i + 2] for i in range(len(padded) - 1)]
+
+
+def bucket(item: str) -> int:
+    return zlib.crc32(item.encode("utf-8", "surrogatepass")) % BUCKETS
+
+
+def bucket_counts(texts) -> Counter:
+    """Names per bucket: n-grams in the first ``BUCKETS``, words in the second."""
+    counts = Counter()
+    for text in texts:
+        counts.update({bucket(g) for g in grams(text, 1) + grams(text, 2)})
+        counts.update({BUCKETS + bucket(w) for w in text.split()})
+    return counts
+
+
+class KeyRules:
+    """Keys of a text for one scorer, cut-off and side of the join."""
+
+    def __init__(self, rarity: bytes, search: bool, edit=None, cover=None, window=None, words=False):
+        self.rarity, self.search = rarity, search
+        self.edit, self.cover, self.window, self.words = edit, cover, window, words
+        # pairs of neighbours carry information only above two thirds
+        self.size = 2 if edit is not None and edit > 2 / 3 + 1e-6 else 1
+
+    def bag(self, text: str, size: int) -> list[str]:
+        """N-grams rare first, each occurrence its own element."""
+        found = Counter(grams(text, size))
+        ranked = sorted(found, key=lambda g: (self.rarity[bucket(g)], g))
+        return [f"{g}{k}" for g in ranked for k in range(found[g])]
+
+    def shared(self, length: int) -> int:
+        """Elements of the edit bag that every qualifying partner shares."""
+        total = 2 * length / (2 - self.edit)
+        need = (1.5 * self.edit - 1) * total + 1 if self.size == 2 else self.edit / 2 * total
+        return max(1, math.ceil(need - EPS))
+
+    def prefix(self, length: int, k: int) -> int:
+        return length + self.size - 1 - self.shared(length) + k
+
+    def uses_pairs(self, length: int) -> bool:
+        return self.size == 2 and math.comb(self.prefix(length, 2), 2) <= MOST_PAIRS
+
+    def edit_keys(self, text: str) -> list[str]:
+        n = len(text)
+        bag = self.bag(text, self.size)
+        shortest = max(1, math.ceil(n * self.edit / (2 - self.edit) - EPS)) if self.search else n
+        keys = []
+        if self.uses_pairs(shortest):
+            keys += ["".join(two) for two in combinations(bag[: self.prefix(n, 2)], 2)]
+        if self.search or not keys:
+            keys += bag[: self.prefix(n, 1)]
+        step = math.log(max((2 - self.edit) / self.edit, 1.05))
+        band = int(math.log(n) / step)
+        bands = (band - 1, band, band + 1) if self.search else (band,)
+        return [f"e{b}:{key}" for b in bands for key in keys]
+
+    def both_ways(self, kind: str, few: list[str], every: list[str]) -> list[str]:
+        """One side's few elements meet all of the other side's, in both directions."""
+        mine, theirs = ("s", "r") if self.search else ("r", "s")
+        return [f"{kind}{mine}:{x}" for x in few] + [f"{kind}{theirs}:{x}" for x in every]
+
+    def cover_keys(self, text: str) -> list[str]:
+        words = sorted(set(text.split()), key=lambda w: (self.rarity[BUCKETS + bucket(w)], w))
+        need = len(" ".join(words)) * self.cover / (2 - self.cover) - EPS
+        few = [w for i, w in enumerate(words) if len(" ".join(words[i:])) >= need]
+        return self.both_ways("c", few, words)
+
+    def window_keys(self, text: str) -> list[str]:
+        total = 2 * len(text) / (2 - self.window)
+        by_pairs = math.ceil((1.5 * self.window - 1) * total - 1 - EPS)
+        by_chars = math.ceil(self.window / 2 * total - EPS)
+        pairs, chars = self.bag(text, 2), self.bag(text, 1)
+        if by_pairs >= 1:
+            few = pairs[: len(pairs) - by_pairs + 1]
+        else:
+            few = chars[: len(chars) - by_chars + 1]
+        return self.both_ways("w", few, pairs + chars)
+
+    def keys(self, forms: set[str]) -> list[str]:
+        out: set[str] = set()
+        for text in forms:
+            if not text:
+                continue
+            if self.edit is not None:
+                out.update(self.edit_keys(text))
+            if self.cover is not None:
+                out.update(self.cover_keys(text))
+            if self.window is not None:
+                out.update(self.window_keys(text))
+            if self.words:
+                out.update(f"t:{w}" for w in text.split())
+        return list(out)

@@ -1,34 +1,25 @@
 """Company-name matching as joins.
 
-Two names can only reach a cut-off when they share enough characters.  From that
-bound every name gets a short list of *keys* - rare character pairs, rare words -
-such that any pair of names at or above the cut-off shares at least one key.  One
-equi-join on the keys therefore finds every qualifying pair without comparing all
-names with all names, and nothing is capped or sampled.
-
-The bounds, for cut-off ``c`` (0..1), texts ``a`` and ``b`` with a longest common
-subsequence ``L`` and ``ratio = 2 L / (|a| + |b|) >= c``:
-
-* characters: ``a`` and ``b`` share at least ``L`` characters;
-* pairs of neighbours, counted with a blank before and after the text, do not depend
-  on the order of words, and at least ``3 L - |a| - |b| + 1`` of them are shared;
-* a bag of size ``n`` that must share ``o`` elements with a partner has one of them
-  among its ``n - o + 1`` rarest (the order "rare first" only has to be the same on
-  both sides);
-* a score from shared words alone needs the shared words to cover ``c / (2 - c)`` of
-  one text, so one of them is among the rare words that cannot be left out.
-
-Rarity comes from hashed counts of a fixed size, one byte per bucket.
+Two names can only reach a cut-off when they share enough characters or words.  From
+that bound every name gets a list of keys (``functions.name_keys``) such that any pair
+at or above the cut-off shares at least one.  One equi-join on the keys therefore finds
+every qualifying pair without comparing all names with all names, and nothing is capped
+or sampled.  Common keys are avoided by counting first: hashed counts of a fixed size
+tell rare from common.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.name_keys import BUCKETS, EPS, KeyRules, bucket_counts
 from ..functions.scorers import (
     FAR_PARTIAL_WEIGHT,
     PARTIAL_WEIGHT,
@@ -48,9 +39,6 @@ from ..functions.text import (
 from ..session import checkpoint
 from .filters import BROADCAST_BYTES
 
-BUCKETS = 4096
-_EPS = 1e-9
-
 #: scorers that are a plain ratio of two texts (as they are, or with sorted words)
 RATIO_SCORERS = {"ratio", "QRatio", "token_sort_ratio"}
 
@@ -59,172 +47,82 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
 
 
-def _grams(text: Column, size: int) -> Column:
-    """All character n-grams (pairs: with a blank before and after)."""
-    padded = F.concat(F.lit(" "), text, F.lit(" ")) if size == 2 else text
-    last = F.length(text) + (1 if size == 2 else 0)
-    return F.transform(
-        F.sequence(F.lit(1), last), lambda i: F.substring(padded, i, F.lit(size))
-    )
-
-
-def _bucket(item: Column) -> Column:
-    return F.pmod(F.xxhash64(item), F.lit(BUCKETS)).cast("int")
-
-
-def _rarity(item: Column, table: bytes) -> Column:
-    return F.hex(F.substring(F.lit(bytearray(table)), _bucket(item) + 1, F.lit(1)))
-
-
-class Rarity:
-    """Hashed counts of character n-grams and words over the reference names.
+def name_rarity(names: DataFrame, column: str) -> bytes:
+    """One byte per hash bucket, greater for more common n-grams and words.
 
-    Two arrays of ``BUCKETS`` bytes whatever the data size; one aggregate job.
+    A fixed 2 * BUCKETS bytes whatever the data size; counted per task, then added up.
     """
 
-    def __init__(self, grams: bytes, words: bytes):
-        self.grams, self.words = grams, words
-
-    @classmethod
-    def of(cls, names: DataFrame, column: str) -> Rarity:
-        text = F.col(column)
-        grams = F.array_distinct(F.concat(_grams(text, 1), _grams(text, 2)))
-        words = F.array_distinct(_words(text))
-        buckets = F.concat(
-            F.transform(grams, _bucket), F.transform(words, lambda w: _bucket(w) + BUCKETS)
-        )
-        counts = (
-            names.select(F.explode(buckets).alias("bucket"))
-            .groupBy("bucket")
-            .agg(F.count("*").alias("n"))
-            .collect()  # at most 2 * BUCKETS rows
-        )
-        tables = [bytearray(BUCKETS), bytearray(BUCKETS)]
-        for row in counts:
-            kind, bucket = divmod(row["bucket"], BUCKETS)
-            tables[kind][bucket] = min(255, int(4 * math.log2(row["n"] + 1)))
-        return cls(bytes(tables[0]), bytes(tables[1]))
-
-
-def _ordinals(ordered: str, rarity: Rarity) -> Column:
-    """Sorted n-grams to elements, rare first, each occurrence its own element."""
-    grams = F.col(ordered)
-    marked = F.transform(
-        grams,
-        lambda g, i: F.concat(
-            _rarity(g, rarity.grams), g, (i - F.array_position(grams, g)).cast("string")
-        ),
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = Counter()
+        for batch in batches:
+            total.update(bucket_counts(batch[column]))
+        yield pd.DataFrame({"bucket": list(total.keys()), "n": list(total.values())}, dtype="int64")
+
+    counts = (
+        names.select(column)
+        .mapInPandas(count, "bucket long, n long")
+        .groupBy("bucket")
+        .agg(F.sum("n").alias("n"))
+        .collect()  # at most 2 * BUCKETS rows
     )
-    return F.array_sort(marked)
-
-
-def _first(items: Column, n: Column) -> Column:
-    return F.slice(items, 1, F.greatest(F.lit(0), n.cast("int")))
-
-
-def _tag(kind: str, items: Column) -> Column:
-    return F.transform(items, lambda x: F.xxhash64(F.lit(kind), x))
-
+    table = bytearray(2 * BUCKETS)
+    for row in counts:
+        table[row["bucket"]] = min(255, int(4 * math.log2(row["n"] + 1)))
+    return bytes(table)
 
-def _ceil(col: Column) -> Column:
-    return F.ceil(col - _EPS)
 
+def key_rules(scorer: str, cut_off: float, rarity: bytes, search: bool) -> KeyRules:
+    c = cut_off / 100
+    weight = max(PARTIAL_WEIGHT, FAR_PARTIAL_WEIGHT)
+    edit = c if scorer != "partial_ratio" else None
+    cover = {"token_set_ratio": c, "token_ratio": c, "WRatio": c / TOKEN_WEIGHT}.get(scorer)
+    window = {"partial_ratio": c, "WRatio": c / weight}.get(scorer)
 
-def _edit_keys(c: float, size: int) -> Column:
-    """Keys for ``ratio >= c``, the same rule on both sides."""
-    length = F.length("form")
-    total = length * (2 / (2 - c))  # shortest possible |a| + |b|
-    if size == 2:
-        return _tag("edit", _first(F.col("pairs"), length + 2 - _ceil(total * (1.5 * c - 1) + 1)))
-    return _tag("edit", _first(F.col("chars"), length + 1 - _ceil(total * (c / 2))))
-
-
-def _cover_keys(c: float, mine: str, theirs: str) -> Column:
-    """Keys for scores from shared words: one side's rare words meet all of the other's."""
-    words = F.col("words")
-    size = F.length(F.array_join(words, " ")) * (c / (2 - c)) - _EPS
-    rare = F.filter(
-        words,
-        lambda w, i: F.length(F.array_join(F.slice(words, i + 1, F.size(words)), " ")) >= size,
-    )
-    return F.concat(_tag(f"cover-{mine}", rare), _tag(f"cover-{theirs}", words))
-
+    def reachable(x: float | None) -> float | None:
+        return None if x is None or x > 1 + EPS else min(x, 1.0)
 
-def _window_keys(c: float, mine: str, theirs: str) -> Column:
-    """Keys for ``partial_ratio >= c``: the shorter text's rare n-grams meet all of the longer's."""
-    length = F.length("form")
-    total = length * (2 / (2 - c))
-    by_pairs = _ceil(total * (1.5 * c - 1) - 1)
-    by_chars = _ceil(total * (c / 2))
-    as_short = F.when(
-        by_pairs >= 1, _first(F.col("pairs"), length + 2 - by_pairs)
-    ).otherwise(_first(F.col("chars"), length + 1 - by_chars))
-    every = F.concat("pairs", "chars")
-    return F.concat(_tag(f"window-{mine}", as_short), _tag(f"window-{theirs}", every))
+    words = scorer == "WRatio" and c <= TOKEN_WEIGHT * weight + EPS
+    return KeyRules(rarity, search, reachable(edit), reachable(cover), reachable(window), words)
 
 
 def name_keys(
-    df: DataFrame, column: str, scorer: str, cut_off: float, rarity: Rarity, search: bool
+    df: DataFrame, column: str, scorer: str, cut_off: float, rarity: bytes, search: bool
 ) -> DataFrame:
     """(column, key) rows; every pair scoring >= cut_off shares a key.
 
     A text is looked at as it is, with single blanks, and without repeated words, as
-    far as the scorer does; these forms are mostly equal, and equal forms are one row.
+    far as the scorer does; these forms are mostly equal.
     """
-    c = cut_off / 100
-    text = F.col(column)
-    single = F.array_join(_words(text), " ")
-    unique = F.array_join(F.array_distinct(_words(text)), " ")
-    weight = max(PARTIAL_WEIGHT, FAR_PARTIAL_WEIGHT)
-    forms = {
-        "ratio": [text],
-        "QRatio": [text],
-        "partial_ratio": [text],
-        "token_sort_ratio": [single],
-        "token_set_ratio": [unique],
-        "token_ratio": [single, unique],
-    }.get(scorer, [text, single, unique])
-    edit = c if scorer != "partial_ratio" else None
-    cover = {"token_set_ratio": c, "token_ratio": c, "WRatio": c / TOKEN_WEIGHT}.get(scorer)
-    window = {"partial_ratio": c, "WRatio": c / weight}.get(scorer)
-    mine, theirs = ("s", "r") if search else ("r", "s")
-    # pairs carry information only above two thirds
-    size = 2 if c > 2 / 3 + 1e-6 else 1
-
-    keys = []
-    if edit is not None and edit <= 1 + _EPS:
-        keys.append(_edit_keys(edit, size))
-    if cover is not None and cover <= 1 + _EPS:
-        keys.append(_cover_keys(cover, mine, theirs))
-    if window is not None and window <= 1 + _EPS:
-        keys.append(_window_keys(window, mine, theirs))
-    if scorer == "WRatio" and c <= TOKEN_WEIGHT * weight + _EPS:
-        keys.append(_tag("word", F.col("words")))
-    if not keys:  # the cut-off is above 100
-        return df.select(column, F.lit(0).cast("long").alias("key")).where("false")
-
-    marked = F.transform(
-        F.array_distinct(_words(F.col("form"))), lambda w: F.concat(_rarity(w, rarity.words), w)
-    )
-    out = df.select(column, F.explode(F.array_distinct(F.array(*forms))).alias("form"))
-    # steps that a lambda or several keys read are columns of their own, computed once
-    out = out.withColumns(
-        {"_pairs": F.array_sort(_grams(F.col("form"), 2)), "_chars": F.array_sort(_grams(F.col("form"), 1)),
-         "words": F.transform(F.array_sort(marked), lambda w: F.substring(w, F.lit(3), F.length(w)))}
-    )
-    out = out.withColumns({"pairs": _ordinals("_pairs", rarity), "chars": _ordinals("_chars", rarity)})
-    return out.select(column, F.explode(F.array_distinct(F.concat(*keys))).alias("key"))
+    rules = key_rules(scorer, cut_off, rarity, search)
+    plain = scorer in ("ratio", "QRatio", "partial_ratio", "WRatio")
+    single = scorer in ("token_sort_ratio", "token_ratio", "WRatio")
+    unique = scorer in ("token_set_ratio", "token_ratio", "WRatio")
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def keys(texts: pd.Series) -> pd.Series:
+        out = []
+        for text in texts:
+            words = text.split()
+            forms = {text} if plain else set()
+            forms |= {" ".join(words)} if single else set()
+            forms |= {" ".join(dict.fromkeys(words))} if unique else set()
+            out.append(rules.keys(forms))
+        return pd.Series(out)
+
+    exploded = df.select(column, F.explode(keys(F.col(column))).alias("key"))
+    return exploded.select(column, F.xxhash64("key").alias("key"))
 
 
 def _within_ratio(a: Column, b: Column, c: float) -> Column:
     """Cheap necessary test for ``ratio >= c``: edits with replacements are never more."""
-    allowed = F.floor((F.length(a) + F.length(b)) * (1 - c) + _EPS).cast("int")
+    allowed = F.floor((F.length(a) + F.length(b)) * (1 - c) + EPS).cast("int")
     return F.call_function("levenshtein", a, b, allowed) >= 0
 
 
 def _similar_length(a: Column, b: Column, c: float) -> Column:
     short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
-    return short >= long * (c / (2 - c)) - _EPS
+    return short >= long * (c / (2 - c)) - EPS
 
 
 def _wide(df: DataFrame) -> int:
@@ -239,7 +137,7 @@ def _candidates(searches: DataFrame, names: DataFrame, bound: str, floor: float)
     The search keys are measured: below ``BROADCAST_BYTES`` they are broadcast and the
     reference names stay where they are, above it both sides are shuffled by key.
     """
-    rarity = Rarity.of(names, "name")
+    rarity = name_rarity(names, "name")
     left = checkpoint(name_keys(searches, "search", bound, floor, rarity, True))
     right = name_keys(names, "name", bound, floor, rarity, False)
     size = left.agg(F.sum(F.octet_length("search") + 32)).first()[0] or 0
@@ -282,7 +180,7 @@ def qualifying_pairs(
         if guard is None:
             raise ValueError("a callable scorer needs guard=(scorer name, cut-off)")
         bound, floor = guard
-    floor = max(floor, _EPS)
+    floor = max(floor, EPS)
     pairs = _candidates(searches, names, bound, floor)
     if callable(scorer):
         # the guard is part of the definition, not only a way to find candidates

@@ -88,7 +88,7 @@ def test_callable_scorer_needs_a_guard(spark):
     assert [r.entity_id for r in got.collect()] == ["E1"]
 
 
-WORDS = ["acme", "limited", "group", "nord", "bank", "of", "the", "x", "inc", "öl", "holding", "a", "日本"]
+WORDS = ["acme", "limited", "group", "nord", "bank", "of", "the", "x", "inc", "öl", "holding", "a", "日本", "𝒳 corp", "steel"]
 
 
 def some_names(rnd, n):
@@ -103,7 +103,7 @@ def some_names(rnd, n):
 
 
 @pytest.mark.parametrize("scorer,cut_off", [
-    ("ratio", 55), ("ratio", 90), ("WRatio", 60), ("WRatio", 90.1), ("partial_ratio", 75),
+    ("ratio", 55), ("ratio", 80), ("ratio", 90), ("ratio", 95), ("token_sort_ratio", 95), ("WRatio", 60), ("WRatio", 90.1), ("partial_ratio", 75),
     ("token_sort_ratio", 80), ("token_set_ratio", 85), ("token_ratio", 70), ("QRatio", 100)])
 def test_keys_find_every_qualifying_pair(spark, scorer, cut_off):
     rnd = random.Random(cut_off)
