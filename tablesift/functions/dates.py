@@ -78,7 +78,9 @@ def parse_date(col: Column) -> Column:
     """
     text = F.trim(col.cast("string"))
     generic = F.when(F.rlike(text, F.lit(GENERIC_SHAPE)), text.try_cast("timestamp"))
-    return F.coalesce(generic, *[parse_format(text, f) for f in DATE_FORMATS])
+    parsed = F.coalesce(generic, *[parse_format(text, f) for f in DATE_FORMATS])
+    # text that does not begin with a digit is no date in any format
+    return F.when(F.rlike(text, F.lit(r"^\d")), parsed)
 
 
 def as_timestamp(col: Column, dtype: T.DataType) -> Column:

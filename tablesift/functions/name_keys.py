@@ -7,11 +7,13 @@ For cut-off ``c`` (0..1), texts ``a`` and ``b`` with a longest common subsequenc
 * pairs of neighbouring characters, counted with a blank before and after the text, do
   not depend on the order of words; at least ``3 L - |a| - |b| + 1`` are shared;
 * a bag of ``n`` elements that shares ``o`` with a partner has ``k`` of the shared ones
-  among its ``n - o + k`` rarest ("rare first" must only be the same on both sides);
+  among its ``n - o + k`` rarest ("rare first" must only be the same on both sides), so
+  one shared rare element is not enough: each counts 1/k, and the sum must reach 1;
   names where this is a short list are looked up by two rare elements at once;
 * the lengths differ by a factor of at most ``(2 - c) / c``, so keys carry a length class;
 * a score from shared words alone needs the shared words to cover ``c / (2 - c)`` of one
-  text, so one of them is among the rare words that cannot be left out.
+  text; its common words make up at most half of that, so the rare words must cover the
+  rest, each counting by its length.
 
 This runs in pandas UDFs: the same rules as nested array functions took ten times as
 long, because lambdas over arrays are interpreted.
@@ -33,6 +35,8 @@ BUCKETS = 4096
 EPS = 1e-9
 #: longest list of two-element keys a reference name gets; beyond it one element is a key
 MOST_PAIRS = 66
+#: rare elements two names must share, where their length allows it
+MOST_SHARED = 8
 
 
 def grams(text: str, size: int) -> list[str]:
@@ -55,6 +59,11 @@ def bucket_counts(texts) -> Counter:
     return counts
 
 
+def weighted(weight: float, key: str) -> str:
+    """The key led by its weight, rounded up, at most 1."""
+    return f"{min(1.0, math.ceil(weight * 1e6) / 1e6):.6f}{key}"
+
+
 class KeyRules:
     """Keys of a text for one scorer, cut-off and side of the join."""
 
@@ -88,37 +97,46 @@ class KeyRules:
         shortest = max(1, math.ceil(n * self.edit / (2 - self.edit) - EPS)) if self.search else n
         keys = []
         if self.uses_pairs(shortest):
-            keys += ["".join(two) for two in combinations(bag[: self.prefix(n, 2)], 2)]
+            keys += [(1, "".join(two)) for two in combinations(bag[: self.prefix(n, 2)], 2)]
         if self.search or not keys:
-            keys += bag[: self.prefix(n, 1)]
+            k = min(MOST_SHARED, self.shared(n))
+            keys += [(k, x) for x in bag[: self.prefix(n, k)]]
         step = math.log(max((2 - self.edit) / self.edit, 1.05))
         band = int(math.log(n) / step)
         bands = (band - 1, band, band + 1) if self.search else (band,)
-        return [f"e{b}:{key}" for b in bands for key in keys]
+        return [weighted(1 / k, f"e{b}:{key}") for b in bands for k, key in keys]
 
-    def both_ways(self, kind: str, few: list[str], every: list[str]) -> list[str]:
+    def both_ways(self, kind: str, few: dict[str, float], every: list[str]) -> list[str]:
         """One side's few elements meet all of the other side's, in both directions."""
         mine, theirs = ("s", "r") if self.search else ("r", "s")
-        return [f"{kind}{mine}:{x}" for x in few] + [f"{kind}{theirs}:{x}" for x in every]
+        out = [weighted(w, f"{kind}{mine}:{x}") for x, w in few.items()]
+        return out + [weighted(0, f"{kind}{theirs}:{x}") for x in every]
 
     def cover_keys(self, text: str) -> list[str]:
         words = sorted(set(text.split()), key=lambda w: (self.rarity[BUCKETS + bucket(w)], w))
-        need = len(" ".join(words)) * self.cover / (2 - self.cover) - EPS
-        few = [w for i, w in enumerate(words) if len(" ".join(words[i:])) >= need]
-        return self.both_ways("c", few, words)
+        rest = sum(len(w) + 1 for w in words)
+        need = (rest - 1) * self.cover / (2 - self.cover) + 1 - EPS
+        few = []
+        for word in words:
+            if rest <= need / 2:
+                break
+            few.append(word)
+            rest -= len(word) + 1
+        share = {w: (len(w) + 1) / (need - rest) for w in few}
+        return self.both_ways("c", share, words)
 
     def window_keys(self, text: str) -> list[str]:
         total = 2 * len(text) / (2 - self.window)
         by_pairs = math.ceil((1.5 * self.window - 1) * total - 1 - EPS)
-        by_chars = math.ceil(self.window / 2 * total - EPS)
+        by_chars = max(1, math.ceil(self.window / 2 * total - EPS))
         pairs, chars = self.bag(text, 2), self.bag(text, 1)
-        if by_pairs >= 1:
-            few = pairs[: len(pairs) - by_pairs + 1]
-        else:
-            few = chars[: len(chars) - by_chars + 1]
+        bag, need = (pairs, by_pairs) if by_pairs >= 1 else (chars, by_chars)
+        k = min(MOST_SHARED, need)
+        few = dict.fromkeys(bag[: len(bag) - need + k], 1 / k)
         return self.both_ways("w", few, pairs + chars)
 
     def keys(self, forms: set[str]) -> list[str]:
+        """Keys, each led by its weight in eight characters."""
         out: set[str] = set()
         for text in forms:
             if not text:
@@ -130,5 +148,5 @@ class KeyRules:
             if self.window is not None:
                 out.update(self.window_keys(text))
             if self.words:
-                out.update(f"t:{w}" for w in text.split())
+                out.update(weighted(1, f"t:{w}") for w in text.split())
         return list(out)

@@ -89,7 +89,7 @@ def key_rules(scorer: str, cut_off: float, rarity: bytes, search: bool) -> KeyRu
 def name_keys(
     df: DataFrame, column: str, scorer: str, cut_off: float, rarity: bytes, search: bool
 ) -> DataFrame:
-    """(column, key) rows; every pair scoring >= cut_off shares a key.
+    """(column, key, weight) rows; weights of the keys a pair at the cut-off shares add up to 1.
 
     A text is looked at as it is, with single blanks, and without repeated words, as
     far as the scorer does; these forms are mostly equal.
@@ -111,7 +111,9 @@ def name_keys(
         return pd.Series(out)
 
     exploded = df.select(column, F.explode(keys(F.col(column))).alias("key"))
-    return exploded.select(column, F.xxhash64("key").alias("key"))
+    weight = F.substring("key", 1, 8).cast("double")
+    key = F.expr("xxhash64(substring(key, 9))")
+    return exploded.select(column, key.alias("key"), weight.alias("weight"))
 
 
 def _within_ratio(a: Column, b: Column, c: float) -> Column:
@@ -132,7 +134,7 @@ def _wide(df: DataFrame) -> int:
 
 
 def _candidates(searches: DataFrame, names: DataFrame, bound: str, floor: float) -> DataFrame:
-    """Distinct (search, name) pairs that share a key.
+    """Distinct (search, name) pairs that share enough keys.
 
     The search keys are measured: below ``BROADCAST_BYTES`` they are broadcast and the
     reference names stay where they are, above it both sides are shuffled by key.
@@ -140,26 +142,27 @@ def _candidates(searches: DataFrame, names: DataFrame, bound: str, floor: float)
     rarity = name_rarity(names, "name")
     left = checkpoint(name_keys(searches, "search", bound, floor, rarity, True))
     right = name_keys(names, "name", bound, floor, rarity, False)
-    size = left.agg(F.sum(F.octet_length("search") + 32)).first()[0] or 0
+    size = left.agg(F.sum(F.octet_length("search") + 40)).first()[0] or 0
     small = size <= BROADCAST_BYTES
-    pairs = right.join(F.broadcast(left) if small else left, "key").select("search", "name")
-    if bound not in RATIO_SCORERS:
-        return pairs.distinct() if small else pairs.repartition(_wide(names), "search", "name").distinct()
+    left = left.withColumnRenamed("weight", "_weight")
+    pairs = right.join(F.broadcast(left) if small else left, "key")
+    pairs = pairs.select("search", "name", F.greatest("weight", "_weight").alias("weight"))
 
     c = floor / 100
     forms = [F.col("search"), F.col("name")]
     if bound == "token_sort_ratio":
         forms = [F.array_join(F.array_sort(_words(f)), " ") for f in forms]
-    if bound != "token_sort_ratio":
+    elif bound in RATIO_SCORERS:
         pairs = pairs.where(_similar_length(*forms, c))
     if not small:
-        # unlikely pairs go before the shuffle
-        pairs = pairs.where(_within_ratio(*forms, c)).repartition(_wide(names), "search", "name")
-        return pairs.distinct()
-    # a name's keys are all in one task, so equal pairs are merged before the test; the
-    # count in the condition keeps the optimizer from moving the test below
-    merged = pairs.groupBy("search", "name").agg(F.count("*").alias("_keys"))
-    return merged.where(F.when(F.col("_keys") > 0, _within_ratio(*forms, c))).select("search", "name")
+        # scoring costs time, not bytes: enough partitions whatever the size
+        pairs = pairs.repartition(_wide(names), "search", "name")
+    found = pairs.groupBy("search", "name").agg(F.sum("weight").alias("weight"))
+    enough = F.col("weight") >= 1 - 1e-6
+    if bound in RATIO_SCORERS:
+        # one condition, so that the costly test stays above the aggregate
+        enough = F.when(enough, _within_ratio(*forms, c))
+    return found.where(enough).select("search", "name")
 
 
 def qualifying_pairs(
