@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import contains_word, snapshot_product, snapshot_timestamp, table_name_from_file
@@ -141,6 +141,8 @@ def new_files(listing: DataFrame, processed: DataFrame) -> DataFrame:
 
 
 def keep_last(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
-    """Last row per key in the order of a column."""
-    ranked = Window.partitionBy(*keys).orderBy(F.col(order_by).desc_nulls_last())
-    return df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
+    """Last row per key in the order of a column; an aggregate, so hot keys combine early."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    order = F.struct(F.col(order_by).isNotNull(), F.col(order_by))
+    last = df.groupBy(*keys).agg(F.max_by(row, order).alias("_row"))
+    return last.select("_row.*")

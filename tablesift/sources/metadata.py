@@ -117,14 +117,15 @@ def search_country_codes(
 def resolve_id_column(dictionary: DataFrame, word: str | None = None) -> str:
     """The one ID column a search finds; several need an exact name."""
     found = search_dictionary(dictionary, word, columns=["Column"]) if word else dictionary
-    names = [r["Column"] for r in found.select("Column").distinct().limit(1_000).collect()]
-    if not names:
+    names = found.select("Column").distinct()
+    some = [r["Column"] for r in names.orderBy("Column").limit(10).collect()]
+    if not some:
         raise ValueError("no ID column found for this table")
-    if len(names) == 1:
-        return names[0]
-    if word in names:
+    if len(some) == 1:
+        return some[0]
+    if word and not names.where(F.col("Column") == word).isEmpty():
         return word
-    raise ValueError(f"several ID columns found, name one of {sorted(names)}")
+    raise ValueError(f"several ID columns found, name one; the first are {some}")
 
 
 def normalize_headings(headings: DataFrame, column: str = "heading") -> DataFrame:

@@ -111,6 +111,8 @@ def test_products_labels_files(spark, tmp_path):
     cat = catalog.build_catalog(catalog.entries_from_files(files, root))
     assert rows(cat, "Table") == [("t1",), ("t2",)] and rows(cat, "`Data Product`") == [("P",)] * 2
     assert catalog.new_files(files, files.limit(1)).count() == 1
+    kept = catalog.keep_last(spark.createDataFrame([("a", 1), ("a", 2), ("b", None)], "k string, v int"), ["k"], "v")
+    assert rows(kept, "k", "v") == [("a", 2), ("b", None)]
     listed = spark.createDataFrame([("/d/a.csv",), ("/d/b.csv",), ("/e/p1.parquet",), ("/f/only.csv",)], "path string")
     assert rows(catalog.select_table_files(listed, "a"), "path") == [("/d/a.csv",), ("/e/p1.parquet",), ("/f/only.csv",)]
 
