@@ -115,6 +115,12 @@ def test_keys_find_every_qualifying_pair(spark, scorer, cut_off):
     assert got == {(a, b): fn(a, b) for a in left for b in right if fn(a, b) >= cut_off}
 
 
+@pytest.mark.parametrize("scorer,cut_off", [("ratio", 80), ("token_sort_ratio", 75), ("WRatio", 80)])
+def test_shuffled_keys_give_the_same_pairs(spark, monkeypatch, scorer, cut_off):
+    monkeypatch.setattr("tablesift.operators.names.BROADCAST_BYTES", -1)
+    test_keys_find_every_qualifying_pair(spark, scorer, cut_off)
+
+
 def tiers(search, refs):
     """The tiers of one search name, by direct comparison with every name."""
     def key(s, n):
