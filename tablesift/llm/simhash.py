@@ -192,6 +192,7 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5) -> DataFrame:
     linked = linked.join(named, F.col("group") == F.col("g")).select(F.col("fp").alias("f"), "named")
     classes = distinct.join(linked, F.col("fp") == F.col("f"), "left").select(
         F.col("fp").alias("key"), F.when(F.col("f").isNull(), F.col("first_doc")).otherwise(F.col("named")).alias("component_id"))
+    classes = saved(classes, "classes")  # apart from the join below, so that a hot fingerprint's rows can be split there
     text = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return prints.join(classes, F.col("fp") == F.col("key")).select(
         *[F.col(f"`{c}`") for c in kept], text, "component_id")
