@@ -4,16 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import packing, simhash
 from .common import table
 
+VOCABULARY = {
+    "json_path": public_tokenizers.path("byte_bpe_50k.json"),
+    "ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    "pattern": public_tokenizers.PATTERN,
+}
+
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicate_groups(docs, words=4)
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash}
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = packing.tokenize(docs, **VOCABULARY).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(pieces)
+
+
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
+    "op6_best_fit_packing": op6_best_fit_packing,
+}
 LLM_ORACLES: dict[str, str] = {}
