@@ -51,7 +51,8 @@ def key_rank(df: DataFrame, group: list[str], order: Column, ties: list[Column],
     before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     named = [F.col(c).alias(f"_g{i}") for i, c in enumerate(group)]
-    sizes = sizes.select(*named, F.col("_range").alias("_r"), "_before")
+    # saved, as the rows below must not be dealt by the group alone, which these are
+    sizes = saved(sizes.select(*named, F.col("_range").alias("_r"), "_before"), "sizes")
     same = F.col("_range") == F.col("_r")
     for i, c in enumerate(group):
         same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash
+from . import packing, quality, simhash
 from .common import table
 
+THRESHOLD = 0.3
 VOCABULARY = {
     "json_path": public_tokenizers.path("byte_bpe_50k.json"),
     "ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -23,6 +24,17 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(docs, words=4)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels, label="quality", folds=5, fold=0)
+    scored = quality.score_documents(docs.select("doc_id", "text"), model)
+    return judged(scored, quality.held_out(F.col("doc_id"), 5, 0))
+
+
+def judged(scored: DataFrame, held_out: Column) -> DataFrame:
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
@@ -34,6 +46,7 @@ def packed(docs: DataFrame) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_quality": op3_quality,
     "op6_best_fit_packing": op6_best_fit_packing,
 }
 LLM_ORACLES: dict[str, str] = {}
