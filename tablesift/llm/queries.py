@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, simhash
+from . import packing, quality, simhash, toxicity
 from .common import table
 
 THRESHOLD = 0.3
@@ -44,9 +44,17 @@ def packed(docs: DataFrame) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels, label="toxic", folds=4, fold=2)
+    scored = toxicity.score_documents(docs.select("doc_id", "text"), model)
+    return judged(scored, quality.held_out(F.col("doc_id"), 4, 2))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_quality": op3_quality,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op9_toxicity": op9_toxicity,
 }
 LLM_ORACLES: dict[str, str] = {}
