@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, simhash, toxicity
+from . import lines, mixing, packing, quality, simhash, toxicity
 from .common import table
 
 THRESHOLD = 0.3
+#: Shares of the mixture: the largest source is held to a fifth, the others get equal parts.
+TARGET_WEIGHTS = {"src0": 0.2} | {f"src{k}": 0.8 / 19 for k in range(1, 20)}
 VOCABULARY = {
     "json_path": public_tokenizers.path("byte_bpe_50k.json"),
     "ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -35,6 +37,20 @@ def judged(scored: DataFrame, held_out: Column) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its line count and the numbers of the removed lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    gone = lines.removed_lines(docs).select(F.col("_key.id").alias("id"), F.concat_ws(",", "lines").alias("removed"), F.size("lines").alias("n"))
+    rows = docs.select("doc_id", F.size(F.split("text", "\n")).alias("line_count")).join(gone, F.col("doc_id") == F.col("id"), "left")
+    return rows.select("doc_id", "line_count", F.coalesce("n", F.lit(0)).alias("removed_count"), F.coalesce("removed", F.lit("")).alias("removed"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its stream, block and place in the mixture."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), TARGET_WEIGHTS)
+    return mixed.select("doc_id", "source", "stream", "block", "block_position", "position")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
@@ -54,7 +70,28 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_quality": op3_quality,
+    "op5_line_dedup": op5_line_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op9_toxicity": op9_toxicity,
+    "op10_mixing": op10_mixing,
 }
-LLM_ORACLES: dict[str, str] = {}
+LINE_SQL = r"""
+WITH rows_ AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                      unnest(range(len(string_split(text, chr(10))))) AS no FROM documents),
+words AS (SELECT DISTINCT doc_id, no, w FROM (
+    SELECT doc_id, no, unnest(string_split(translate(lower(line), chr(9) || chr(13) || chr(12) || chr(11), '    '), ' ')) AS w FROM rows_) WHERE w <> ''),
+sizes AS (SELECT doc_id, no, list_sort(list(w)) AS ws, count(*) AS n FROM words GROUP BY ALL),
+sets AS (SELECT ws, any_value(n) AS n, min((doc_id, no)) AS first, row_number() OVER () AS c FROM sizes GROUP BY ws),
+member AS (SELECT c, n, first, unnest(ws) AS w FROM sets),
+rarity AS (SELECT w, count(*) AS df FROM member GROUP BY w),
+placed AS (SELECT c, n, first, w, row_number() OVER (PARTITION BY c ORDER BY df, w) AS at FROM member JOIN rarity USING (w)),
+prefix AS (SELECT * FROM placed WHERE at <= n - ceil(0.8 * n) + 1),
+pairs AS (SELECT DISTINCT a.c AS a, b.c AS b FROM prefix a JOIN prefix b ON a.w = b.w AND b.first < a.first AND 4 * a.n <= 5 * b.n AND 4 * b.n <= 5 * a.n),
+matched AS (SELECT DISTINCT p.a AS c FROM pairs p JOIN sets x ON x.c = p.a JOIN sets y ON y.c = p.b
+    WHERE 9 * len(list_intersect(x.ws, y.ws)) >= 4 * (x.n + y.n)),
+gone AS (SELECT doc_id, no FROM sizes JOIN sets USING (ws) WHERE (doc_id, no) <> first OR c IN (SELECT c FROM matched)),
+listed AS (SELECT doc_id, string_agg(no::VARCHAR, ',' ORDER BY no) AS removed, count(*)::INTEGER AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, len(string_split(d.text, chr(10)))::INTEGER AS line_count, coalesce(n, 0)::INTEGER AS removed_count, coalesce(removed, '') AS removed
+FROM documents d LEFT JOIN listed USING (doc_id)
+"""
+LLM_ORACLES: dict[str, str] = {"op5_line_dedup": LINE_SQL}
