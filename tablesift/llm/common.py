@@ -25,7 +25,7 @@ def saved(df: DataFrame, kind: str = "table") -> DataFrame:
     """The frame, written to the shared folder and read again: cuts the lineage, and
     what was computed survives the loss of the executors that computed it."""
     path = new_folder(df.sparkSession, kind)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

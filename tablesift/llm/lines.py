@@ -2,160 +2,149 @@
 
 A line is the set of its words (runs of other than white space, in small letters). Two
 lines match at a Jaccard similarity of ``4/5`` or more, and a line is removed if a line
-before it, in the order of (doc_id, row hash, line number), matches it.
+before it, in the order of (doc_id, line number), matches it.
 
 **Classes.** Lines with the same set form a class; only a class's first line enters the
 join, all its other lines match that one. So the most common line costs one row.
 
-**Prefix join.** Words become 32-bit codes that sort by rarity: the upper bits are the
-rank of the word's bucket (one of 16,384) by corpus count, the lower ones further hash bits.
-Two sets of sizes n and m at 4/5 share at least (4n+4)/5 codes of the larger, so they share
-one of the rarest n/5+1 codes of each. Prefix codes that only one class has are dropped.
-The others are joined on the code with the length filter (4/5 n <= m <= 5/4 n) and the
-positional filter (what is left after the two positions suffices). Candidates are verified
-by their codes, and those that pass by the words themselves: hash collisions add work,
-never results, as codes are kept with repetitions.
+**Prefix join.** Words become 63-bit codes that sort by rarity: first the rank of the
+word's bucket (one of 16,384) by corpus count, then hash bits. Two sets of sizes n and m
+that match share one of the rarest n - ceil(4n/5) + 1 codes of each. Those prefix codes
+(their upper 32 bits, as a collision here only adds a candidate) are dealt out; codes that
+only one class has are dropped, the others are joined with the length filter
+(4/5 n <= m <= 5/4 n) and the positional filter (what is left after the two positions
+suffices). Candidates are verified by their words.
 
 **Hot codes.** Where more than ``HOT`` classes of one length share a code (near copies),
 each is first compared with the earliest of them. Those that match it are settled (one
 earlier match is all it takes) and don't probe again, so a group of near copies costs a
-row for each member, not for each pair. All steps are aggregates with map-side combine
-or joins that adaptive execution can split.
+row for each member, not for each pair.
 
-Null and empty texts stay as they are, as do lines without words. Rows equal in all
-columns are one document: each of them keeps or loses the same lines. A null doc_id comes
-last. Only built-in functions are used.
+Null and empty texts stay as they are, as do lines without words. doc_id must be a whole
+number (below 2^39, and a text below 2^24 lines, else the job fails); a null one comes
+last. Lines at the same place of rows that share a doc_id are not earlier than each other;
+rows equal in all columns keep or lose the same lines. Only built-in functions are used.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import require, saved
 
 BITS = 14
 BUCKETS = 1 << BITS
 HOT = 40
+LINES = 1 << 24
 
 
 def words_of(line: Column) -> Column:
-    plain = F.translate(F.lower(line), "\t\r\f\v", "    ")
-    return F.array_distinct(F.array_remove(F.split(plain, " "), ""))
+    plain = F.lower(line)
+    for space in "\t\r\f\v":
+        plain = F.replace(plain, F.lit(space), F.lit(" "))
+    return F.split(plain, " ")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """_key (order of the document), no (line number) and words of each line with words."""
+    """doc_id, hash (of the row), no (line number) and line."""
     every = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), every.alias("hash"))
-    lines = docs.select(key.alias("_key"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    return lines.select("_key", "no", words_of(F.col("line")).alias("words")).where(F.size("words") > 0)
+    return docs.select("doc_id", every.alias("hash"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
 
 
-def _ranks(lines: DataFrame) -> Column:
-    """The rank by count of each of the buckets, a constant array."""
-    word = lines.select(F.explode("words").alias("w"))
-    counts = word.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1).cast("long")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    seen = {r["bucket"]: r["n"] for r in counts.collect()}  # BUCKETS rows at most
-    ranks = {b: i - BUCKETS // 2 for i, b in enumerate(sorted(range(BUCKETS), key=lambda b: (seen.get(b, 0), b)))}
-    return F.split(F.lit(",".join(str(ranks[b]) for b in range(BUCKETS))), ",").cast("array<int>")
-
+def _place() -> Column:
+    """The order of lines as one number."""
+    late = F.when(F.col("no") >= LINES, F.raise_error(F.lit("too many lines in a text"))).otherwise(F.col("no").cast("long"))
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 39) - 1)) * LINES + late
 
-def _coded(lines: DataFrame, ranks: Column) -> DataFrame:
-    """Lines with their class (two longs) and codes, rarest first."""
-    hashes = F.sort_array(F.transform("words", lambda w: F.xxhash64(w)))
-    coded = lines.withColumn("hashes", hashes)
-
-    def code(h: Column) -> Column:
-        low = F.shiftrightunsigned(h, BITS).bitwiseAND(F.lit((1 << 32 - BITS) - 1).cast("long")).cast("int")
-        return F.shiftleft(ranks[h.bitwiseAND(F.lit(BUCKETS - 1).cast("long")).cast("int")], 32 - BITS).bitwiseOR(low)
 
-    return coded.select("_key", "no", F.xxhash64("hashes").alias("c1"), F.xxhash64(F.lit(1), "hashes").alias("c2"),
-                        F.sort_array(F.transform("hashes", code)).alias("codes"))
+def _bucket(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(BUCKETS - 1).cast("long"))
 
 
-def _overlap_enough(a: str, b: str) -> Column:
-    """Code multisets that may be 4/5 similar; repeated codes are collisions and counted as shared."""
-    shared = F.size(F.array_intersect(a, b))
-    spare = F.least(F.size(a) - F.size(F.array_distinct(a)), F.size(b) - F.size(F.array_distinct(b)))
-    return (shared + spare) * 9 >= (F.size(a) + F.size(b)) * 4
+def _ranks(docs: DataFrame) -> Column:
+    """The rank by count of each of the buckets, a constant array."""
+    word = docs.select(F.explode(words_of(F.replace("text", F.lit("\n"), F.lit(" ")))).alias("w")).where("w <> ''")
+    counts = word.groupBy(_bucket(F.xxhash64("w")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    seen = {r["bucket"]: r["n"] for r in counts.collect()}  # BUCKETS rows at most
+    ranks = {b: i for i, b in enumerate(sorted(range(BUCKETS), key=lambda b: (seen.get(b, 0), b)))}
+    return F.split(F.lit(",".join(str(ranks[b]) for b in range(BUCKETS))), ",").cast("array<bigint>")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """cid of the classes for which a pair (cid, earlier) passes by its codes."""
-    small = classes.select(F.col("cid").alias("k"), "codes")
-    both = pairs.join(small.select(F.col("k").alias("k1"), F.col("codes").alias("a")), F.col("cid") == F.col("k1"))
-    both = both.join(small.select(F.col("k").alias("k2"), F.col("codes").alias("b")), F.col("earlier") == F.col("k2"))
-    return both.where(_overlap_enough("a", "b")).select("cid", "earlier")
+def _coded(lines: DataFrame, ranks: Column) -> DataFrame:
+    """doc_id, hash, no, class (c1, c2), n and the prefix codes of each line with words."""
+    def code(w: Column) -> Column:
+        h = F.xxhash64(w)
+        return F.shiftleft(ranks[_bucket(h).cast("int")], 63 - BITS).bitwiseOR(F.shiftrightunsigned(h, BITS + 1))
+
+    words = F.array_remove(words_of(F.col("line")), "")
+    coded = lines.withColumn("codes", F.sort_array(F.array_distinct(F.transform(words, code))))
+    coded = coded.withColumn("n", F.size("codes")).where("n > 0")
+    length = F.col("n") - F.floor((4 * F.col("n") + 4) / 5).cast("int") + 1
+    prefix = F.transform(F.slice("codes", F.lit(1), length), lambda c: (F.shiftright(c, 31) - (1 << 31)).cast("int"))
+    return coded.select("doc_id", "hash", "no", F.xxhash64("codes").alias("c1"), F.xxhash64(F.lit(1), "codes").alias("c2"), "n", prefix.alias("prefix"))
+
+
+def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """The pairs (first, earlier) of places whose words are 4/5 similar."""
+    pairs = saved(pairs, "pairs")
+    ends = pairs.select(F.col("first").alias("w")).union(pairs.select("earlier")).distinct()
+    texts = lines.withColumn("place", _place()).select("place", "line").join(ends, F.col("place") == F.col("w"))
+    words = F.array_distinct(F.array_remove(words_of(F.col("line")), ""))
+    texts = saved(texts.select("w", words.alias("words")).distinct(), "words")
+    both = pairs.join(texts.select(F.col("w").alias("w1"), F.col("words").alias("a")), F.col("first") == F.col("w1"))
+    both = both.join(texts.select(F.col("w").alias("w2"), F.col("words").alias("b")), F.col("earlier") == F.col("w2"))
+    return both.where(F.size(F.array_intersect("a", "b")) * 9 >= (F.size("a") + F.size("b")) * 4).select("first", "earlier")
 
 
-def _prefixes(classes: DataFrame) -> DataFrame:
-    """code, at (its place), cid, n and first for the prefix codes of each class."""
-    n = F.size("codes")
-    length = n - F.floor((4 * n + 4) / 5).cast("int") + 1
-    return classes.select(F.posexplode(F.slice("codes", F.lit(1), length)).alias("at", "code"), "cid", n.alias("n"), "first")
+def _shared_codes(classes: DataFrame) -> DataFrame:
+    """code, at (its place), first, n, k and leader (of its code and n) of the prefix codes that several classes have."""
+    rows = classes.select(F.posexplode("prefix").alias("at", "code"), "first", "n")
+    by_code, by_size = Window.partitionBy("code"), Window.partitionBy("code", "n")
+    rows = rows.withColumn("leader", F.min("first").over(by_size)).withColumn("k", F.count(F.lit(1)).over(by_size))
+    return rows.withColumn("all", F.count(F.lit(1)).over(by_code)).where(F.col("all") > 1).drop("all")
 
 
-def matched_classes(classes: DataFrame) -> DataFrame:
-    """Distinct cid of the classes that match one whose first line comes earlier.
+def matched_classes(classes: DataFrame, lines: DataFrame) -> DataFrame:
+    """first: the first place of each class that matches a class of an earlier one.
 
-    ``classes``: cid, codes, first (comparable).
+    ``classes``: first, n, prefix.
     """
-    prefixes = _prefixes(classes)
-    groups = prefixes.groupBy("code", "n").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("first", "cid")).alias("leader"))
-    groups = saved(groups, "codes")
-    shared_codes = groups.groupBy("code").agg(F.sum("k").alias("all")).where(F.col("all") > 1).select(F.col("code").alias("c"))
-    rows = saved(prefixes.join(shared_codes, F.col("code") == F.col("c")).drop("c"), "prefixes")
-    hot = groups.where(F.col("k") > HOT).select(F.col("code").alias("c"), F.col("n").alias("m"), "leader")
-    led = rows.join(hot, (F.col("code") == F.col("c")) & (F.col("n") == F.col("m"))).where(F.col("leader.cid") != F.col("cid"))
-    led = led.select("cid", F.col("leader.cid").alias("earlier")).distinct()
-    settled = saved(_verified(led, classes), "settled")
-    open_ = rows.join(settled.select(F.col("cid").alias("s")).distinct(), F.col("cid") == F.col("s"), "left_anti")
-    right = rows.select(F.col("code").alias("code2"), F.col("at").alias("at2"), F.col("cid").alias("earlier"), F.col("n").alias("n2"), F.col("first").alias("first2"))
+    rows = saved(_shared_codes(classes), "prefixes")
+    led = rows.where((F.col("k") > HOT) & (F.col("leader") < F.col("first"))).select("first", F.col("leader").alias("earlier")).distinct()
+    settled = saved(_verified(led, lines).select("first").distinct(), "settled")
+    open_ = rows.join(settled.select(F.col("first").alias("s")), F.col("first") == F.col("s"), "left_anti")
+    right = rows.select(F.col("code").alias("code2"), F.col("at").alias("at2"), F.col("first").alias("earlier"), F.col("n").alias("n2"))
     need = F.ceil((F.col("n") + F.col("n2")) * 4 / 9)
-    pairs = open_.join(right, (F.col("code") == F.col("code2")) & (F.col("first2") < F.col("first"))
+    pairs = open_.join(right, (F.col("code") == F.col("code2")) & (F.col("earlier") < F.col("first"))
                        & (F.col("n") * 4 <= F.col("n2") * 5) & (F.col("n2") * 4 <= F.col("n") * 5)
                        & (F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2")) + F.least("at", "at2") >= need))
-    found = _verified(pairs.select("cid", "earlier").distinct(), classes)
-    return settled.unionByName(found)
+    found = _verified(pairs.select("first", "earlier").distinct(), lines)
+    return settled.unionByName(found.select("first")).distinct()
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """_key and lines (the numbers of the lines to remove) of each document that loses some."""
+    """doc_id, hash and lines (the numbers of the lines to remove) of each row that loses some."""
+    require(docs, "doc_id", "text")
     lines = _lines(docs)
-    ranks = _ranks(lines)
-    coded = _coded(lines, ranks)
-    place = F.struct("_key", "no")
-    classes = coded.groupBy("c1", "c2").agg(F.min(place).alias("first"), F.first("codes").alias("codes"))
-    classes = saved(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    pairs = saved(matched_classes(classes), "pairs")
-    exact = _same_words(pairs, classes, lines).select(F.col("cid").alias("s")).distinct()
-    marked = classes.join(exact, F.col("cid") == F.col("s"), "left").select(
-        F.col("c1").alias("d1"), F.col("c2").alias("d2"), F.col("first").alias("keep"), F.col("s").isNotNull().alias("matched"))
-    own = coded.select("_key", "no", "c1", "c2").join(marked, (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2")))
-    gone = own.where(F.col("matched") | (F.struct("_key", "no") != F.col("keep")))
-    return gone.groupBy("_key").agg(F.sort_array(F.collect_set("no")).alias("lines"))
-
-
-def _same_words(pairs: DataFrame, classes: DataFrame, lines: DataFrame) -> DataFrame:
-    """The pairs whose words are 4/5 similar."""
-    ends = pairs.select(F.col("cid").alias("w")).union(pairs.select("earlier")).distinct()
-    wanted = classes.join(ends, F.col("cid") == F.col("w"), "left_semi").select(F.col("first._key").alias("k"), F.col("first.no").alias("l"), "cid")
-    texts = lines.join(wanted, (F.col("_key") == F.col("k")) & (F.col("no") == F.col("l"))).select(F.col("cid").alias("w"), "words")
-    texts = saved(texts.dropDuplicates(["w"]), "words")
-    both = pairs.join(texts.select(F.col("w").alias("w1"), F.col("words").alias("a")), F.col("cid") == F.col("w1"))
-    both = both.join(texts.select(F.col("w").alias("w2"), F.col("words").alias("b")), F.col("earlier") == F.col("w2"))
-    return both.where(F.size(F.array_intersect("a", "b")) * 9 >= (F.size("a") + F.size("b")) * 4)
+    coded = saved(_coded(lines, _ranks(docs)), "coded")
+    classes = coded.groupBy("c1", "c2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    classes = saved(classes, "classes")
+    matched = saved(matched_classes(classes.select("first", "n", "prefix"), lines), "matched").select(F.col("first").alias("s"))
+    marked = classes.join(matched, F.col("first") == F.col("s"), "left").where(F.col("s").isNotNull() | (F.col("rows") > 1))
+    marked = saved(marked.select(F.col("c1").alias("d1"), F.col("c2").alias("d2"), "first", F.col("s").isNotNull().alias("matched")), "marked")
+    own = coded.select("doc_id", "hash", "no", "c1", "c2").join(marked, (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2")))
+    gone = own.where(F.col("matched") | (_place() != F.col("first")))
+    return gone.groupBy("doc_id", "hash").agg(F.sort_array(F.collect_set("no")).alias("lines"))
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the text of the lines that stay, and n_chars (if there) recounted."""
-    require(docs, "doc_id", "text")
-    gone = saved(removed_lines(docs), "gone")
+    gone = removed_lines(docs).select(F.col("doc_id").alias("_id"), F.col("hash").alias("_h"), F.col("lines").alias("_lines"))
     every = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.withColumn("_hash", every)
-    gone = gone.select(F.col("_key.id").alias("_id"), F.col("_key.hash").alias("_h"), F.col("lines").alias("_lines"))
-    rows = rows.join(gone, (F.col("_hash") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    rows = rows.join(saved(gone, "gone"), (F.col("_hash") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_lines", i)), "\n")
     text = F.when(F.col("_lines").isNull(), F.col("text")).otherwise(kept)
     rows = rows.withColumn("text", text)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mixing, packing, quality, simhash, toxicity
+from . import chat, lines, mixing, packing, quality, simhash, toxicity, warc
 from .common import table
 
 THRESHOLD = 0.3
@@ -26,6 +26,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(docs, words=4)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render_maximal(table(spark, sf_dir, "conversations"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.train(docs, labels, label="quality", folds=5, fold=0)
@@ -40,7 +48,7 @@ def judged(scored: DataFrame, held_out: Column) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its line count and the numbers of the removed lines."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    gone = lines.removed_lines(docs).select(F.col("_key.id").alias("id"), F.concat_ws(",", "lines").alias("removed"), F.size("lines").alias("n"))
+    gone = lines.removed_lines(docs).select(F.col("doc_id").alias("id"), F.concat_ws(",", "lines").alias("removed"), F.size("lines").alias("n"))
     rows = docs.select("doc_id", F.size(F.split("text", "\n")).alias("line_count")).join(gone, F.col("doc_id") == F.col("id"), "left")
     return rows.select("doc_id", "line_count", F.coalesce("n", F.lit(0)).alias("removed_count"), F.coalesce("removed", F.lit("")).alias("removed"))
 
@@ -69,6 +77,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_warc": op2_warc,
+    "op4_chat": op4_chat,
     "op3_quality": op3_quality,
     "op5_line_dedup": op5_line_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
@@ -84,8 +94,8 @@ sizes AS (SELECT doc_id, no, list_sort(list(w)) AS ws, count(*) AS n FROM words
 sets AS (SELECT ws, any_value(n) AS n, min((doc_id, no)) AS first, row_number() OVER () AS c FROM sizes GROUP BY ws),
 member AS (SELECT c, n, first, unnest(ws) AS w FROM sets),
 rarity AS (SELECT w, count(*) AS df FROM member GROUP BY w),
-placed AS (SELECT c, n, first, w, row_number() OVER (PARTITION BY c ORDER BY df, w) AS at FROM member JOIN rarity USING (w)),
-prefix AS (SELECT * FROM placed WHERE at <= n - ceil(0.8 * n) + 1),
+placed AS (SELECT c, n, first, w, row_number() OVER (PARTITION BY c ORDER BY df, w) AS spot FROM member JOIN rarity USING (w)),
+prefix AS (SELECT * FROM placed WHERE spot <= n - ceil(0.8 * n) + 1),
 pairs AS (SELECT DISTINCT a.c AS a, b.c AS b FROM prefix a JOIN prefix b ON a.w = b.w AND b.first < a.first AND 4 * a.n <= 5 * b.n AND 4 * b.n <= 5 * a.n),
 matched AS (SELECT DISTINCT p.a AS c FROM pairs p JOIN sets x ON x.c = p.a JOIN sets y ON y.c = p.b
     WHERE 9 * len(list_intersect(x.ws, y.ws)) >= 4 * (x.n + y.n)),
@@ -94,4 +104,21 @@ listed AS (SELECT doc_id, string_agg(no::VARCHAR, ',' ORDER BY no) AS removed, c
 SELECT d.doc_id, len(string_split(d.text, chr(10)))::INTEGER AS line_count, coalesce(n, 0)::INTEGER AS removed_count, coalesce(removed, '') AS removed
 FROM documents d LEFT JOIN listed USING (doc_id)
 """
-LLM_ORACLES: dict[str, str] = {"op5_line_dedup": LINE_SQL}
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS hex, min(page_id) OVER (PARTITION BY body) AS first FROM p)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::BIGINT, 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to
+FROM h
+"""
+CHAT_SQL = """
+WITH c AS (SELECT conv_id, list((role, text) ORDER BY turn, role, text) AS ts, count(*) AS n,
+                  string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS rendered
+           FROM conversations GROUP BY conv_id)
+SELECT a.conv_id, n AS turns, 0 AS part, rendered FROM c a
+WHERE NOT EXISTS (SELECT 1 FROM c b WHERE b.ts[1] = a.ts[1] AND b.ts[1:a.n] = a.ts AND (b.n > a.n OR (b.n = a.n AND b.conv_id < a.conv_id)))
+"""
+LLM_ORACLES: dict[str, str] = {"op2_warc": WARC_SQL, "op4_chat": CHAT_SQL, "op5_line_dedup": LINE_SQL}
