@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lines, mixing, packing, quality, simhash, toxicity, warc
+from . import bitsliced, chat, lines, mixing, packing, quality, simhash, toxicity, warc
 from .common import table
 
 THRESHOLD = 0.3
@@ -59,6 +59,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "stream", "block", "block_position", "position")
 
 
+def op7_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return bitsliced.top_k(vectors.select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
@@ -82,6 +87,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op5_line_dedup": op5_line_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_bit_sliced_top_k": op7_bit_sliced_top_k,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }
@@ -108,7 +114,7 @@ WARC_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 h AS (SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS hex, min(page_id) OVER (PARTITION BY body) AS first FROM p)
 SELECT page_id, payload_bytes,
-       list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::BIGINT, 1)), 'string_agg', '') AS payload_digest,
        CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to
@@ -121,4 +127,12 @@ WITH c AS (SELECT conv_id, list((role, text) ORDER BY turn, role, text) AS ts, c
 SELECT a.conv_id, n AS turns, 0 AS part, rendered FROM c a
 WHERE NOT EXISTS (SELECT 1 FROM c b WHERE b.ts[1] = a.ts[1] AND b.ts[1:a.n] = a.ts AND (b.n > a.n OR (b.n = a.n AND b.conv_id < a.conv_id)))
 """
-LLM_ORACLES: dict[str, str] = {"op2_warc": WARC_SQL, "op4_chat": CHAT_SQL, "op5_line_dedup": LINE_SQL}
+TOP_K_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings),
+f AS (SELECT vec_id, unnest(e) AS x, unnest(range(len(e))) AS d FROM v),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sum(q.x * c.x)::BIGINT AS score
+      FROM f q JOIN f c ON q.d = c.d WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id GROUP BY ALL)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+LLM_ORACLES: dict[str, str] = {"op7_bit_sliced_top_k": TOP_K_SQL, "op2_warc": WARC_SQL, "op4_chat": CHAT_SQL, "op5_line_dedup": LINE_SQL}
