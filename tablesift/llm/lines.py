@@ -13,7 +13,7 @@ that match share one of the rarest n - ceil(4n/5) + 1 codes of each. Those prefi
 (their upper 32 bits, as a collision here only adds a candidate) are dealt out once and
 joined with themselves, with the length filter (4/5 n <= m <= 5/4 n), the positional
 filter (what is left after the two positions suffices) and a parity filter (each differing
-word flips one bit of a 64-bit sum, and only (n+m)/9 words may differ). What passes is
+word flips one bit of a 128-bit sum, and only (n+m)/9 words may differ). What passes is
 verified by the words.
 
 **Hot codes.** Where more than ``HOT`` classes of one length share a code (near copies),
@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ BUCKETS = 1 << BITS
 HOT = 40
 LINES = 1 << 24
 MARKS = 1 << 22  # bits of the filter for lines to verify
-CACHED = 400_000  # words a Python worker remembers the hashes of
+CACHED = 700_000  # words a Python worker remembers the hashes of
 
 
 class _Hashes(dict):
@@ -62,41 +63,65 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
-def words_of(line: str) -> list[bytes]:
-    return line.lower().encode("utf-8", "replace").split()
+def _hash_array(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 
-def _hash_array(words) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+def _small(text: str | None) -> bytes:
+    return (text or "").lower().encode("utf-8", "replace")
 
 
-def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        for text in batch["text"]:
-            if text:
-                total += np.bincount(_hash_array(words_of(text)) & np.uint64(BUCKETS - 1), minlength=BUCKETS)
-    yield pd.DataFrame({"bucket": np.arange(BUCKETS), "n": total})
+        for text in batch.column("text").to_pylist():
+            total += np.bincount(_hash_array(_small(text).split()) & np.uint64(BUCKETS - 1), minlength=BUCKETS)
+    yield pa.RecordBatch.from_pydict({"bucket": np.arange(BUCKETS), "n": total})
 
 
 def _ranks(docs: DataFrame) -> np.ndarray:
     """The rank by count of each of the buckets."""
-    counts = docs.select("text").mapInPandas(_word_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").mapInArrow(_word_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     seen = dict.fromkeys(range(BUCKETS), 0) | {r["bucket"]: r["n"] for r in counts.collect()}
     ranks = np.empty(BUCKETS, np.uint64)
     ranks[sorted(seen, key=lambda b: (seen[b], b))] = np.arange(BUCKETS, dtype=np.uint64)
     return ranks
 
 
-def coded_line(words: set[bytes], ranks: np.ndarray) -> tuple[int, int, int, list[int], int]:
-    """Class (two longs), size, prefix codes and parity bits of a line's words."""
+def coded_lines(texts: list[str | None], ranks: np.ndarray) -> dict[str, np.ndarray]:
+    """For each line with words: text (its index), no, class c1 and c2, n, prefix codes (all lines' in
+    one array, ``lengths`` each) and two longs of parity bits."""
+    words: list[bytes] = []
+    text, no, sizes = [], [], []
+    for i, t in enumerate(texts):
+        for k, line in enumerate(_small(t).split(b"\n")):
+            if found := line.split():
+                words += found
+                text.append(i)
+                no.append(k)
+                sizes.append(len(found))
     hashes = _hash_array(words)
-    codes = np.sort((ranks[hashes & np.uint64(BUCKETS - 1)] << np.uint64(63 - BITS)) | (hashes >> np.uint64(BITS + 1)))
-    n = len(codes)
-    c1, c2 = np.frombuffer(xxhash.xxh3_128_digest(codes.tobytes()), np.int64).tolist()
-    prefix = (codes[:n - (4 * n + 4) // 5 + 1] >> np.uint64(31)).astype(np.int64) - (1 << 31)
-    parity = np.bitwise_xor.reduce(np.uint64(1) << (hashes >> np.uint64(58)))
-    return c1, c2, n, prefix.tolist(), int(parity.view(np.int64))
+    line = np.repeat(np.arange(len(sizes)), sizes)
+    codes = (ranks[hashes & np.uint64(BUCKETS - 1)] << np.uint64(63 - BITS)) | (hashes >> np.uint64(BITS + 1))
+    order = np.lexsort((codes, line))
+    line, codes, hashes = line[order], codes[order], hashes[order]
+    new = np.ones(len(line), bool)
+    new[1:] = (line[1:] != line[:-1]) | (codes[1:] != codes[:-1])
+    line, codes, hashes = line[new], codes[new], hashes[new]
+    n = np.bincount(line, minlength=len(sizes))
+    starts = np.cumsum(n) - n
+    mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    bit = np.uint64(1) << (hashes >> np.uint64(58))
+    upper = (hashes >> np.uint64(57)) & np.uint64(1) == 1
+    lengths = n - (4 * n + 4) // 5 + 1
+    rarest = np.arange(len(line)) - starts[line] < lengths[line]
+    out = {"text": np.array(text, np.int64), "no": np.array(no, np.int32), "n": n.astype(np.int32), "lengths": lengths,
+           "prefix": ((codes[rarest] >> np.uint64(31)).astype(np.int64) - (1 << 31)).astype(np.int32)}
+    sums = (("c1", np.add, hashes), ("c2", np.add, mixed), ("p1", np.bitwise_xor, np.where(upper, bit, 0)), ("p2", np.bitwise_xor, np.where(upper, 0, bit)))
+    for name, add, values in sums:
+        out[name] = (add.reduceat(values, starts) if len(starts) else np.empty(0, np.uint64)).astype(np.uint64).view(np.int64)
+    return out
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -105,23 +130,23 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _coded(docs: DataFrame, ranks: np.ndarray, whole: bool) -> DataFrame:
     """doc_id, hash (of the row), no (line number) and class of each line with words; ``whole``: also n, prefix and parity."""
-    names = ["doc_id", "hash", "no", "c1", "c2"] + (["n", "prefix", "parity"] if whole else [])
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
-    def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                part, rows = batch.iloc[at:at + 1000], []
-                for doc, key, text in zip(part["doc_id"], part["hash"], part["text"], strict=True):
-                    for no, line in enumerate((text or "").split("\n")):
-                        if words := set(words_of(line)):
-                            c1, c2, *rest = coded_line(words, shared.value)
-                            rows.append((doc, key, no, c1, c2, *(rest if whole else ())))
-                out = pd.DataFrame(rows, columns=names)
-                yield out.astype({"doc_id": "Int64"})
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                got = coded_lines(part.column("text").to_pylist(), shared.value)
+                out = {c: part.column(c).take(pa.array(got["text"])) for c in ("doc_id", "hash")}
+                out |= {c: pa.array(got[c]) for c in ("no", "c1", "c2")}
+                if whole:
+                    offsets = np.concatenate([[0], np.cumsum(got["lengths"])]).astype(np.int32)
+                    out |= {"n": pa.array(got["n"]), "prefix": pa.ListArray.from_arrays(pa.array(offsets), pa.array(got["prefix"]))}
+                    out |= {c: pa.array(got[c]) for c in ("p1", "p2")}
+                yield pa.RecordBatch.from_pydict(out)
 
-    schema = "doc_id long, hash long, no int, c1 long, c2 long" + (", n int, prefix array<int>, parity long" if whole else "")
-    return _keyed(docs).mapInPandas(coded, schema)
+    schema = "doc_id long, hash long, no int, c1 long, c2 long" + (", n int, prefix array<int>, p1 long, p2 long" if whole else "")
+    return _keyed(docs).mapInArrow(coded, schema)
 
 
 def _place() -> Column:
@@ -165,10 +190,12 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.where(F.size(F.array_intersect("a", "b")) * 9 >= (F.size("a") + F.size("b")) * 4).select("first", "earlier")
 
 
-def _may_match(n, n2, at, at2, parity, parity2) -> Column:
-    n, n2, at, at2 = F.col(n), F.col(n2), F.col(at), F.col(at2)
+def _may_match(a: list[str], b: list[str]) -> Column:
+    """If two classes may match, by n, at, p1 and p2 of each."""
+    n, at, p1, p2 = map(F.col, a)
+    n2, at2, q1, q2 = map(F.col, b)
     need = F.floor(((n + n2) * 4 + 8) / 9)
-    differ = F.bit_count(F.col(parity).bitwiseXOR(F.col(parity2)))
+    differ = F.bit_count(p1.bitwiseXOR(q1)) + F.bit_count(p2.bitwiseXOR(q2))
     return ((n * 4 <= n2 * 5) & (n2 * 4 <= n * 5) & (F.least(n - at, n2 - at2) + F.least(at, at2) >= need)
             & (differ <= n + n2 - 2 * need))
 
@@ -176,22 +203,28 @@ def _may_match(n, n2, at, at2, parity, parity2) -> Column:
 def matched_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """first: the first place of each class that matches a class of an earlier one.
 
-    ``classes``: first, n, prefix, parity.
+    ``classes``: first, n, prefix, p1, p2.
     """
-    rows = classes.select(F.posexplode("prefix").alias("at", "code"), "first", "n", "parity")
-    leader = F.min(F.struct("first", "at", "parity")).alias("leader")
-    hot = saved(rows.groupBy("code", "n").agg(F.count(F.lit(1)).alias("k"), leader).where(F.col("k") > HOT), "hot")
-    hot = hot.select(F.col("code").alias("c"), F.col("n").alias("m"), F.col("leader.first").alias("earlier"), F.col("leader.at").alias("at2"), F.col("leader.parity").alias("parity2"))
-    led = rows.join(hot, (F.col("code") == F.col("c")) & (F.col("n") == F.col("m")) & (F.col("earlier") < F.col("first"))
-                    & _may_match("n", "m", "at", "at2", "parity", "parity2"))
-    settled = saved(_verified(led.select("first", "earlier").distinct(), docs).select("first").distinct(), "settled")
+    mine, theirs = ["n", "at", "p1", "p2"], ["n2", "at2", "q1", "q2"]
+    rows = classes.select(F.posexplode("prefix").alias("at", "code"), "first", "n", "p1", "p2")
+    hot = saved(rows.groupBy("code", "n").agg(F.count(F.lit(1)).alias("k"), F.min("first").alias("leader")).where(F.col("k") > HOT), "hot")
+    hot = hot.select(F.col("code").alias("c"), F.col("n").alias("n2"), "leader")
+    led = rows.select("code", "first", "n").join(hot, (F.col("code") == F.col("c")) & (F.col("n") == F.col("n2")) & (F.col("leader") < F.col("first")))
+    led = led.select("first", F.col("leader").alias("earlier")).distinct()
+    sums = [F.col(c) for c in ("first", "p1", "p2")]
+    left = classes.select(*[c.alias(f"{c_}1") for c, c_ in zip(sums, ("f", "a", "b"), strict=True)], "n")
+    right = classes.select(*[c.alias(f"{c_}2") for c, c_ in zip(sums, ("f", "a", "b"), strict=True)], F.col("n").alias("n2"))
+    led = led.join(left, F.col("first") == F.col("f1")).join(right, F.col("earlier") == F.col("f2"))
+    differ = F.bit_count(F.col("a1").bitwiseXOR(F.col("a2"))) + F.bit_count(F.col("b1").bitwiseXOR(F.col("b2")))
+    led = led.where(differ * 9 <= F.col("n") + F.col("n2")).select("first", "earlier")
+    settled = saved(_verified(led, docs).select("first").distinct(), "settled")
     # settled classes stay as partners; with a bar below every place they find none themselves
     marked = classes.join(settled.select(F.col("first").alias("s")), F.col("first") == F.col("s"), "left")
     marked = marked.withColumn("bar", F.when(F.col("s").isNull(), F.col("first")).otherwise(F.lit(-(1 << 62))))
-    rows = marked.select(F.posexplode("prefix").alias("at", "code"), "first", "bar", "n", "parity")
-    right = rows.select(*[F.col(c).alias(f"{c}2") for c in ("code", "at", "first", "n", "parity")])
-    pairs = rows.join(right, (F.col("code") == F.col("code2")) & (F.col("first2") < F.col("bar")) & _may_match("n", "n2", "at", "at2", "parity", "parity2"))
-    found = _verified(pairs.select("first", F.col("first2").alias("earlier")).distinct(), docs)
+    rows = marked.select(F.posexplode("prefix").alias("at", "code"), "first", "bar", "n", "p1", "p2")
+    other = rows.select(F.col("code").alias("code2"), F.col("first").alias("earlier"), *[F.col(c).alias(d) for c, d in zip(mine, theirs, strict=True)])
+    pairs = rows.join(other, (F.col("code") == F.col("code2")) & (F.col("earlier") < F.col("bar")) & _may_match(mine, theirs))
+    found = _verified(pairs.select("first", "earlier").distinct(), docs)
     return settled.unionByName(found.select("first")).distinct()
 
 
@@ -199,10 +232,10 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, hash and lines (the numbers of the lines to remove) of each row that loses some."""
     require(docs, "doc_id", "text")
     ranks = _ranks(docs)
-    first = [F.first(c).alias(c) for c in ("n", "prefix", "parity")]
+    first = [F.first(c).alias(c) for c in ("n", "prefix", "p1", "p2")]
     classes = _coded(docs, ranks, True).groupBy("c1", "c2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("rows"), *first)
     classes = saved(classes, "classes")
-    matched = saved(matched_classes(classes.select("first", "n", "prefix", "parity"), docs), "matched").select(F.col("first").alias("s"))
+    matched = saved(matched_classes(classes.select("first", "n", "prefix", "p1", "p2"), docs), "matched").select(F.col("first").alias("s"))
     marked = classes.join(matched, F.col("first") == F.col("s"), "left").where(F.col("s").isNotNull() | (F.col("rows") > 1))
     marked = saved(marked.select(F.col("c1").alias("d1"), F.col("c2").alias("d2"), "first", F.col("s").isNotNull().alias("matched")), "marked")
     own = _coded(docs, ranks, False).join(marked, (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2")))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced, chat, lines, mixing, packing, quality, simhash, toxicity, warc
+from . import bitsliced, chat, kmeans_tree, lines, mixing, packing, quality, simhash, toxicity, warc
 from .common import table
 
 THRESHOLD = 0.3
@@ -64,6 +64,11 @@ def op7_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsliced.top_k(vectors.select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+def op8_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return kmeans_tree.search(vectors.select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
@@ -88,6 +93,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_bit_sliced_top_k": op7_bit_sliced_top_k,
+    "op8_kmeans_tree": op8_kmeans_tree,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }
