@@ -224,8 +224,14 @@ def matched_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     rows = marked.select(F.posexplode("prefix").alias("at", "code"), "first", "bar", "n", "p1", "p2")
     other = rows.select(F.col("code").alias("code2"), F.col("first").alias("earlier"), *[F.col(c).alias(d) for c, d in zip(mine, theirs, strict=True)])
     pairs = rows.join(other, (F.col("code") == F.col("code2")) & (F.col("earlier") < F.col("bar")) & _may_match(mine, theirs))
-    found = _verified(pairs.select("first", "earlier").distinct(), docs)
-    return settled.unionByName(found.select("first")).distinct()
+    differ = F.bit_count(F.col("p1").bitwiseXOR(F.col("q1"))) + F.bit_count(F.col("p2").bitwiseXOR(F.col("q2")))
+    pairs = saved(pairs.select("first", "earlier", differ.alias("differ")).distinct(), "candidates")
+    # one earlier match is all it takes: first the likeliest candidate of each class, then all of those it doesn't settle
+    likely = pairs.groupBy("first").agg(F.min(F.struct("differ", "earlier")).alias("best")).select("first", F.col("best.earlier").alias("earlier"))
+    near = saved(_verified(likely, docs).select("first").distinct(), "near")
+    rest = pairs.join(near.select(F.col("first").alias("s")), F.col("first") == F.col("s"), "left_anti")
+    found = _verified(rest.select("first", "earlier"), docs)
+    return settled.unionByName(near).unionByName(found.select("first")).distinct()
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
