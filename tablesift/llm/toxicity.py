@@ -135,10 +135,10 @@ def fit(rows: list[list[str]], labels: list[int], swaps: Counter, vocabulary: li
         changes.append(delta * np.sqrt(times))
     change = np.array(changes).reshape(-1, d) * np.sqrt(SWAP_PENALTY / len(y))
     w, bias = np.zeros(d), float(np.log(y.mean() / (1 - y.mean())))
-    momentum, rate, v = 0.9, 1.0, np.zeros(d + 1)
+    momentum, rate, v = 0.9, 0.9, np.zeros(d + 1)
     # accelerated gradient steps, scaled by a bound of each indicator's curvature
     often = np.bincount(col, minlength=d)
-    scale = 0.25 * often / len(y) * 8 + RIDGE / np.sqrt(len(y)) + (change**2).sum(axis=0) * 2 + 1e-4
+    scale = 0.25 * often / len(y) * 8 + RIDGE / np.sqrt(len(y)) + 2 * (np.abs(change) * np.abs(change).sum(axis=1)[:, None]).sum(axis=0) + 1e-4
     for _ in range(400):
         look, look_bias = w + momentum * v[:d], bias + momentum * v[d]
         z = look_bias + np.bincount(at, look[col], len(y))
