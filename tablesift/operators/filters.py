@@ -250,10 +250,13 @@ def apply_date_range(df: DataFrame, years: DateRange | None) -> DataFrame:
     """Filter by year as a half-open range, which the parquet reader can use.
 
     A text column is parsed and replaced by the timestamp; text that is no date
-    counts as missing.
+    counts as missing. A named column that is absent is an error; of the default
+    columns both may be absent, then nothing is filtered.
     """
     column = years.resolve_column(df.columns) if years else None
     if column is None:
+        if years and years.column:
+            raise ValueError(f"the table has no column {years.column}")
         return df
     dtype = df.schema[column].dataType
     native = isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))

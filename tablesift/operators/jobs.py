@@ -43,15 +43,15 @@ def run_batch(
 
     ``jobs`` (a hand-written list: Data Product, Table, Column, Run) is read in the
     order of product, table, column and numbered over the rows to run; ``load(product,
-    table)`` gives the table or ``None``.  A job whose output exists is skipped, one
-    whose table or columns are missing is reported as incomplete.
+    table)`` gives the table or ``None``.  A job whose output is complete (it has
+    the writer's success mark) is skipped, a half-written one is written anew, one whose table or columns are missing is reported as incomplete.
     """
     report = []
     rows = jobs.where("Run").orderBy("Data Product", "Table", "Column").collect()
     for n, job in enumerate(rows, start=1):
         product, table = job["Data Product"], job["Table"]
         target = f"{output_root.rstrip('/')}/{n}_{product}_{table}"
-        if _path_exists(jobs, f"{target}.{fmt}"):
+        if _path_exists(jobs, f"{target}.{fmt}/_SUCCESS"):
             report.append((n, product, table, "exists", f"{target}.{fmt}", None))
             continue
         df = load(product, table)
@@ -63,7 +63,7 @@ def run_batch(
             report.append((n, product, table, "columns not found", None, df.columns))
             continue
         layers = LayeredFilter(Clause(ids, columns), required, alternatives)
-        written = write_table(extract(df, ExtractSpec(ids=layers)), target, fmt)
+        written = write_table(extract(df, ExtractSpec(ids=layers)), target, fmt, mode="overwrite")
         status = "written" if written else "empty"
         report.append((n, product, table, status, written[0] if written else None, df.columns))
     return jobs.sparkSession.createDataFrame(report, JOB_SCHEMA)

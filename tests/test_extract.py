@@ -177,3 +177,22 @@ def test_merge_columns():
     assert merge_columns("a", ["b", "a"], None, ("c",)) == ["a", "b", "c"]
     with pytest.raises(TypeError):
         merge_columns([1])
+
+
+def test_absent_date_column_is_an_error(spark):
+    df = spark.createDataFrame([("DK1",)], "entity_id string")
+    with pytest.raises(ValueError, match="closing_dat"):
+        extract(df, ExtractSpec(years=DateRange(2015, 2016, "closing_dat")))
+    assert extract(df, ExtractSpec(years=DateRange(2015, 2016))).count() == 1
+
+
+def test_half_written_job_is_written_anew(spark, tmp_path):
+    from tablesift.operators.jobs import run_batch
+
+    jobs = spark.createDataFrame([("P", "T", "entity_id", True)], "`Data Product` string, `Table` string, `Column` string, Run boolean")
+    half = tmp_path / "1_P_T.parquet" / "_temporary"
+    half.mkdir(parents=True)
+    df = spark.createDataFrame([("DK1",), ("SE1",)], "entity_id string")
+    for status in ("written", "exists"):
+        assert [r["status"] for r in run_batch(jobs, ["DK1"], lambda p, t: df, str(tmp_path)).collect()] == [status]
+    assert spark.read.parquet(str(tmp_path / "1_P_T.parquet")).count() == 1
