@@ -16,10 +16,12 @@ filter (what is left after the two positions suffices) and a parity filter (each
 word flips one bit of a 128-bit sum, and only (n+m)/9 words may differ). What passes is
 verified by the words.
 
-**Hot codes.** Where more than ``HOT`` classes of one length share a code (near copies),
-each is first compared with the earliest of them. Those that match it are settled (one
+**Hot codes.** Where about ``HOT`` or more classes of one length share a code (near copies),
+each is first compared with an early one of them. Those that match it are settled (one
 earlier match is all it takes) and don't probe again, so a group of near copies costs a
-row for each member, not for each pair.
+row for each member, not for each pair. Which codes are hot is seen from every eighth
+class; that decides who is compared first, not what is found, as all others go through
+the join with all classes.
 
 **Style.** The words are coded in Python, all joins and groupings are Spark's. With
 built-in functions alone (split, transform, sort_array) coding took 310 CPU seconds a GB
@@ -47,6 +49,7 @@ from .common import require, saved
 BITS = 14
 BUCKETS = 1 << BITS
 HOT = 40
+SAMPLED = 8  # one class in so many is counted to find hot codes
 LINES = 1 << 24
 MARKS = 1 << 22  # bits of the filter for lines to verify
 CACHED = 700_000  # words a Python worker remembers the hashes of
@@ -190,10 +193,10 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.where(F.size(F.array_intersect("a", "b")) * 9 >= (F.size("a") + F.size("b")) * 4).select("first", "earlier")
 
 
-def _may_match(a: list[str], b: list[str]) -> Column:
-    """If two classes may match, by n, at, p1 and p2 of each."""
-    n, at, p1, p2 = map(F.col, a)
-    n2, at2, q1, q2 = map(F.col, b)
+def _may_match(a: list[Column], b: list[Column]) -> Column:
+    """If two classes may match, by n, at, p1 and p2 of each; never with an n below zero."""
+    n, at, p1, p2 = a
+    n2, at2, q1, q2 = b
     need = F.floor(((n + n2) * 4 + 8) / 9)
     differ = F.bit_count(p1.bitwiseXOR(q1)) + F.bit_count(p2.bitwiseXOR(q2))
     return ((n * 4 <= n2 * 5) & (n2 * 4 <= n * 5) & (F.least(n - at, n2 - at2) + F.least(at, at2) >= need)
@@ -205,9 +208,10 @@ def matched_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
 
     ``classes``: first, n, prefix, p1, p2.
     """
-    mine, theirs = ["n", "at", "p1", "p2"], ["n2", "at2", "q1", "q2"]
-    rows = classes.select(F.posexplode("prefix").alias("at", "code"), "first", "n", "p1", "p2")
-    hot = saved(rows.groupBy("code", "n").agg(F.count(F.lit(1)).alias("k"), F.min("first").alias("leader")).where(F.col("k") > HOT), "hot")
+    few = classes.where(F.xxhash64("first").bitwiseAND(F.lit(SAMPLED - 1).cast("long")) == 0)
+    few = few.select(F.explode("prefix").alias("code"), "first", "n").groupBy("code", "n").agg(F.count(F.lit(1)).alias("k"), F.min("first").alias("leader"))
+    hot = saved(few.where(F.col("k") > HOT // SAMPLED), "hot")
+    rows = classes.select(F.explode("prefix").alias("code"), "first", "n")
     hot = hot.select(F.col("code").alias("c"), F.col("n").alias("n2"), "leader")
     led = rows.select("code", "first", "n").join(hot, (F.col("code") == F.col("c")) & (F.col("n") == F.col("n2")) & (F.col("leader") < F.col("first")))
     led = led.select("first", F.col("leader").alias("earlier")).distinct()
@@ -218,14 +222,17 @@ def matched_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     differ = F.bit_count(F.col("a1").bitwiseXOR(F.col("a2"))) + F.bit_count(F.col("b1").bitwiseXOR(F.col("b2")))
     led = led.where(differ * 9 <= F.col("n") + F.col("n2")).select("first", "earlier")
     settled = saved(_verified(led, docs).select("first").distinct(), "settled")
-    # settled classes stay as partners; with a bar below every place they find none themselves
+    # settled classes stay as partners; with a length below zero they find none themselves
     marked = classes.join(settled.select(F.col("first").alias("s")), F.col("first") == F.col("s"), "left")
-    marked = marked.withColumn("bar", F.when(F.col("s").isNull(), F.col("first")).otherwise(F.lit(-(1 << 62))))
-    rows = marked.select(F.posexplode("prefix").alias("at", "code"), "first", "bar", "n", "p1", "p2")
-    other = rows.select(F.col("code").alias("code2"), F.col("first").alias("earlier"), *[F.col(c).alias(d) for c, d in zip(mine, theirs, strict=True)])
-    pairs = rows.join(other, (F.col("code") == F.col("code2")) & (F.col("earlier") < F.col("bar")) & _may_match(mine, theirs))
-    differ = F.bit_count(F.col("p1").bitwiseXOR(F.col("q1"))) + F.bit_count(F.col("p2").bitwiseXOR(F.col("q2")))
-    pairs = saved(pairs.select("first", "earlier", differ.alias("differ")).distinct(), "candidates")
+    marked = marked.withColumn("n", F.when(F.col("s").isNull(), F.col("n")).otherwise(-F.col("n")))
+    rows = marked.select(F.posexplode("prefix").alias("at", "code"), "first", "n", "p1", "p2").dropna()
+    # both sides have the same columns and no test of their own, so one exchange serves both
+    mine = [F.col(f"x.{c}") for c in ("n", "at", "p1", "p2")]
+    theirs = [F.abs("y.n"), F.col("y.at"), F.col("y.p1"), F.col("y.p2")]
+    pairs = rows.alias("x").join(rows.alias("y"), (F.col("x.code") == F.col("y.code")) & (F.col("y.first") < F.col("x.first")) & _may_match(mine, theirs))
+    differ = F.bit_count(F.col("x.p1").bitwiseXOR(F.col("y.p1"))) + F.bit_count(F.col("x.p2").bitwiseXOR(F.col("y.p2")))
+    pairs = pairs.select(F.col("x.first").alias("first"), F.col("y.first").alias("earlier"), differ.alias("differ"))
+    pairs = saved(pairs.distinct(), "candidates")
     # one earlier match is all it takes: first the likeliest candidate of each class, then all of those it doesn't settle
     likely = pairs.groupBy("first").agg(F.min(F.struct("differ", "earlier")).alias("best")).select("first", F.col("best.earlier").alias("earlier"))
     near = saved(_verified(likely, docs).select("first").distinct(), "near")
