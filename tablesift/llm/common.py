@@ -38,7 +38,7 @@ def single_rows(df: DataFrame, key: str, kind: str = "table") -> DataFrame:
 
 
 def key_rank(df: DataFrame, group: list[str], order: Column, ties: list[Column], bits: int = 10,
-             few_groups: bool = False) -> DataFrame:
+             few_groups: bool = False, tied: bool = False) -> DataFrame:
     """Adds ``rank``: the 0-based position of a row within its group.
 
     Rows are ordered by ``order`` (a long that is spread evenly, such as a hash) and
@@ -46,7 +46,8 @@ def key_rank(df: DataFrame, group: list[str], order: Column, ties: list[Column],
     counted first; each range is then numbered on its own, so a group that holds a
     third of all rows is spread over 2^bits window partitions. Ranges follow the order,
     so their number has no influence on the result. ``few_groups`` says that the number of
-    groups is bounded, so that the sizes can be broadcast.
+    groups is bounded, so that the sizes can be broadcast; ``tied`` gives rows of equal order the rank of
+    the first of them.
     """
     df = df.withColumn("_order", order).withColumn("_range", F.shiftright("_order", 64 - bits))
     sizes = df.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
@@ -58,7 +59,7 @@ def key_rank(df: DataFrame, group: list[str], order: Column, ties: list[Column],
     same = F.col("_range") == F.col("_r")
     for i, c in enumerate(group):
         same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
-    inner = F.row_number().over(Window.partitionBy(*group, "_range").orderBy("_order", *ties)) - 1
+    inner = (F.rank() if tied else F.row_number()).over(Window.partitionBy(*group, "_range").orderBy("_order", *ties)) - 1
     ranked = df.withColumn("_inner", inner).join(F.broadcast(sizes) if few_groups else sizes, same)
     return ranked.withColumn("rank", F.col("_before") + F.col("_inner")).drop(
         "_order", "_range", "_inner", "_before", "_r", *[f"_g{i}" for i in range(len(group))])

@@ -22,12 +22,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import key_rank, require
+from .common import key_rank, require, saved
 
 SLOTS = 1000
 BLOCK_ROWS = 16
 POOL = "*"
+RANGES = 10  # bits of the hash that name a range
 
 
 def shares(weights: Mapping[str, float], slots: int) -> dict[str, int]:
@@ -81,27 +83,63 @@ def mix(docs: DataFrame, weights: Mapping[str, float], other: float = 0.05, bloc
     Ordering by position gives the mixture; block_position numbers the blocks of all
     streams from 0 without gaps. Columns of these names are replaced.
     """
+    rows, plan = _streams(docs, weights, other, block_rows, slots)
+    every = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns])
+    placed = _placed(key_rank(rows, ["stream"], every, [], few_groups=True), plan, block_rows)
+    names = [f"`{c}`" for c in rows.columns if c != "stream"]
+    return placed.select(*names, "stream", "block", "block_position", "position")
+
+
+def _streams(docs: DataFrame, weights: Mapping[str, float], other: float, block_rows: int, slots: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with their stream, and the phases of the schedule."""
     require(docs, "source")
-    spark = docs.sparkSession
     weights = {s: float(w) for s, w in weights.items() if w > 0} | {POOL: float(other)}
     rows = docs.drop("stream", "block", "block_position", "position")
     listed = F.col("source").isin(*[s for s in weights if s != POOL])
     rows = rows.withColumn("stream", F.when(listed, F.col("source")).otherwise(F.lit(POOL)))
-    every = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns])
-    ranked = key_rank(rows, ["stream"], every, [], few_groups=True)
     counts = {r["stream"]: -(-r["n"] // block_rows) for r in rows.groupBy("stream").agg(F.count(F.lit(1)).alias("n")).collect()}
-    table = spark.createDataFrame(phases(counts, weights, slots), "_s string, _first long, _end long, _start long, _length long, _period array<int>")
-    block = F.floor(F.col("rank") / block_rows).cast("long")
-    ranked = ranked.withColumn("block", block)
-    placed = ranked.join(F.broadcast(table), (F.col("stream") == F.col("_s")) & (F.col("block") >= F.col("_first")) & (F.col("block") < F.col("_end")))
+    plan = phases(counts, weights, slots)
+    schema = "_s string, _first long, _end long, _start long, _length long, _period array<int>"
+    return rows, docs.sparkSession.createDataFrame(plan, schema)
+
+
+def _placed(ranked: DataFrame, plan: DataFrame, block_rows: int) -> DataFrame:
+    """Adds block, block_position and position to rows with their rank in the stream."""
+    ranked = ranked.withColumn("block", F.floor(F.col("rank") / block_rows).cast("long"))
+    placed = ranked.join(F.broadcast(plan), (F.col("stream") == F.col("_s")) & (F.col("block") >= F.col("_first")) & (F.col("block") < F.col("_end")))
     at = F.expr("_start + (block - _first) div size(_period) * _length + _period[cast((block - _first) % size(_period) as int)]")
     placed = placed.withColumn("block_position", at.cast("long"))
-    position = F.col("block_position") * block_rows + F.col("rank") % block_rows
-    names = [f"`{c}`" for c in rows.columns if c != "stream"]
-    return placed.withColumn("position", position).select(*names, "stream", "block", "block_position", "position")
+    placed = placed.withColumn("position", F.col("block_position") * block_rows + F.col("rank") % block_rows)
+    return placed.drop(*plan.columns)
+
 
+def in_mixed_order(docs: DataFrame, weights: Mapping[str, float], other: float = 0.05, block_rows: int = BLOCK_ROWS,
+                   slots: int = SLOTS, seed: int = 0) -> DataFrame:
+    """The columns of ``docs``, with rows in the order of the mixture, also across the files of a written table.
 
-def in_mixed_order(docs: DataFrame, weights: Mapping[str, float], **options) -> DataFrame:
-    """The columns of ``docs``, with rows in the order of the mixture, also across the files of a written table."""
-    mixed = mix(docs, weights, **options)
-    return mixed.repartitionByRange("position").sortWithinPartitions("position").select(*[F.col(f"`{c}`") for c in docs.columns])
+    Whole rows are exchanged once. The (stream, hash) of the rows alone is ranked first;
+    from it come the parts into which the order is cut (as many as the session has shuffle
+    partitions) and, for each stream and range of the hash, the hashes at which a part
+    begins: a table bounded by streams, ranges and parts. Rows equal in all columns stay
+    in one part.
+    """
+    spark = docs.sparkSession
+    rows, plan = _streams(docs, weights, other, block_rows, slots)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    every = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns])
+    thin = saved(rows.select("stream", every.alias("_h")), "hashes")
+    thin = _placed(key_rank(thin, ["stream"], F.col("_h"), [], few_groups=True, tied=True), plan, block_rows)
+    each = -(-(thin.agg(F.max("position")).first()[0] or 0) // parts) + 1
+    part, piece = F.floor(F.col("position") / each), F.shiftright("_h", 64 - RANGES)
+    cuts = thin.groupBy("stream", piece.alias("_piece"), part.alias("_part")).agg(F.min("_h").alias("lo"), F.min("rank").alias("start"))
+    cuts = saved(cuts, "cuts")
+    starts = cuts.groupBy(F.col("stream").alias("_s1"), F.col("_part").alias("_p1")).agg(F.min("start").alias("_from"))
+    cuts = cuts.groupBy(F.col("stream").alias("_s2"), F.col("_piece").alias("_p2")).agg(F.collect_list(F.struct("lo", "_part")).alias("_cuts"))
+    named = rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "stream", every.alias("_h"))
+    dealt = named.join(F.broadcast(cuts), (F.col("stream") == F.col("_s2")) & (piece == F.col("_p2")))
+    dealt = dealt.select("row", "stream", "_h", F.array_max(F.filter("_cuts", lambda c: c["lo"] <= F.col("_h")))["_part"].alias("_part"))
+    inner = F.row_number().over(Window.partitionBy("_part", "stream").orderBy("_h")) - 1
+    ranked = dealt.repartitionByRange("_part").withColumn("_inner", inner)
+    ranked = ranked.join(F.broadcast(starts), (F.col("stream") == F.col("_s1")) & (F.col("_part") == F.col("_p1")))
+    placed = _placed(ranked.withColumn("rank", F.col("_from") + F.col("_inner")), plan, block_rows)
+    return placed.sortWithinPartitions("position").select("row.*")
