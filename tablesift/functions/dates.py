@@ -48,7 +48,8 @@ DATE_FORMATS = [
 GENERIC_SHAPE = rf"^\d{{4}}-\d{{1,2}}-\d{{1,2}}([ T]\d{{1,2}}:\d{{2}}.*)?$"
 TIME_ZONE_SHAPE = r"(?:Z|[+-]\d{2}:?\d{2})$"
 CLOCK_SHAPE = r"\d{1,2}:\d{2}"
-# Full years inside the range of 64-bit nanoseconds.
+# A text of bare digits counts as a date only in these years, as most such numbers are no dates.
+BARE_DIGITS = ("%Y%m%d", "%Y")
 FIRST_YEAR, LAST_YEAR = 1678, 2261
 
 
@@ -63,12 +64,12 @@ def parse_format(col: Column, fmt: DateFormat) -> Column:
 
 
 def is_format(col: Column, fmt: DateFormat) -> Column:
-    return F.coalesce(_in_range(parse_format(col, fmt)), F.lit(False))
+    parsed = parse_format(col, fmt)
+    return F.coalesce(_in_range(parsed), F.lit(False)) if fmt.name in BARE_DIGITS else parsed.isNotNull()
 
 
 def is_generic_date(col: Column) -> Column:
-    parsed = F.when(F.rlike(col, F.lit(GENERIC_SHAPE)), col.try_cast("timestamp"))
-    return F.coalesce(_in_range(parsed), F.lit(False))
+    return F.when(F.rlike(col, F.lit(GENERIC_SHAPE)), col.try_cast("timestamp")).isNotNull()
 
 
 def parse_date(col: Column) -> Column:

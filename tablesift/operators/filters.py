@@ -208,8 +208,8 @@ def semi_join(df: DataFrame, values: Sequence[str] | DataFrame, column: str) ->
 class DateRange:
     """Inclusive year range on ``column``; ``nulls`` keeps or removes missing dates.
 
-    Open ends become 1900 and the current year (``this_year`` for repeatable
-    runs).  Without a column the first of ``closing_date``, ``information_date``
+    An open end is unbounded; a given year must lie between 1900 and the current
+    one (``this_year`` for repeatable runs).  Without a column the first of ``closing_date``, ``information_date``
     found in the data is used, and data with neither passes unfiltered.
     """
 
@@ -221,19 +221,16 @@ class DateRange:
 
     def __post_init__(self):
         now = self.this_year or date.today().year
-        start = FIRST_YEAR if self.start_year is None else self.start_year
-        end = now if self.end_year is None else self.end_year
-        for year in (start, end):
+        given = [y for y in (self.start_year, self.end_year) if y is not None]
+        for year in given:
             if isinstance(year, bool) or not isinstance(year, int):
                 raise ValueError("years must be integers")
             if not FIRST_YEAR <= year <= now:
                 raise ValueError(f"years must lie between {FIRST_YEAR} and {now}")
-        if start > end:
+        if given != sorted(given):
             raise ValueError("start year must not be after end year")
         if self.nulls not in ("keep", "remove"):
             raise ValueError("nulls must be 'keep' or 'remove'")
-        object.__setattr__(self, "start_year", start)
-        object.__setattr__(self, "end_year", end)
 
     def resolve_column(self, columns: Sequence[str]) -> str | None:
         wanted = [self.column] if self.column else DEFAULT_DATE_COLUMNS
@@ -262,14 +259,28 @@ def apply_date_range(df: DataFrame, years: DateRange | None) -> DataFrame:
     native = isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))
     day = F.col(f"`{column}`")
     if not native:
-        # parsing is costly, so the test names the parsed date only once
-        years_in = F.year(day).isin(list(range(years.start_year, years.end_year + 1)))
         df = df.withColumn(column, as_timestamp(day, dtype))
-        return df.where(F.coalesce(years_in, F.lit(years.nulls == "keep")))
-    inside = (day >= _year_start(years.start_year, dtype)) & (
-        day < _year_start(years.end_year + 1, dtype)
-    )
-    return df.where((day.isNull() | inside) if years.nulls == "keep" else inside)
+        return _text_years(df, day, years)
+    inside = F.lit(True)
+    if years.start_year is not None:
+        inside = inside & (day >= _year_start(years.start_year, dtype))
+    if years.end_year is not None:
+        inside = inside & (day < _year_start(years.end_year + 1, dtype))
+    return df.where((day.isNull() | inside) if years.nulls == "keep" else (day.isNotNull() & inside))
+
+
+def _text_years(df: DataFrame, day: Column, years: DateRange) -> DataFrame:
+    """The year test on a parsed date, which it names only once, since parsing is costly."""
+    if years.start_year is None and years.end_year is None:
+        return df if years.nulls == "keep" else df.where(day.isNotNull())
+    year = F.year(day)
+    if years.end_year is None:
+        inside = year >= years.start_year
+    elif years.start_year is None:
+        inside = year <= years.end_year
+    else:
+        inside = year.isin(list(range(years.start_year, years.end_year + 1)))
+    return df.where(F.coalesce(inside, F.lit(years.nulls == "keep")))
 
 
 def classify_ids(ids: DataFrame, codes: DataFrame, column: str | None = None) -> DataFrame:

@@ -199,7 +199,7 @@ def profile_column(col: str, dtype: str, kind: str, total: int, base: str, produ
                  nullable AS needs_null_handling
           FROM (SELECT *, {logical} AS logical_type
                 FROM (SELECT *, {text(product)} AS data_product, {text(table)} AS "table", CAST(NULL AS VARCHAR) AS file_name,
-                             'first_file' AS sample_strategy, rows_ AS sampled_rows, {total} AS column_count, {lit(col)} AS "column",
+                             'all' AS sample_strategy, rows_ AS sampled_rows, {total} AS column_count, {lit(col)} AS "column",
                              {lit(dtype)} AS physical_dtype, rows_ > full_ AS nullable, full_ AS non_null_count,
                              rows_ - full_ AS missing_count, CASE WHEN rows_ > 0 THEN (rows_ - full_) / rows_ ELSE 0.0 END AS missing_pct,
                              uniq AS unique_count, CASE WHEN full_ > 0 THEN uniq / full_ ELSE 0.0 END AS unique_pct,
@@ -436,7 +436,7 @@ ORACLES: dict[str, str] = {
     "profile_entity_ids": f"SELECT * FROM ({profile_sql(TRADES, TRADE_COLUMNS)}) WHERE mostly_entity_id_like",
     "profile_views": f"SELECT {OPERATION_LIST} FROM ({profile_sql(TEXT_DATES, TEXT_DATE_COLUMNS, 'Finance', 'financials')})",
     "profile_summary": f"""SELECT 'Finance' AS data_product, 'financials' AS "table", CAST(NULL AS VARCHAR) AS file_name,
-        'first_file' AS sample_strategy, count(*) AS sampled_rows, 6 AS column_count FROM ({TEXT_DATES})""",
+        'all' AS sample_strategy, count(*) AS sampled_rows, 6 AS column_count FROM ({TEXT_DATES})""",
     "name_normalize": f"SELECT doc_id, {normalized('text')} AS name, {letters('text')} AS letters FROM documents",
     "name_blocks": f"""
         WITH n AS (SELECT {normalized('name')} AS name, page_id FROM ({TITLES})),

@@ -147,7 +147,8 @@ def map_headings(headings: DataFrame, dictionary: DataFrame, column: str = "head
     descending, then by product, to see the best product first.
     """
     keyed = dictionary.withColumn("letters_only", letters_only(F.col("Column")))
-    found = keyed.join(normalize_headings(headings, column), "letters_only")
+    # a name without letters has an empty key, which matches nothing
+    found = keyed.where("letters_only <> ''").join(normalize_headings(headings, column), "letters_only")
     counts = found.groupBy("Data Product").agg(F.count_distinct("heading").alias("unique_headings"))
     return found.join(counts, "Data Product")
 
@@ -157,5 +158,5 @@ def order_by_coverage(mapped: DataFrame) -> DataFrame:
 
 
 def unmatched_headings(headings: DataFrame, dictionary: DataFrame, column: str = "heading") -> DataFrame:
-    keyed = dictionary.select(letters_only(F.col("Column")).alias("letters_only"))
+    keyed = dictionary.select(letters_only(F.col("Column")).alias("letters_only")).where("letters_only <> ''")
     return normalize_headings(headings, column).join(keyed, "letters_only", "left_anti").select("heading")

@@ -32,14 +32,16 @@ def format_of(path: str) -> str:
     return FORMATS[suffix]
 
 
+#: Batch and stream readers take the same: headers are checked, bad rows fail.
+CSV_OPTIONS = {"header": True, "mode": "FAILFAST", "enforceSchema": False}
+
+
 def _read_one_format(
-    spark: SparkSession, fmt: str, paths: list[str], schema: T.StructType | str | None
+    spark: SparkSession, fmt: str, paths: list[str], schema: T.StructType | str | None, infer: bool = False
 ) -> DataFrame:
     reader = spark.read
     if fmt == "csv":
-        # without a schema the types cost one extra pass over the text
-        reader = reader.option("header", True).option("inferSchema", schema is None)
-        reader = reader.option("mode", "FAILFAST").option("enforceSchema", False)
+        reader = reader.options(**CSV_OPTIONS).option("inferSchema", infer and schema is None)
     elif fmt == "parquet" and schema is None and len(paths) > 1:
         reader = reader.option("mergeSchema", True)
     if schema is not None:
@@ -57,11 +59,13 @@ def read_table(
     paths: str | Sequence[str],
     columns: Sequence[str] | None = None,
     schema: T.StructType | str | None = None,
+    infer: bool = False,
 ) -> DataFrame:
     """One DataFrame from part files of one or several formats.
 
-    Parts of several formats are unioned by column name; text columns of CSV parts
-    take the type the typed formats give the same column.
+    Parts of several formats are unioned by column name. CSV columns are text, as
+    delivered (an ID keeps its leading zeros), unless typed parts or a schema give
+    their type. ``infer`` guesses types, at the cost of one more pass.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
@@ -69,7 +73,7 @@ def read_table(
     by_format = defaultdict(list)
     for path in paths:
         by_format[format_of(path)].append(path)
-    parts = [(fmt, _read_one_format(spark, fmt, group, schema)) for fmt, group in by_format.items()]
+    parts = [(fmt, _read_one_format(spark, fmt, group, schema, infer)) for fmt, group in by_format.items()]
     typed = {f.name: f.dataType for fmt, df in parts if fmt not in ("csv", "json") for f in df.schema}
     out = None
     for fmt, df in parts:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +16,7 @@ TYPE_BYTES = {T.IntegerType: 4, T.LongType: 8, T.FloatType: 4, T.DoubleType: 8,
 OTHER_BYTES = 8
 SIZE_FACTORS = {"csv": 3, "parquet": 12}
 WRITE_FORMATS = ("csv", "parquet", "orc", "json")
+COLUMNAR = ("parquet", "orc")
 
 
 def row_bytes(df: DataFrame) -> int:
@@ -48,33 +50,66 @@ def write_table(
     file_size_mb: int = 500,
     mode: str = "errorifexists",
     by_source: bool = False,
+    fill_null: str | None = None,
 ) -> list[str]:
     """Writes ``<destination>.<format>`` folders; returns the paths written.
 
-    Files are bounded by rows, so no partition has to be counted or moved first.
-    An unknown format raises before anything is written; an empty result writes
-    nothing.  With ``by_source`` every input part keeps its own ``source_file``
-    folder.
+    The plan runs once: a columnar format is written first and the others are made
+    from its files (with append or ignore, or text formats only, it runs for each).
+    Adaptive execution deals rows into files near ``file_size_mb``; rows per file are
+    bounded as well.  An unknown format raises before anything is written; an empty
+    result leaves nothing.  With ``by_source`` every input part keeps its own
+    ``source_file`` folder.  ``fill_null`` replaces columns that hold only nulls.
     """
     formats = [formats] if isinstance(formats, str) else list(formats)
     formats = [f.lower().lstrip(".") for f in formats]
     unknown = [f for f in formats if f not in WRITE_FORMATS]
     if unknown:
         raise ValueError(f"unsupported formats {unknown}; use {list(WRITE_FORMATS)}")
-    if df.isEmpty():
+    if fill_null is not None:
+        df = fill_null_columns(df, fill_null)
+    spark = df.sparkSession
+    own = mode in ("error", "errorifexists", "overwrite")
+    if not own and df.isEmpty():
         return []
-    written = []
-    for fmt in formats:
-        writer = df.write.mode(mode).format(fmt)
+    first = next((f for f in formats if f in COLUMNAR), formats[0])
+    source = df
+    for fmt in [first] + [f for f in formats if f != first]:
+        path = f"{destination}.{fmt}"
+        dealt = source.hint("rebalance", *(["source_file"] if by_source else []))
+        writer = dealt.write.mode(mode).format(fmt)
         writer = writer.option("maxRecordsPerFile", rows_per_file(df, fmt, file_size_mb))
         if fmt == "csv":
             writer = writer.option("header", True)
         if by_source:
             writer = writer.partitionBy("source_file")
-        path = f"{destination}.{fmt}"
-        writer.save(path)
-        written.append(path)
-    return written
+        with _advisory_size(spark, file_size_mb):
+            writer.save(path)
+        if fmt == first and own:
+            stored = spark.read.schema(df.schema).format(fmt).load(path)
+            if stored.isEmpty():
+                _remove(spark, path)
+                return []
+            source = stored if fmt in COLUMNAR else df
+    return [f"{destination}.{f}" for f in formats]
+
+
+@contextmanager
+def _advisory_size(spark: SparkSession, megabytes: int) -> Iterator[None]:
+    """The partition size that adaptive execution aims at, for one write."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, f"{megabytes}m")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Removes the folder of an empty result that was just written."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_stamped(df: DataFrame, folder: str, name: str, now: datetime | None = None) -> str | None:

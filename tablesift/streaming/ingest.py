@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.extract import ExtractSpec, extract
+from ..sources.readers import CSV_OPTIONS
 
 
 def ingest_new(
@@ -33,7 +34,7 @@ def ingest_new(
         raise ValueError("a row limit cannot be applied to a stream")
     reader = spark.readStream.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**CSV_OPTIONS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.format(fmt).load(folder)

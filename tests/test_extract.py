@@ -109,7 +109,7 @@ def test_years(spark):
 
 
 def test_year_checks():
-    assert DateRange(None, None, this_year=2024).end_year == 2024
+    assert DateRange(2020, None, this_year=2024).end_year is None
     for bad in ((2021, 2020), (1800, 2000), ("2019", 2020), (2020, 2999)):
         with pytest.raises(ValueError):
             DateRange(*bad)
@@ -196,3 +196,18 @@ def test_half_written_job_is_written_anew(spark, tmp_path):
     for status in ("written", "exists"):
         assert [r["status"] for r in run_batch(jobs, ["DK1"], lambda p, t: df, str(tmp_path)).collect()] == [status]
     assert spark.read.parquet(str(tmp_path / "1_P_T.parquet")).count() == 1
+
+
+@pytest.mark.parametrize("kind", ["date", "string"])
+def test_open_years_are_unbounded(spark, kind):
+    days = ["1850-01-01", "2020-06-01", "2090-12-31", None]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "i int, d string").withColumn("d", F.col("d").cast(kind))
+
+    def left(*years, **options):
+        return sorted(r.i for r in extract(df, ExtractSpec(["i"], years=DateRange(*years, "d", **options))).collect())
+
+    assert left(2020, None) == [1, 2]
+    assert left(None, 2020) == [0, 1]
+    assert left(None, None) == [0, 1, 2]
+    assert left(None, None, nulls="keep") == [0, 1, 2, 3]
+    assert left(2020, None, nulls="keep") == [1, 2, 3]

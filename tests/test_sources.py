@@ -21,7 +21,7 @@ def test_readers(spark, tmp_path):
     paths = [f"{tmp_path}/t.{f}" for f in ("csv", "parquet", "orc")]
     mixed = read_table(spark, paths)
     assert dict(mixed.dtypes)["value"] == "int" and mixed.count() == 6
-    assert rows(read_table(spark, f"{tmp_path}/t.csv", ["value"]), "value") == [(1,), (2,)]
+    assert rows(read_table(spark, f"{tmp_path}/t.csv", ["value"]), "value") == [("1",), ("2",)]
     assert readers.column_names(spark, f"{tmp_path}/t.parquet") == ["value", "name"]
     assert readers.column_names(spark, f"{tmp_path}/t.csv") == ["value", "name"]
     with pytest.raises(ValueError, match="xyz"):
@@ -184,3 +184,45 @@ def test_batch(spark, tmp_path):
     assert rows(spark.read.parquet(f"{tmp_path}/1_P_t.parquet"), "value") == [(1,), (2,)]
     assert incomplete_jobs(first).count() == 2
     assert run_batch(jobs, ["DK1"], load, str(tmp_path)).first().status == "exists"
+
+
+def test_csv_values_stay_as_delivered(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,n\n00123,7\n")
+    path = f"{tmp_path}/a.csv"
+    assert rows(read_table(spark, path), "id", "n") == [("00123", "7")]
+    assert rows(read_table(spark, path, schema="id string, n int"), "id", "n") == [("00123", 7)]
+    assert dict(read_table(spark, path, infer=True).dtypes)["n"] == "int"
+
+
+def test_stream_checks_csv_headers(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("b,a\n1,x\n")
+    with pytest.raises(Exception, match="(?i)header|CSV"):
+        ingest_new(spark, f"{tmp_path}/in", "a string, b int", f"{tmp_path}/out", f"{tmp_path}/ck", "csv")
+
+
+def test_formats_share_one_run_and_few_files(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    df = spark.range(0, 1000, 1, 50).mapInPandas(counted, "id long")
+    for path in write_table(df, f"{tmp_path}/t", ["csv", "parquet", "json"]):
+        assert len([f for f in os.listdir(path) if f.startswith("part-")]) == 1
+        assert read_table(spark, path).count() == 1000
+    assert read.value == 1000
+
+
+def test_fill_null_on_write(spark, tmp_path):
+    path, = write_table(spark.sql("SELECT 1 AS a, cast(NULL AS int) AS b"), f"{tmp_path}/f", fill_null="N/A")
+    assert rows(spark.read.parquet(path), "a", "b") == [(1, "N/A")]
+
+
+def test_names_without_letters_match_nothing(spark):
+    headings = spark.createDataFrame([("123",), ("Total",)], "heading string")
+    names = spark.createDataFrame([("p", "456"), ("p", "total")], "`Data Product` string, Column string")
+    assert rows(metadata.map_headings(headings, names), "heading", "Column") == [("Total", "total")]
+    assert rows(metadata.unmatched_headings(headings, names), "heading") == [("123",)]
