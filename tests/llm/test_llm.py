@@ -357,6 +357,10 @@ def test_mix_keeps_every_row(spark):
     ordered = mixing.in_mixed_order(df, {"src0": 1.0})
     assert ordered.columns == df.columns and ordered.count() == 205
     assert mixing.mix(df.limit(0), {"src0": 1.0}).count() == 0
+    assert mixing.in_mixed_order(df.limit(0), {"src0": 1.0}).count() == 0
+    single = df.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    places = mixing.mix(single, {"src0": 0.4, "src1": 0.5}, block_rows=4).orderBy("position").collect()
+    assert [r["doc_id"] for r in mixing.in_mixed_order(single, {"src0": 0.4, "src1": 0.5}, block_rows=4).collect()] == [r["doc_id"] for r in places]
 
 
 # --- pipeline ----------------------------------------------------------------------
