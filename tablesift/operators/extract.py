@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 from .filters import DateRange, LayeredFilter, apply_date_range, apply_layers, merge_columns
 
+PART = "_part_file"  # name of the part file a row comes from, while functions of parts run
+
 
 @dataclass(frozen=True)
 class ExtractSpec:
@@ -21,6 +23,8 @@ class ExtractSpec:
     ``predicate`` is a Spark SQL text or a Column.  ``function`` is called as
     ``function(df, *function_args)``; with ``scope="partition"`` it gets pandas
     batches instead and must work row by row, ``function_schema`` naming its output.
+    With ``scope="part"`` it gets all kept rows of one part file at a time, for functions
+    that aggregate; the table must come straight from files.
     """
 
     columns: Sequence[str] | None = None
@@ -54,9 +58,16 @@ def apply_function(df: DataFrame, spec: ExtractSpec) -> DataFrame:
         return df
     if spec.scope == "table":
         return df.transform(spec.function, *spec.function_args)
-    if spec.scope != "partition":
-        raise ValueError("scope must be 'table' or 'partition'")
+    if spec.scope not in ("partition", "part"):
+        raise ValueError("scope must be 'table', 'partition' or 'part'")
     fn, args = spec.function, tuple(spec.function_args)
+    if spec.scope == "part":
+        rest = df.drop(PART)
+
+        def of_part(rows: pd.DataFrame) -> pd.DataFrame:
+            return fn(rows.drop(columns=PART), *args)
+
+        return df.groupBy(PART).applyInPandas(of_part, schema=spec.function_schema or rest.schema)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -71,9 +82,18 @@ def extract(df: DataFrame, spec: ExtractSpec) -> DataFrame:
     if spec.ids:
         check_columns(df.columns, spec.ids.columns())
     required = spec.required_columns(df.columns)
-    out = df.transform(apply_layers, spec.ids).transform(apply_date_range, spec.years)
+    if spec.function is not None and spec.scope == "part":
+        df = df.withColumn(PART, F.col("_metadata.file_path"))
+    dated = spec.years.resolve_column(df.columns) if spec.years else None
+    # layers with long lists come last, as their joins would hold the other filters from
+    # the scan, unless they test the date column, which the year range may parse
+    both, any_of = spec.ids.layers() if spec.ids else ([], [])
+    layers_first = all(c.inline for c in both + any_of) or (spec.ids is not None and dated in spec.ids.columns())
+    out = df.transform(apply_layers, spec.ids) if layers_first else df
+    out = out.transform(apply_date_range, spec.years)
     if spec.predicate is not None:
         out = out.where(spec.predicate)
+    out = out if layers_first else out.transform(apply_layers, spec.ids)
     out = apply_function(out, spec)
     if spec.columns is not None:
         keep = required if spec.keep_filter_columns else list(spec.columns)

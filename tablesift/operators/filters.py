@@ -149,7 +149,12 @@ def value_frame(df: DataFrame, values: Sequence[str] | DataFrame) -> DataFrame:
 
 
 def _joined_test(df: DataFrame, clause: Clause, tag: str) -> tuple[DataFrame, Column]:
-    """Left joins on the distinct values, one flag per column (and prefix length)."""
+    """Left joins on the distinct values, one flag per column (and prefix length).
+
+    Rows without the ID are dealt out by the partition they come from, so that a column
+    with many nulls does not send them all to one task.
+    """
+    df = df.withColumn(f"_part_{tag}", F.spark_partition_id() + 1)
     if clause.mode == "exact":
         groups = {None: clause.values}
     else:
@@ -161,26 +166,41 @@ def _joined_test(df: DataFrame, clause: Clause, tag: str) -> tuple[DataFrame, Co
         for length, values in groups.items():
             flag = f"_hit_{tag}_{len(flags)}"
             listed = value_frame(df, values).select(
-                F.col("_value").alias(f"{flag}_key"), F.lit(True).alias(flag)
+                F.col("_value").alias(f"{flag}_key"), F.lit(0).alias(f"{flag}_salt"), F.lit(True).alias(flag)
             )
             key = _as_text(df, c)
             key = key if length is None else F.substring(key, 1, length)
-            df = df.join(listed, key == F.col(f"{flag}_key"), "left").drop(f"{flag}_key")
+            salt = F.when(key.isNull(), F.col(f"_part_{tag}")).otherwise(0)
+            same = (F.coalesce(key, F.lit("")) == F.col(f"{flag}_key")) & (salt == F.col(f"{flag}_salt"))
+            df = df.join(listed, same, "left").drop(f"{flag}_key", f"{flag}_salt")
             flags.append(flag)
     return df, reduce(operator.or_, [F.col(f).isNotNull() for f in flags])
 
 
+def _is_semi_join(clause: Clause) -> bool:
+    return not clause.inline and clause.mode == "exact" and len(clause.columns) == 1
+
+
 def apply_layers(df: DataFrame, layered: LayeredFilter | None) -> DataFrame:
-    """Filter by a layered filter; short lists in the plan, long lists as joins."""
+    """Filter by a layered filter; short lists in the plan, long lists as joins.
+
+    Without alternatives every clause must hold: those on one column become semi joins,
+    one after another, so each shrinks what the next one reads.
+    """
     if layered is None:
         return df
     both, any_of = layered.layers()
     if not both and not any_of:
         return df
     columns = df.columns
-    if len(both) == 1 and not any_of and not both[0].inline and both[0].mode == "exact":
-        if len(both[0].columns) == 1:
-            return semi_join(df, both[0].values, both[0].columns[0])
+    if not any_of:
+        for clause in [c for c in both if c.inline]:
+            df = df.where(_inline_test(df, clause))
+        for clause in filter(_is_semi_join, both):
+            df = semi_join(df, clause.values, clause.columns[0])
+        both = [c for c in both if not c.inline and not _is_semi_join(c)]
+        if not both:
+            return df
 
     def tests(clauses: list[Clause], layer: str) -> list[Column]:
         nonlocal df

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from ..functions.dates import CLOCK_SHAPE, DATE_FORMATS, GENERIC_SHAPE, TIME_ZONE_SHAPE
-from ..functions.text import COMPANY_SUFFIXES, clean_suffix
 from .data import CODES, SUFFIXES
 from .queries import LONG_IDS, SEARCH_WORDS, SHORT_IDS
 
@@ -240,10 +239,21 @@ OPERATION_LIST = (
 # names
 
 
-def normalized(col: str, suffixes=COMPANY_SUFFIXES) -> str:
+# The company suffixes as they are once cleaned, in matching order.
+CLEANED_SUFFIXES = [
+    "inc", "incorporated", "ltd", "limited", "llc", "plc", "corp", "corporation",
+    "co", "company", "llp", "gmbh", "ag", "sa", "sas", "pty ltd", "bv", "oy", "as",
+    "nv", "kk", "srl", "sp z oo", "sc", "ou",
+    "inc", "ltd", "llc", "plc", "corp", "co", "llp", "gmbh", "ag", "s a",
+    "s a s", "pty ltd", "b v", "oy", "a s", "n v", "k k", "s r l",
+    "sp z o o", "s c", "oü",
+]
+
+
+def normalized(col: str, suffixes=CLEANED_SUFFIXES) -> str:
     clean = f"trim(regexp_replace(regexp_replace(lower({col}), '[^\\p{{L}}\\p{{M}}\\p{{N}}_\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
     cases = " ".join(
-        f"WHEN ends_with(n, {lit(s)}) THEN trim(n[1:length(n) - {len(s)}])" for s in map(clean_suffix, suffixes))
+        f"WHEN ends_with(n, {lit(s)}) THEN trim(n[1:length(n) - {len(s)}])" for s in suffixes)
     return f"(SELECT nullif(CASE {cases} ELSE n END, '') FROM (SELECT {clean} AS n))"
 
 
@@ -370,6 +380,14 @@ ORACLES: dict[str, str] = {
     "column_predicate": financials_where("o_orderstatus = 'F' AND total_assets BETWEEN 1000 AND 200000"),
     "table_function": f"SELECT entity_id, max(total_assets) AS largest, count(*) AS n FROM ({FINANCIALS}) GROUP BY entity_id",
     "partition_function": f"SELECT o_orderkey, total_assets / 1000 AS thousands FROM ({FINANCIALS}) WHERE total_assets > 250000",
+    "part_function": "SELECT o_orderstatus, max(o_totalprice) AS largest, count(*) AS n FROM orders GROUP BY o_orderstatus",
+    "extract_null_ids": f"""SELECT * FROM (SELECT *, CASE WHEN l_linenumber = 7 THEN seller_id END AS agent_id FROM ({TRADES}))
+        WHERE agent_id IN {in_list(LONG_IDS)} OR buyer_id IN {in_list(LONG_IDS)}""",
+    "extract_two_lists": f"""SELECT * FROM ({TRADES}) WHERE buyer_id IN {in_list(LONG_IDS)}
+        AND buyer_id IN (SELECT entity_id FROM ({ENTITIES}) WHERE c_acctbal > 0)""",
+    "id_list_file": f"""SELECT DISTINCT entity_id AS value, 'headed' AS form FROM ({ENTITIES})
+        UNION ALL SELECT entity_id, 'plain' FROM ({ENTITIES})""",
+    "id_list_kept": financials_where(f"entity_id IN (SELECT entity_id FROM ({ENTITIES}) WHERE c_acctbal < 0)"),
     "sample_limit": financials_where("true") + " ORDER BY o_orderkey LIMIT 1000",
     "national_id_lookup": f"SELECT entity_id, c_custkey FROM ({ENTITIES}) WHERE c_custkey IN (1, 7, 42, 99, 100, 1001)",
     "id_list_classify": f"""
@@ -385,7 +403,8 @@ ORACLES: dict[str, str] = {
     "year_distribution_text": distribution(TEXT_DATES, "try_cast(closing_date AS TIMESTAMP)"),
     "mixed_format_union": "SELECT * FROM orders",
     "write_split_roundtrip": " UNION ALL ".join([f"SELECT * FROM ({FINANCIALS})"] * 3),
-    "write_per_source": "SELECT 'orders' AS source_file, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders",
+    "write_per_source": """SELECT 'orders' AS source_file, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders
+        UNION ALL SELECT 'lineitem', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM lineitem""",
     "null_column_fill": f"SELECT o_orderkey, total_assets, 'N/A' AS note FROM ({FINANCIALS})",
     "ingest_new_files": "SELECT o_orderkey, o_totalprice FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1999",
     "batch_extract": f"""
@@ -421,6 +440,16 @@ ORACLES: dict[str, str] = {
         OR contains({letters('"Column"')}, 'redbolt') OR contains({letters('"Definition"')}, 'redbolt')""",
     "dictionary_exact": f"""SELECT * FROM ({DICTIONARY}) WHERE "Column" = 'red bolt'""",
     "dictionary_multi_word": dictionary_words(),
+    "dictionary_many_words": f"""SELECT t.*, w AS search_word FROM ({DICTIONARY}) t JOIN (SELECT DISTINCT p_name AS w FROM part)
+        ON contains(lower("Data Product"), lower(w)) OR contains(lower("Table"), lower(w)) OR contains(lower("Column"), lower(w))
+           OR contains(lower("Definition"), lower(w))""",
+    "dictionary_many_exact": f"""SELECT t.*, w AS search_word FROM ({DICTIONARY}) t JOIN (SELECT p_type AS w FROM part UNION SELECT p_brand FROM part)
+        ON w IN ("Data Product", "Table", "Column", "Definition")""",
+    "dictionary_available": f"""SELECT * FROM ({DICTIONARY}) WHERE {any_has('red')}
+        AND "Data Product" IN (SELECT p_brand FROM part WHERE p_size > 48)""",
+    "metadata_read": f'SELECT DISTINCT "Data Product", "Column" FROM ({DICTIONARY})',
+    "text_helpers": r"""SELECT p_partkey, p_name || '|' || p_brand || '|' || p_type AS listed,
+        regexp_replace(p_name || '/' || p_brand, '[^\p{L}\p{N}._\- ]', '_', 'g') AS file FROM part""",
     "table_dates": f"""SELECT DISTINCT "Data Product", "Table", "Column" FROM ({DICTIONARY}) WHERE "Data Product" = 'Brand#3' AND {has('"Table"', 'small')}""",
     "country_search": f"""SELECT * FROM ({COUNTRY_CODES}) WHERE {has('"Code"', 'd')}""",
     "heading_map": f"""SELECT m.*, unique_headings FROM ({MAPPED}) m JOIN
@@ -454,3 +483,4 @@ ORACLES: dict[str, str] = {
     "name_best_ties": """SELECT DISTINCT p_brand AS "Search_string", p_name AS "BestMatch", CAST(p_size AS DOUBLE) AS "Score" FROM part
         QUALIFY rank() OVER (PARTITION BY p_brand ORDER BY p_size DESC) = 1""",
 }
+ORACLES |= {"saved_matches": ORACLES["name_best_ties"], "profile_report": ORACLES["profile_summary"], "profile_files": ORACLES["profile_orders"]}

@@ -8,9 +8,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import company_suffixes, letters_only, normalize_name
+from ..functions.text import company_suffixes, letters_only, normalize_name, safe_file_name, split_list
 from ..operators.extract import ExtractSpec, extract, lookup_national_ids, preflight, sample
-from ..operators.filters import Clause, DateRange, LayeredFilter, classify_ids
+from ..operators.filters import Clause, DateRange, LayeredFilter, classify_ids, id_clause
 from ..operators.jobs import run_batch
 from ..operators.lineage import resolve_lineage
 from ..operators.names import (
@@ -21,12 +21,12 @@ from ..operators.names import (
     prepare_names,
     search_company_names,
 )
-from ..operators.profile import profile, report_views
+from ..operators.profile import profile, profile_tables, report_views, write_report
 from ..operators.stats import year_distribution
 from ..sources import catalog as cat
 from ..sources import metadata as meta
-from ..sources.readers import read_table, with_source_file
-from ..sources.writers import fill_null_columns, write_table
+from ..sources.readers import read_id_list, read_metadata, read_plain_ids, read_table, with_source_file
+from ..sources.writers import fill_null_columns, write_stamped, write_table
 from ..streaming.ingest import ingest_new
 from . import data as d
 
@@ -149,6 +149,31 @@ def partition_function(spark, sf):
     return extract(rows, spec)
 
 
+@query
+def part_function(spark, sf):
+    """The largest order of each status, part file by part file, then over all parts."""
+    def largest(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.groupby("o_orderstatus", as_index=False).agg(largest=("o_totalprice", "max"), n=("o_orderkey", "count"))
+
+    spec = ExtractSpec(predicate="o_orderdate IS NOT NULL", function=largest, scope="part", function_schema="o_orderstatus string, largest double, n long")
+    parts = extract(d.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"), spec)
+    return parts.groupBy("o_orderstatus").agg(F.max("largest").alias("largest"), F.sum("n").alias("n"))
+
+
+@query
+def extract_null_ids(spark, sf):
+    """A long list over two columns, one of which is mostly null."""
+    rows = d.trades(spark, sf).withColumn("agent_id", F.when(F.col("l_linenumber") == 7, F.col("seller_id")))
+    return extract(rows, ExtractSpec(ids=by_ids(LONG_IDS, ["agent_id", "buyer_id"])))
+
+
+@query
+def extract_two_lists(spark, sf):
+    """Two long lists that must both hold, each on its column."""
+    layers = LayeredFilter(Clause(LONG_IDS, "buyer_id"), Clause(d.entities(spark, sf).where("c_acctbal > 0").select("entity_id"), "buyer_id"))
+    return extract(d.trades(spark, sf), ExtractSpec(ids=layers))
+
+
 @query
 def sample_limit(spark, sf):
     return sample(d.financials(spark, sf).orderBy("o_orderkey"), ExtractSpec(FINANCIAL_COLUMNS), 1000)
@@ -167,6 +192,25 @@ def id_list_classify(spark, sf):
     return classify_ids(ids, codes)
 
 
+@query
+def id_list_file(spark, sf):
+    """ID lists read from files with and without a header."""
+    root, ids = d.scratch(spark), d.entities(spark, sf).select("entity_id")
+    ids.write.option("header", True).csv(f"{root}/headed.csv")
+    ids.write.text(f"{root}/plain.txt")
+    headed = read_id_list(spark, f"{root}/headed.csv", d.country_codes(spark, sf))
+    plain = read_plain_ids(spark, f"{root}/plain.txt")
+    return headed.withColumn("form", F.lit("headed")).unionByName(plain.withColumn("form", F.lit("plain")))
+
+
+@query
+def id_list_kept(spark, sf):
+    """An ID list with values that are no IDs, all kept."""
+    listed = d.entities(spark, sf).where("c_acctbal < 0").select("entity_id").union(d.table(spark, sf, "part").select("p_brand"))
+    clause = id_clause(listed, d.country_codes(spark, sf), "entity_id", on_invalid="keep")
+    return extract(d.financials(spark, sf), ExtractSpec(FINANCIAL_COLUMNS, LayeredFilter(clause)))
+
+
 @query
 def preflight_report(spark, sf):
     """The report, with the number of rows the extract then gives."""
@@ -210,9 +254,11 @@ def write_split_roundtrip(spark, sf):
 
 @query
 def write_per_source(spark, sf):
-    parts = with_source_file(d.table(spark, sf, "orders"))
-    path, = write_table(parts, f"{d.scratch(spark)}/per", by_source=True)
-    return spark.read.parquet(path).groupBy("source_file").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+    orders = with_source_file(d.table(spark, sf, "orders")).select("o_orderkey", "source_file")
+    lines = with_source_file(d.table(spark, sf, "lineitem")).select(F.col("l_orderkey").alias("o_orderkey"), "source_file")
+    path, = write_table(orders.unionByName(lines), f"{d.scratch(spark)}/per", by_source=True)
+    stem = F.regexp_replace("source_file", "-[0-9a-f]{16}$", "").alias("source_file")
+    return spark.read.parquet(path).groupBy(stem).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
 
 
 @query
@@ -328,6 +374,42 @@ def dictionary_multi_word(spark, sf):
     return meta.search_dictionary_words(d.dictionary(spark, sf), SEARCH_WORDS)
 
 
+@query
+def dictionary_many_words(spark, sf):
+    """Every part name as a search word."""
+    words = d.table(spark, sf, "part").select("p_name")
+    return meta.search_dictionary_words(d.dictionary(spark, sf), words)
+
+
+@query
+def dictionary_many_exact(spark, sf):
+    words = d.table(spark, sf, "part").select("p_type").union(d.table(spark, sf, "part").select("p_brand"))
+    return meta.search_dictionary_words(d.dictionary(spark, sf), words, exact=True)
+
+
+@query
+def dictionary_available(spark, sf):
+    """Only products that a catalog holds."""
+    held = d.table(spark, sf, "part").where("p_size > 48").select(F.col("p_brand").alias("Data Product"))
+    return meta.search_dictionary(d.dictionary(spark, sf), "RED", available=held)
+
+
+@query
+def metadata_read(spark, sf):
+    path = f"{d.scratch(spark)}/dictionary.parquet"
+    d.dictionary(spark, sf).write.parquet(path)
+    return read_metadata(spark, path, ["Data Product", "Column"])
+
+
+@query
+def text_helpers(spark, sf):
+    """Comma lists split and trimmed, and file names made safe."""
+    parts = d.table(spark, sf, "part")
+    return parts.select(
+        "p_partkey", F.array_join(split_list(F.concat_ws(" , ", "p_name", "p_brand", "p_type")), "|").alias("listed"),
+        safe_file_name(F.concat_ws("/", "p_name", "p_brand")).alias("file"))
+
+
 @query
 def table_dates(spark, sf):
     dates = d.dictionary(spark, sf).select("Data Product", "Table", "Column").distinct()
@@ -407,6 +489,20 @@ def profile_summary(spark, sf):
     return report_views(prof)["summary"]
 
 
+@query
+def profile_files(spark, sf):
+    """Profiles of tables given by their files."""
+    return naive(profile_tables(spark, {("Sales", "orders"): [f"{sf}/orders.parquet"]}, d.CODES))
+
+
+@query
+def profile_report(spark, sf):
+    """The summary view of a written report."""
+    path = f"{d.scratch(spark)}/report"
+    write_report(profile(d.text_dates(spark, sf), d.CODES, "Finance", "financials"), path)
+    return spark.read.parquet(f"{path}/summary")
+
+
 # names
 
 
@@ -481,6 +577,14 @@ def name_best_ties(spark, sf):
     return best_matches(parts)
 
 
+@query
+def saved_matches(spark, sf):
+    """A match result saved under a time stamp, and read again."""
+    best = name_best_ties(spark, sf)
+    path = write_stamped(best, d.scratch(spark), "matches")
+    return spark.read.schema(best.schema).option("header", True).csv(path)
+
+
 @query
 def name_match_phrases(spark, sf):
     """All phrases of the benchmark texts against all phrases of the documents."""

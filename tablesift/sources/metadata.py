@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import contains_word, first_line, letters_only
-from ..operators.filters import BROADCAST_BYTES
 
 DICTIONARY_COLUMNS = ("Data Product", "Table", "Column", "Definition")
+INLINE_WORDS = 100  # search words that are written into the plan
+GRAM = 3
 
 
 def restrict_products(df: DataFrame, available: DataFrame | None) -> DataFrame:
@@ -75,7 +76,7 @@ def search_dictionary(
 
 def search_dictionary_words(
     dictionary: DataFrame,
-    words: Sequence[str],
+    words: Sequence[str] | DataFrame,
     columns: Sequence[str] | None = None,
     letters: bool = False,
     exact: bool = False,
@@ -85,16 +86,54 @@ def search_dictionary_words(
 ) -> DataFrame:
     """Every (dictionary row, word) hit, tagged with ``search_word``.
 
-    The words are a literal array, so the dictionary is read once and not joined.
+    ``words`` is a list of any length or a DataFrame, whose first column is taken. A few
+    words are a literal array, so the dictionary is read once and not joined; more are
+    joined: by equality on the cell values, or on the rarest three letters of each word,
+    with the test for containment on what that join finds. Null words find nothing.
     """
-    if sum(len(w.encode()) for w in words) > BROADCAST_BYTES:
-        raise ValueError("too many search words for one plan; search in several calls")
     df = _narrow(restrict_products(dictionary, available), product, table)
-    listed = F.array(*[letters_only(F.lit(w)) if letters else F.lit(w) for w in dict.fromkeys(words)])
-    hits = F.filter(
-        listed, lambda w: _hit(_searched(product, table, columns), w, letters, exact)
-    )
-    return df.withColumn("search_word", F.explode(hits))
+    searched = _searched(product, table, columns)
+    if not isinstance(words, DataFrame):
+        words = [w for w in dict.fromkeys(words) if w is not None]
+        if len(words) <= INLINE_WORDS:
+            listed = F.array(*[letters_only(F.lit(w)) if letters else F.lit(w) for w in words])
+            hits = F.filter(listed, lambda w: _hit(searched, w, letters, exact))
+            return df.withColumn("search_word", F.explode(hits))
+        words = df.sparkSession.createDataFrame([(w,) for w in words], "word string")
+    words = words.select(F.col(f"`{words.columns[0]}`").cast("string").alias("word")).dropna().distinct()
+    words = words.select(letters_only(F.col("word")).alias("search_word") if letters else F.col("word").alias("search_word"))
+    if not searched:
+        return df.join(words.limit(0), F.lit(True))
+    cells = [F.col(f"`{c}`").cast("string") for c in searched]
+    cells = F.filter(F.array(*[letters_only(c) if letters else c for c in cells]), lambda c: c.isNotNull())
+    if exact:
+        found = df.withColumn("_cell", F.explode(F.array_distinct(cells)))
+        return found.join(words, F.col("_cell") == F.col("search_word")).drop("_cell")
+    grams = F.array_distinct(F.flatten(F.transform(cells, lambda c: F.concat(*[_grams(F.lower(c), n) for n in range(GRAM + 1)]))))
+    found = df.withColumn("_gram", F.explode(grams))
+    common = found.groupBy(F.col("_gram").alias("g")).agg(F.count(F.lit(1)).alias("n"))
+    word = F.lower("search_word")
+    # a word below three letters is its own key; its length says how long the grams are
+    own = F.when(F.length(word) < GRAM, F.array(word)).otherwise(F.array_distinct(_grams(word, GRAM)))
+    keyed = single_words(words).withColumn("key", F.explode(own)).join(common, F.col("key") == F.col("g"), "left")
+    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key"))["key"].alias("_key")
+    keyed = keyed.groupBy("search_word", "_times").agg(rarest)
+    found = found.join(keyed, F.col("_gram") == F.col("_key")).where(_hit(searched, F.col("search_word"), letters, False))
+    return found.withColumn("_times", F.explode(F.array_repeat(F.lit(1), F.col("_times").cast("int")))).drop("_gram", "_key", "_times")
+
+
+def single_words(words: DataFrame) -> DataFrame:
+    """Distinct search words with the number of given words that come to the same."""
+    return words.groupBy("search_word").agg(F.count(F.lit(1)).alias("_times"))
+
+
+def _grams(text: Column, length: int) -> Column:
+    """All runs of so many letters of a text; of length zero the empty text."""
+    if not length:
+        return F.array(F.lit(""))
+    last = F.length(text) - (length - 1)
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(text, i, F.lit(length)))
+    return F.when(last >= 1, runs).otherwise(F.array().cast("array<string>"))
 
 
 def date_columns(

@@ -92,8 +92,13 @@ def read_table(
 
 
 def with_source_file(df: DataFrame, column: str = "source_file") -> DataFrame:
-    """Adds the stem of the part file each row comes from."""
-    return df.withColumn(column, F.regexp_replace("_metadata.file_name", r"\.[^.]*$", ""))
+    """Adds a name of the part file each row comes from: its stem and a hash of its path.
+
+    Equal stems of two folders or formats stay apart, and the name is never a number.
+    """
+    stem = F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "")
+    path = F.lpad(F.lower(F.hex(F.xxhash64("_metadata.file_path"))), 16, "0")
+    return df.withColumn(column, F.concat(stem, F.lit("-"), path))
 
 
 def column_names(spark: SparkSession, path: str) -> list[str]:

@@ -211,3 +211,24 @@ def test_open_years_are_unbounded(spark, kind):
     assert left(None, None) == [0, 1, 2]
     assert left(None, None, nulls="keep") == [0, 1, 2, 3]
     assert left(2020, None, nulls="keep") == [1, 2, 3]
+
+
+def test_function_of_part_files(spark, tmp_path):
+    for k in range(2):
+        spark.range(10 * k, 10 * k + 5 + k).coalesce(1).write.mode("append").parquet(f"{tmp_path}/t.parquet")
+    count = ExtractSpec(predicate="id <> 3", function=lambda pdf: pdf.agg({"id": ["count"]}).rename(columns={"id": "n"}), scope="part", function_schema="n long")
+    assert sorted(r.n for r in extract(spark.read.parquet(f"{tmp_path}/t.parquet"), count).collect()) == [4, 6]
+
+
+def test_long_lists_keep_pushed_filters_and_spread_nulls(spark, tmp_path):
+    rows = [(datetime(2020, 1, 1), None if i % 3 else f"A{i}", None if i % 2 else f"B{i}", i) for i in range(60)]
+    spark.createDataFrame(rows, "d timestamp_ntz, a string, b string, value int").write.parquet(f"{tmp_path}/t")
+    listed = [f"A{i}" for i in range(0, 3000, 2)] + [f"B{i}" for i in range(0, 3000, 4)]
+    table = spark.read.parquet(f"{tmp_path}/t")
+    spec = ExtractSpec(["value"], LayeredFilter(Clause(listed, ["a", "b"])), DateRange(2020, 2020, "d"), predicate="value < 50")
+    got = extract(table, spec)
+    assert values(got) == [i for i in range(50) if i % 6 == 0 or i % 4 == 0]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = extract(table, spec)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(d" in plan and "LessThan(value,50)" in plan

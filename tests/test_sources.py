@@ -226,3 +226,31 @@ def test_names_without_letters_match_nothing(spark):
     names = spark.createDataFrame([("p", "456"), ("p", "total")], "`Data Product` string, Column string")
     assert rows(metadata.map_headings(headings, names), "heading", "Column") == [("Total", "total")]
     assert rows(metadata.unmatched_headings(headings, names), "heading") == [("123",)]
+
+
+def test_many_search_words(spark, monkeypatch):
+    columns = "`Data Product` string, Table string, Column string, Definition string"
+    lines = [("Trade", "Deals", "buyer id", "ID of the buyer"), ("Trade", "Deals", None, ""), (None, None, None, None),
+             ("Fin-Ance", "Assets", "Total Assets", "aaaa"), ("Fin-Ance", "Assets", "Total Assets", "aaaa")]
+    table = spark.createDataFrame(lines, columns)
+    words = ["", "a", "ID", "aa", "aaa", "assets", "BUYER", "nope", "-", "Trade", "Total Assets", "Fin-Ance"]
+    for exact in (False, True):
+        for letters in (False, True):
+            few = metadata.search_dictionary_words(table, words, exact=exact, letters=letters)
+            with monkeypatch.context() as m:
+                m.setattr(metadata, "INLINE_WORDS", 0)
+                many = metadata.search_dictionary_words(table, words, exact=exact, letters=letters)
+                framed = metadata.search_dictionary_words(table, spark.createDataFrame([(w,) for w in [*words, None]], "w string"), exact=exact, letters=letters)
+                expected = sorted(map(repr, few.collect()))
+                assert expected and sorted(map(repr, many.collect())) == expected == sorted(map(repr, framed.collect()))
+
+
+def test_source_names_are_unique_text(spark, tmp_path):
+    for folder in ("a", "b"):
+        os.makedirs(f"{tmp_path}/{folder}.csv")
+        with open(f"{tmp_path}/{folder}.csv/0001.csv", "w") as out:
+            out.write("x\n1\n")
+    tagged = readers.with_source_file(read_table(spark, [f"{tmp_path}/a.csv", f"{tmp_path}/b.csv"]))
+    path, = write_table(tagged, f"{tmp_path}/per", by_source=True)
+    names = [r.source_file for r in spark.read.parquet(path).collect()]
+    assert len(set(names)) == 2 and all(n.startswith("0001-") for n in names)
