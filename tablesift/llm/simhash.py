@@ -49,11 +49,11 @@ SMALL = 24  # fingerprints of a cell up to which all its pairs are tested in one
 PIECE = 1 << 16  # shingles whose bits are counted at once
 
 
-def fingerprint_of(text: str | None, words: int) -> int:
-    """The fingerprint as a signed 64-bit number."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """The XXH64 hashes of the text's word shingles; a shorter text is one shingle, an empty one has none."""
     parts = (text or "").encode("utf-8", "replace").lower().split()
     if not parts:
-        return 0
+        return np.empty(0, np.uint64)
     if len(parts) <= words:
         hashes = [xxhash.xxh64_intdigest(b" ".join(parts), SEED)]
     else:
@@ -62,7 +62,14 @@ def fingerprint_of(text: str | None, words: int) -> int:
         starts = [0, *ends[: len(parts) - words].tolist()]
         digest = xxhash.xxh64_intdigest
         hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, (ends[words - 1:] - 1).tolist(), strict=True)]
-    values = np.array(hashes, np.uint64)
+    return np.array(hashes, np.uint64)
+
+
+def fingerprint_of(text: str | None, words: int) -> int:
+    """The fingerprint as a signed 64-bit number."""
+    values = shingle_hashes(text, words)
+    if not len(values):
+        return 0
     ones = np.zeros(64, np.int64)
     for at in range(0, len(values), PIECE):
         bits = np.unpackbits(values[at:at + PIECE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")

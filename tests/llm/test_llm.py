@@ -365,6 +365,57 @@ def test_mix_keeps_every_row(spark):
 
 # --- pipeline ----------------------------------------------------------------------
 
+def brute_shingles(text, words=5):
+    parts = (text or "").encode().lower().split()
+    return {b" ".join(parts[i:i + words]) for i in range(max(1, len(parts) - words + 1))} if parts else set()
+
+
+def near_copies(rng, n, edits):
+    """A text of n words and copies with some words changed."""
+    base = [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    for count in edits:
+        copy = list(base)
+        for at in rng.sample(range(n), count):
+            copy[at] = f"x{rng.randrange(10**9)}"
+        yield " ".join(copy)
+
+
+def survivors(rows):
+    """Of each group linked at a Jaccard similarity of 0.8 the smallest doc_id, by all pairs."""
+    sets, parent = {i: brute_shingles(t) for i, t in rows}, {i: i for i, _ in rows}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for a in sets:
+        for b in sets:
+            if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    return {i for i in parent if root(i) == i}
+
+
+def test_near_dedup_links_all_pairs_from_a_similarity_of_0_8(spark, monkeypatch):
+    import corpus_pipeline
+    from tablesift.llm import neardup
+
+    monkeypatch.setattr(neardup, "SAMPLE", 2)
+    rng = random.Random(9)
+    texts = [None, "", "a b", "A  b", "a b c"] + ["boiler plate line of ten words that all texts have " + sentence(rng, 12) for _ in range(30)]
+    for n in (150, 300, 600):
+        for _ in range(12):
+            texts += near_copies(rng, n, [0, *[rng.randint(0, n // 40) for _ in range(3)]])
+    texts += near_copies(rng, 200, [rng.randint(0, 5) for _ in range(60)])
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    sims = [len(a & b) / len(a | b) for i, a in enumerate(map(brute_shingles, texts)) for b in map(brute_shingles, texts[:i]) if a & b]
+    assert sum(0.8 <= s < 0.95 for s in sims) > 30 and sum(0.6 < s < 0.8 for s in sims) > 30
+    got = corpus_pipeline.near_dedup(spark, docs_of(spark, rows), None)
+    assert {r["doc_id"] for r in got.collect()} == survivors(rows)
+    assert corpus_pipeline.near_dedup(spark, docs_of(spark, rows).limit(0), None).count() == 0
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
