@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,25 @@ def single_rows(df: DataFrame, key: str, kind: str = "table") -> DataFrame:
     return saved(df.withColumn(key, F.monotonically_increasing_id()), kind)
 
 
+def with_place(df: DataFrame, name: str) -> DataFrame:
+    """Adds ``name``: the place of a row, from 0, in the Parquet table that ``df`` reads, by file name and row.
+
+    A frame that reads no files is saved first, in the order of its partitions.
+    """
+    try:
+        held = df.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+        held.schema  # noqa: B018
+    except AnalysisException:
+        return with_place(saved(df, "ordered"), name)
+    files = held.groupBy("_file").agg(F.count(F.lit(1)).alias("n"))
+    # the number after part- has five digits or more
+    number = F.coalesce(F.regexp_extract("_file", r"^part-(\d+)", 1).try_cast("long"), F.lit(-1))
+    before = Window.orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select(F.col("_file").alias("_f"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    placed = held.join(F.broadcast(starts), F.col("_file") == F.col("_f"))
+    return placed.withColumn(name, F.col("_start") + F.col("_at")).drop("_file", "_at", "_f", "_start")
+
+
 def key_rank(df: DataFrame, group: list[str], order: Column, ties: list[Column], bits: int = 10,
              few_groups: bool = False, tied: bool = False) -> DataFrame:
     """Adds ``rank``: the 0-based position of a row within its group.

@@ -18,6 +18,11 @@ and last slot of that length. Its size depends on ``capacity`` and ``ROUNDS`` on
 is broadcast. Pieces are numbered within their length (``key_rank``: no length is ever in
 one task) and number k takes slot k.
 
+**Order.** ``pack`` places pieces without regard to an order. ``pack_in_order`` cuts the
+ordered documents into windows of ``WINDOW``, makes a plan for each, numbers the pieces of a
+length by their place and the sequences by the smallest place in them. So the
+sequences up to any sequence_id hold a prefix of the order, to within one window.
+
 Repeated rows are packed as often as they occur. Columns of the pieces are passed through.
 """
 
@@ -33,6 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .common import key_rank, require, saved
 
@@ -41,6 +47,7 @@ SEPARATOR = 0
 ROUNDS = 200
 ETA = 1.5
 PASSES = 5
+WINDOW = 4096  # documents of an order that are packed together
 
 
 class Encoder:
@@ -73,8 +80,8 @@ def encoder(json_path: str, ranks_path: str, pattern: str) -> Encoder:
     return Encoder(json_path, ranks_path, pattern)
 
 
-def tokenize(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece (from 0), start, length and ids (binary, 4 bytes each) of each piece."""
+def tokenize(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, capacity: int = CAPACITY, place: str | None = None) -> DataFrame:
+    """doc_id, piece (from 0), start, length and ids (binary, 4 bytes each) of each piece, and the long ``place`` of its document."""
     require(docs, "doc_id", "text")
     cut = 4 * capacity
     end = np.array([SEPARATOR], "<u4").tobytes()
@@ -84,19 +91,21 @@ def tokenize(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, cap
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part, rows = batch.iloc[at:at + 500], []
-                for doc, text in zip(part["doc_id"], part["text"], strict=True):
+                for doc, text, *more in zip(*[part[c] for c in names], strict=True):
                     ids = encode(text) + end
                     first = len(ids) % cut or cut
                     bounds = [0, *range(first, len(ids) + 1, cut)]
                     for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
-                        rows.append((doc, k, a // 4, (b - a) // 4, ids[a:b]))
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"])
+                        rows.append((doc, k, a // 4, (b - a) // 4, ids[a:b], *more))
+                out = pd.DataFrame(rows, columns=schema.names)
                 yield out.astype({"doc_id": part["doc_id"].dtype})
 
+    names = ["doc_id", "text"] + ([place] if place else [])
     kind = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
-                           T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())])
-    return docs.select("doc_id", "text").mapInPandas(pieces, schema)
+                           T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType()),
+                           *([T.StructField(place, T.LongType())] if place else [])])
+    return docs.select(*names).mapInPandas(pieces, schema)
 
 
 def best_configuration(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> Counter:
@@ -230,3 +239,46 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         {"sequence_id": F.lit(None).cast("long"), "offset": F.lit(None).cast("long")})
     names = [f"`{c}`" for c in named.columns if c != "_row"] + ["sequence_id", "offset"]
     return placed.select(*names).union(rest.select(*names))
+
+
+def pack_in_order(pieces: DataFrame, place: str, capacity: int = CAPACITY) -> DataFrame:
+    """Adds sequence_id and offset to pieces with a ``length`` of 1 to ``capacity``; ids follow the column ``place``.
+
+    ``place`` numbers the documents from 0; it is dropped. Only lengths and places are ranked,
+    other columns are exchanged once.
+    """
+    require(pieces, "length", place)
+
+    def plans(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        rows = slot_rows(plan_sequences(dict(zip(part["length"].tolist(), part["n"].tolist(), strict=True)), capacity))
+        out = pd.DataFrame(rows, columns=["_length", "_first", "_end", "_copies", "_base", "_offset"])
+        return out.assign(_w=key[0])
+
+    named = pieces.drop("sequence_id", "offset").withColumn("_row", F.monotonically_increasing_id())
+    rows = saved(named, "pieces")
+    window = F.floor(F.col(place) / WINDOW).cast("long")
+    size = F.when(F.col("length") <= capacity, F.col("length")).otherwise(
+        F.raise_error(F.lit(f"a piece is longer than {capacity}")).cast("long"))
+    thin = rows.where("length > 0").select("_row", F.col(place).alias("_place"), window.alias("_window"), size.alias("_size"))
+    histogram = thin.groupBy("_window", F.col("_size").alias("length")).agg(F.count(F.lit(1)).alias("n"))
+    slots = saved(histogram.groupBy("_window").applyInPandas(
+        plans, "_length long, _first long, _end long, _copies long, _base long, _offset long, _w long"), "slots")
+    # a window holds at most WINDOW documents, so each partition is bounded by their pieces
+    rank = F.row_number().over(Window.partitionBy("_window", "_size").orderBy("_place", "_row")) - 1
+    placed = thin.withColumn("rank", rank).join(slots, (F.col("_window") == F.col("_w")) & (F.col("_size") == F.col("_length"))
+                                                & (F.col("rank") >= F.col("_first")) & (F.col("rank") < F.col("_end")))
+    placed = placed.select(
+        "_row", "_place", "_window", (F.col("_base") + F.expr("(rank - _first) div _copies")).alias("_local"),
+        (F.col("_offset") + (F.col("rank") - F.col("_first")) % F.col("_copies") * F.col("_size")).alias("offset"))
+    placed = saved(placed, "placed")
+    firsts = saved(placed.groupBy("_window", "_local").agg(F.min("_place").alias("_least")), "sequences")
+    before = Window.orderBy("_w").rowsBetween(Window.unboundedPreceding, -1)
+    starts = firsts.groupBy(F.col("_window").alias("_w")).agg(F.count(F.lit(1)).alias("_n"))
+    starts = starts.select("_w", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inner = F.row_number().over(Window.partitionBy("_window").orderBy("_least", "_local")) - 1
+    firsts = firsts.withColumn("_inner", inner).join(F.broadcast(starts), F.col("_window") == F.col("_w"))
+    firsts = firsts.select(F.col("_window").alias("_w"), F.col("_local").alias("_l"), (F.col("_start") + F.col("_inner")).alias("sequence_id"))
+    found = placed.join(firsts, (F.col("_window") == F.col("_w")) & (F.col("_local") == F.col("_l"))).select(
+        F.col("_row").alias("_r"), "sequence_id", "offset")
+    names = [f"`{c}`" for c in named.columns if c not in ("_row", place)] + ["sequence_id", "offset"]
+    return rows.join(found, F.col("_row") == F.col("_r"), "left").select(*names)

@@ -416,6 +416,45 @@ def test_near_dedup_links_all_pairs_from_a_similarity_of_0_8(spark, monkeypatch)
     assert corpus_pipeline.near_dedup(spark, docs_of(spark, rows).limit(0), None).count() == 0
 
 
+def test_prefixes_of_sequences_hold_the_target_shares(spark, monkeypatch):
+    import corpus_pipeline
+    from tablesift.llm.common import saved
+
+    monkeypatch.setattr(packing, "WINDOW", 128)
+    monkeypatch.setattr(packing, "ROUNDS", 20)
+    monkeypatch.setattr(corpus_pipeline, "TARGET_WEIGHTS", {"hot": 0.2, "a": 0.4, "b": 0.4})
+    rng = random.Random(10)
+    # hot has 60 % of the rows; its target is held as long as the others last
+    source = {i: "hot" if i % 5 < 3 else "ab"[i % 5 - 3] for i in range(2000)}
+    rows = [(i, sentence(rng, rng.randint(1, 300) if i % 50 else 1500), "en", s, 0) for i, s in source.items()]
+    docs = saved(corpus_pipeline.mix_sources(spark, spark.createDataFrame(rows, DOC), None))
+    place = {r["doc_id"]: k for k, r in enumerate(docs.collect())}
+    out = corpus_pipeline.pack_sequences(spark, docs, None).collect()
+    assert {r["doc_id"] for r in out} == set(source)
+    least, sums = {}, Counter()
+    for r in out:
+        least[r["sequence_id"]] = min(least.get(r["sequence_id"], 2000), place[r["doc_id"]])
+        sums[r["sequence_id"]] += r["length"]
+    assert sorted(least) == list(range(len(least))) and max(sums.values()) <= 2048
+    assert sorted(least.values()) == [least[k] for k in range(len(least))]
+    last = {}
+    for r in out:
+        last[r["doc_id"]] = max(last.get(r["doc_id"], 0), r["sequence_id"])
+    order = sorted(last, key=lambda i: (last[i], i))
+    for n in (256, 512, 768):
+        got = Counter(source[i] for i in order[:n])
+        assert abs(got["hot"] / n - 0.2) < 0.06, got
+
+
+def test_place_follows_files_and_rows(spark):
+    from tablesift.llm.common import saved, with_place
+
+    df = saved(spark.range(0, 500, 1, 7))
+    assert all(r["id"] == r["at"] for r in with_place(df, "at").collect())
+    rows = spark.createDataFrame([(k,) for k in range(90)], "id long")
+    assert all(r["id"] == r["at"] for r in with_place(rows, "at").collect())
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
