@@ -70,11 +70,8 @@ def op8_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(table(spark, sf_dir, "documents"))
-
-
-def packed(docs: DataFrame) -> DataFrame:
-    pieces = packing.tokenize(docs, **VOCABULARY).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    """Pieces with their sequences; a digest in place of the token ids."""
+    pieces = packing.tokenize(table(spark, sf_dir, "documents"), **VOCABULARY).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(pieces)
 
 

@@ -446,6 +446,21 @@ def test_prefixes_of_sequences_hold_the_target_shares(spark, monkeypatch):
         assert abs(got["hot"] / n - 0.2) < 0.06, got
 
 
+def test_packed_sequences_hold_the_token_ids(spark):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    exact = Tokenizer.from_file(VOCABULARY["json_path"])
+    texts = [None, "", "a b <|endoftext|>", "word " * 5000, "one two three"]
+    by_doc = defaultdict(list)
+    for r in corpus_pipeline.pack_sequences(spark, docs_of(spark, list(enumerate(texts))), None).collect():
+        assert r["sequence_id"] is not None and r["offset"] + r["length"] <= 2048 and len(r["ids"]) == 4 * r["length"]
+        by_doc[r["doc_id"]].append((r["piece"], bytes(r["ids"])))
+    for i, text in enumerate(texts):
+        ids = np.frombuffer(b"".join(x for _, x in sorted(by_doc[i])), "<u4").tolist()
+        assert ids == exact.encode(text or "", add_special_tokens=False).ids + [0]
+
+
 def test_place_follows_files_and_rows(spark):
     from tablesift.llm.common import saved, with_place
 
