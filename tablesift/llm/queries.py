@@ -47,9 +47,14 @@ def judged(scored: DataFrame, held_out: Column) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its line count and the numbers of the removed lines."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    gone = lines.removed_lines(docs).select(F.col("doc_id").alias("id"), F.concat_ws(",", "lines").alias("removed"), F.size("lines").alias("n"))
-    rows = docs.select("doc_id", F.size(F.split("text", "\n")).alias("line_count")).join(gone, F.col("doc_id") == F.col("id"), "left")
+    return removed_per_row(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def removed_per_row(docs: DataFrame) -> DataFrame:
+    gone = lines.removed_lines(docs).select(
+        F.col("doc_id").alias("id"), F.col("hash").alias("h"), F.concat_ws(",", "lines").alias("removed"), F.size("lines").alias("n"))
+    rows = docs.select("doc_id", F.size(F.split("text", "\n")).alias("line_count"), F.xxhash64("doc_id", "text").alias("hash"))
+    rows = rows.join(gone, (F.col("hash") == F.col("h")) & F.col("doc_id").cast("long").eqNullSafe(F.col("id")), "left")
     return rows.select("doc_id", "line_count", F.coalesce("n", F.lit(0)).alias("removed_count"), F.coalesce("removed", F.lit("")).alias("removed"))
 
 

@@ -237,6 +237,15 @@ def test_removed_lines(spark, monkeypatch):
     assert lines.without_repeated_lines(docs.limit(0)).count() == 0
 
 
+def test_removed_lines_of_rows_with_a_null_or_shared_id(spark):
+    from tablesift.llm.queries import removed_per_row
+
+    rows = [(1, "alpha beta gamma"), (2, "alpha beta gamma\nfirst text"), (2, "other words\nalpha beta gamma"), (None, "new line\nalpha beta gamma"), (3, None)]
+    docs = docs_of(spark, rows).select("doc_id", "text")
+    got = Counter((r["doc_id"], r["removed_count"], r["removed"]) for r in removed_per_row(docs).collect())
+    assert got == Counter([(1, 0, ""), (2, 1, "0"), (2, 1, "1"), (None, 1, "1"), (3, 0, "")])
+
+
 # --- packing -----------------------------------------------------------------------
 
 def test_packing_is_gapless_and_near_the_bound(spark):
