@@ -24,7 +24,10 @@ class ExtractSpec:
     ``function(df, *function_args)``; with ``scope="partition"`` it gets pandas
     batches instead and must work row by row, ``function_schema`` naming its output.
     With ``scope="part"`` it gets all kept rows of one part file at a time, for functions
-    that aggregate; the table must come straight from files.
+    that aggregate; the table must come straight from files. With ``combine`` (aggregates of
+    the columns of ``function_schema``) it gets the rows of a part file in Arrow batches, and
+    its results are combined for each part file and value of ``combine_by``: no task
+    holds a whole file. Without it the file must fit into the memory of a task.
     """
 
     columns: Sequence[str] | None = None
@@ -37,6 +40,8 @@ class ExtractSpec:
     scope: str = "table"
     row_limit: int | None = None
     keep_filter_columns: bool = False
+    combine_by: Sequence[str] = ()
+    combine: Sequence[Column] = ()
 
     def filter_columns(self, available: Sequence[str]) -> list[str]:
         dated = self.years.resolve_column(available) if self.years else None
@@ -63,11 +68,22 @@ def apply_function(df: DataFrame, spec: ExtractSpec) -> DataFrame:
     fn, args = spec.function, tuple(spec.function_args)
     if spec.scope == "part":
         rest = df.drop(PART)
+        schema = spec.function_schema or rest.schema
+        if spec.combine:
+            fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+            def of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                for batch in batches:
+                    for part, rows in batch.groupby(PART, sort=False):
+                        yield fn(rows.drop(columns=PART), *args).assign(**{PART: part})
+
+            partial = df.mapInPandas(of_batches, schema=T.StructType([*fields.fields, T.StructField(PART, T.StringType())]))
+            return partial.groupBy(PART, *spec.combine_by).agg(*spec.combine).select(*[F.col(f"`{c}`") for c in fields.names])
 
         def of_part(rows: pd.DataFrame) -> pd.DataFrame:
             return fn(rows.drop(columns=PART), *args)
 
-        return df.groupBy(PART).applyInPandas(of_part, schema=spec.function_schema or rest.schema)
+        return df.groupBy(PART).applyInPandas(of_part, schema=schema)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

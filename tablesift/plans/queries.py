@@ -155,7 +155,8 @@ def part_function(spark, sf):
     def largest(rows: pd.DataFrame) -> pd.DataFrame:
         return rows.groupby("o_orderstatus", as_index=False).agg(largest=("o_totalprice", "max"), n=("o_orderkey", "count"))
 
-    spec = ExtractSpec(predicate="o_orderdate IS NOT NULL", function=largest, scope="part", function_schema="o_orderstatus string, largest double, n long")
+    spec = ExtractSpec(predicate="o_orderdate IS NOT NULL", function=largest, scope="part", function_schema="o_orderstatus string, largest double, n long",
+                       combine_by=["o_orderstatus"], combine=[F.max("largest").alias("largest"), F.sum("n").alias("n")])
     parts = extract(d.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"), spec)
     return parts.groupBy("o_orderstatus").agg(F.max("largest").alias("largest"), F.sum("n").alias("n"))
 

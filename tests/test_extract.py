@@ -213,6 +213,20 @@ def test_open_years_are_unbounded(spark, kind):
     assert left(2020, None, nulls="keep") == [1, 2, 3]
 
 
+def test_combined_function_of_part_files_holds_no_whole_file(spark, tmp_path):
+    spark.range(0, 30_000, 1, 2).selectExpr("id", "id % 3 AS kind").write.parquet(f"{tmp_path}/many")
+
+    def counted(pdf):
+        assert len(pdf) <= 10_000  # an Arrow batch
+        return pdf.groupby("kind", as_index=False).agg(n=("id", "count"))
+
+    spec = ExtractSpec(function=counted, scope="part", function_schema="kind long, n long",
+                       combine_by=["kind"], combine=[F.sum("n").alias("n")])
+    got = extract(spark.read.parquet(f"{tmp_path}/many"), spec)
+    assert got.columns == ["kind", "n"]
+    assert sorted(tuple(r) for r in got.collect()) == [(k, 5000) for k in (0, 0, 1, 1, 2, 2)]
+
+
 def test_function_of_part_files(spark, tmp_path):
     for k in range(2):
         spark.range(10 * k, 10 * k + 5 + k).coalesce(1).write.mode("append").parquet(f"{tmp_path}/t.parquet")
