@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced, chat, kmeans_tree, lines, mixing, packing, quality, simhash, toxicity, warc
+from . import bitsliced, chat, importance, kmeans_tree, lines, mixing, packing, quality, simhash, toxicity, warc
 from .common import table
 
 THRESHOLD = 0.3
@@ -87,6 +87,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(scored, quality.held_out(F.col("doc_id"), 4, 2))
 
 
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its features, weight, score and rank in the draw."""
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    drawn = importance.resample(docs, target, keep=["doc_id"])
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_warc": op2_warc,
@@ -98,6 +105,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kmeans_tree": op8_kmeans_tree,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op13_importance": op13_importance,
 }
 LINE_SQL = r"""
 WITH rows_ AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
@@ -143,4 +151,23 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sum(q.x * c.x)::BIGINT AS
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 5
 """
-LLM_ORACLES: dict[str, str] = {"op7_bit_sliced_top_k": TOP_K_SQL, "op2_warc": WARC_SQL, "op4_chat": CHAT_SQL, "op5_line_dedup": LINE_SQL}
+IMPORTANCE_SQL = r"""
+WITH codes AS (SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS tab FROM range(256) t(n)),
+d AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents),
+b AS (SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+words AS (SELECT w, hex(encode(w)) AS x FROM (SELECT w FROM d UNION SELECT w FROM b)),
+bucket AS (SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+                             lambda c, v: xor(c >> 8, tab[(xor(c, v) & 255) + 1])), 4294967295) % 10000 AS k FROM words, codes),
+s AS (SELECT k, count(*) AS s FROM d JOIN bucket USING (w) GROUP BY k),
+t AS (SELECT k, count(*) AS t FROM b JOIN bucket USING (w) GROUP BY k),
+gain AS (SELECT k, floor(1000 * ln(((coalesce(t, 0) + 1) * ((SELECT sum(s) FROM s) + 10000))::DOUBLE
+                                   / ((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000))::DOUBLE))::BIGINT AS g FROM s FULL JOIN t USING (k)),
+per AS (SELECT doc_id, count(*) AS n, sum(g) AS weight FROM d JOIN bucket USING (w) JOIN gain USING (k) GROUP BY doc_id),
+scored AS (SELECT doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                  (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+           FROM documents LEFT JOIN per USING (doc_id)),
+placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scored LEFT JOIN placed USING (doc_id)
+"""
+LLM_ORACLES: dict[str, str] = {"op7_bit_sliced_top_k": TOP_K_SQL, "op2_warc": WARC_SQL, "op4_chat": CHAT_SQL, "op5_line_dedup": LINE_SQL,
+                               "op13_importance": IMPORTANCE_SQL}
