@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced, chat, importance, kmeans_tree, lines, mixing, packing, quality, simhash, toxicity, warc
+from . import bitsliced, bpe, chat, importance, kmeans_tree, lines, mixing, packing, quality, simhash, toxicity, vector_codes, warc
 from .common import table
 
 THRESHOLD = 0.3
@@ -19,6 +19,7 @@ VOCABULARY = {
     "ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"),
     "pattern": public_tokenizers.PATTERN,
 }
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +88,20 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(scored, quality.held_out(F.col("doc_id"), 4, 2))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each text's token ids and of the text they decode to."""
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), WORD_VOCABULARY, keep=["doc_id"])
+    texts = bpe.decode(encoded, WORD_VOCABULARY)
+    return texts.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector its code, its error and that of its label, and the digest of the codebooks."""
+    rows, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    rows = vector_codes.with_group_error(rows, "label", "label_error")
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its features, weight, score and rank in the draw."""
     docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -105,6 +120,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kmeans_tree": op8_kmeans_tree,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op11_bpe": op11_bpe,
+    "op12_vector_codes": op12_vector_codes,
     "op13_importance": op13_importance,
 }
 LINE_SQL = r"""
@@ -151,6 +168,28 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sum(q.x * c.x)::BIGINT AS
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 5
 """
+
+
+def vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The same k-means with all distances."""
+    steps = [f"""kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS id, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS e
+FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS MATERIALIZED (SELECT id, p, e[1 + p * (len(e) // {parts}):(p + 1) * (len(e) // {parts})] AS xs FROM kept, range({parts}) r(p)),
+book0 AS MATERIALIZED (SELECT p, id - 1 AS k, xs AS es FROM part WHERE id <= {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""own{r} AS MATERIALIZED (SELECT id, p, xs, min((list_sum(list_transform(range(1, len(xs) + 1), lambda i: (xs[i] - es[i]) * (xs[i] - es[i])))::BIGINT, k)) AS best
+FROM part JOIN book{r} USING (p) GROUP BY id, p, xs)""")
+        if r < rounds:
+            steps.append(f"""mean{r} AS (SELECT p, k, list(floor(s / n)::BIGINT ORDER BY i) AS es FROM (
+    SELECT p, best[2] AS k, i, sum(xs[i])::DOUBLE AS s, count(*) AS n FROM (SELECT *, unnest(range(1, len(xs) + 1)) AS i FROM own{r}) GROUP BY ALL) GROUP BY p, k),
+book{r + 1} AS MATERIALIZED (SELECT p, k, coalesce(m.es, b.es) AS es FROM book{r} b LEFT JOIN mean{r} m USING (p, k))""")
+    last = f"own{rounds}"
+    steps.append(f"""code AS (SELECT id, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code, sum(best[1])::BIGINT AS error FROM {last} GROUP BY id),
+books AS (SELECT sha256(string_agg(array_to_string(es, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM book{rounds})""")
+    return "WITH " + ",\n".join(steps) + """
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN code USING (id), books"""
+
+
 IMPORTANCE_SQL = r"""
 WITH codes AS (SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS tab FROM range(256) t(n)),
 d AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents),
@@ -170,4 +209,4 @@ placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r,
 SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scored LEFT JOIN placed USING (doc_id)
 """
 LLM_ORACLES: dict[str, str] = {"op7_bit_sliced_top_k": TOP_K_SQL, "op2_warc": WARC_SQL, "op4_chat": CHAT_SQL, "op5_line_dedup": LINE_SQL,
-                               "op13_importance": IMPORTANCE_SQL}
+                               "op12_vector_codes": vector_codes_sql(), "op13_importance": IMPORTANCE_SQL}
