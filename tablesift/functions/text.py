@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -53,20 +54,11 @@ def _without_suffix(name: Column, suffixes: Sequence[str], word_boundary: bool =
     """Name without the first listed suffix it ends in."""
     if not suffixes:
         return name
-    listed = F.array(*[F.lit(s) for s in suffixes])
-
-    def cut(n: Column) -> Column:
-        def ends(s: Column) -> Column:
-            if word_boundary:
-                return (n == s) | F.endswith(n, F.concat(F.lit(" "), s))
-            return F.endswith(n, s)
-
-        hit = F.get(F.filter(listed, ends), F.lit(0))
-        kept = F.trim(F.substring(n, F.lit(1), F.length(n) - F.length(hit)))
-        return F.when(hit.isNotNull(), kept).otherwise(n)
-
-    # the one-element array binds the cleaned name, so it is computed once
-    return F.get(F.transform(F.array(name), cut), F.lit(0))
+    # read backwards the suffixes begin at one place, where alternatives are tried in their order
+    listed = "|".join(re.escape(s[::-1]) for s in suffixes)
+    flipped = F.reverse(name)
+    cut = F.regexp_replace(flipped, f"^(?:{listed})" + ("(?= |$)" if word_boundary else ""), "")
+    return F.when(cut == flipped, name).otherwise(F.trim(F.reverse(cut)))
 
 
 def normalize_name(

@@ -1,32 +1,22 @@
 """Company-name matching as joins.
 
-Two names can only reach a cut-off when they share enough characters or words.  From
-that bound every name gets a list of keys (``functions.name_keys``) such that any pair
-at or above the cut-off shares at least one.  One equi-join on the keys therefore finds
-every qualifying pair without comparing all names with all names, and nothing is capped
-or sampled.  Common keys are avoided by counting first: hashed counts of a fixed size
-tell rare from common.
+A search ends at the first tier that holds a name at the cut-off: an equal name, the same three
+letters, a shared word, the same first letter, a similar length, all names. The tiers run as stages,
+each an equi-join whose rows are predicted from counts per key; a stage that would emit too many
+is left out together with those after it. Resolved searches leave by an anti-join. What is left is
+compared with all names by ``name_pairs.qualifying_pairs``, and its pairs are given their tier afterwards. Nothing is
+capped or sampled, so the stages decide the time, never the result.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..functions.name_keys import BUCKETS, EPS, KeyRules, bucket_counts
-from ..functions.scorers import (
-    FAR_PARTIAL_WEIGHT,
-    PARTIAL_WEIGHT,
-    TOKEN_WEIGHT,
-    Scorer,
-    score,
-)
+
+from ..functions.scorers import Scorer
 from ..functions.text import (
     block_key,
     company_suffixes,
@@ -37,159 +27,12 @@ from ..functions.text import (
     tokens,
 )
 from ..session import checkpoint
-from .filters import BROADCAST_BYTES
-
-#: scorers that are a plain ratio of two texts (as they are, or with sorted words)
-RATIO_SCORERS = {"ratio", "QRatio", "token_sort_ratio"}
-
-
-def _words(text: Column) -> Column:
-    return F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
-
-
-def name_rarity(names: DataFrame, column: str) -> bytes:
-    """One byte per hash bucket, greater for more common n-grams and words.
-
-    A fixed 2 * BUCKETS bytes whatever the data size; counted per task, then added up.
-    """
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = Counter()
-        for batch in batches:
-            total.update(bucket_counts(batch[column]))
-        yield pd.DataFrame({"bucket": list(total.keys()), "n": list(total.values())}, dtype="int64")
-
-    counts = (
-        names.select(column)
-        .mapInPandas(count, "bucket long, n long")
-        .groupBy("bucket")
-        .agg(F.sum("n").alias("n"))
-        .collect()  # at most 2 * BUCKETS rows
-    )
-    table = bytearray(2 * BUCKETS)
-    for row in counts:
-        table[row["bucket"]] = min(255, int(4 * math.log2(row["n"] + 1)))
-    return bytes(table)
-
-
-def key_rules(scorer: str, cut_off: float, rarity: bytes, search: bool) -> KeyRules:
-    c = cut_off / 100
-    weight = max(PARTIAL_WEIGHT, FAR_PARTIAL_WEIGHT)
-    edit = c if scorer != "partial_ratio" else None
-    cover = {"token_set_ratio": c, "token_ratio": c, "WRatio": c / TOKEN_WEIGHT}.get(scorer)
-    window = {"partial_ratio": c, "WRatio": c / weight}.get(scorer)
-
-    def reachable(x: float | None) -> float | None:
-        return None if x is None or x > 1 + EPS else min(x, 1.0)
-
-    words = scorer == "WRatio" and c <= TOKEN_WEIGHT * weight + EPS
-    return KeyRules(rarity, search, reachable(edit), reachable(cover), reachable(window), words)
-
-
-def name_keys(
-    df: DataFrame, column: str, scorer: str, cut_off: float, rarity: bytes, search: bool
-) -> DataFrame:
-    """(column, key, weight) rows; weights of the keys a pair at the cut-off shares add up to 1.
+from .name_pairs import DIRECT, predicted_rows, qualifying_pairs, scored_pairs, stage_keys, stage_pairs, wide
 
-    A text is looked at as it is, with single blanks, and without repeated words, as
-    far as the scorer does; these forms are mostly equal.
-    """
-    rules = key_rules(scorer, cut_off, rarity, search)
-    plain = scorer in ("ratio", "QRatio", "partial_ratio", "WRatio")
-    single = scorer in ("token_sort_ratio", "token_ratio", "WRatio")
-    unique = scorer in ("token_set_ratio", "token_ratio", "WRatio")
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def keys(texts: pd.Series) -> pd.Series:
-        out = []
-        for text in texts:
-            words = text.split()
-            forms = {text} if plain else set()
-            forms |= {" ".join(words)} if single else set()
-            forms |= {" ".join(dict.fromkeys(words))} if unique else set()
-            out.append(rules.keys(forms))
-        return pd.Series(out)
-
-    exploded = df.select(column, F.explode(keys(F.col(column))).alias("key"))
-    weight = F.substring("key", 1, 8).cast("double")
-    key = F.expr("xxhash64(substring(key, 9))")
-    return exploded.select(column, key.alias("key"), weight.alias("weight"))
-
-
-def _within_ratio(a: Column, b: Column, c: float) -> Column:
-    """Cheap necessary test for ``ratio >= c``: edits with replacements are never more."""
-    allowed = F.floor((F.length(a) + F.length(b)) * (1 - c) + EPS).cast("int")
-    return F.call_function("levenshtein", a, b, allowed) >= 0
-
-
-def _similar_length(a: Column, b: Column, c: float) -> Column:
-    short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
-    return short >= long * (c / (2 - c)) - EPS
-
-
-def _wide(df: DataFrame) -> int:
-    """Partitions for work whose time, not size, counts; such a number is not merged away."""
-    spark = df.sparkSession
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
-def _candidates(searches: DataFrame, names: DataFrame, bound: str, floor: float) -> DataFrame:
-    """Distinct (search, name) pairs that share enough keys.
-
-    The search keys are measured: below ``BROADCAST_BYTES`` they are broadcast and the
-    reference names stay where they are, above it both sides are shuffled by key.
-    """
-    rarity = name_rarity(names, "name")
-    left = checkpoint(name_keys(searches, "search", bound, floor, rarity, True))
-    right = name_keys(names, "name", bound, floor, rarity, False)
-    size = left.agg(F.sum(F.octet_length("search") + 40)).first()[0] or 0
-    small = size <= BROADCAST_BYTES
-    left = left.withColumnRenamed("weight", "_weight")
-    pairs = right.join(F.broadcast(left) if small else left, "key")
-    pairs = pairs.select("search", "name", F.greatest("weight", "_weight").alias("weight"))
-
-    c = floor / 100
-    forms = [F.col("search"), F.col("name")]
-    if bound == "token_sort_ratio":
-        forms = [F.array_join(F.array_sort(_words(f)), " ") for f in forms]
-    elif bound in RATIO_SCORERS:
-        pairs = pairs.where(_similar_length(*forms, c))
-    if not small:
-        # scoring costs time, not bytes: enough partitions whatever the size
-        pairs = pairs.repartition(_wide(names), "search", "name")
-    found = pairs.groupBy("search", "name").agg(F.sum("weight").alias("weight"))
-    enough = F.col("weight") >= 1 - 1e-6
-    if bound in RATIO_SCORERS:
-        # one condition, so that the costly test stays above the aggregate
-        enough = F.when(enough, _within_ratio(*forms, c))
-    return found.where(enough).select("search", "name")
-
-
-def qualifying_pairs(
-    searches: DataFrame,
-    names: DataFrame,
-    scorer: str | Scorer | None,
-    cut_off: float,
-    guard: tuple[str, float] | None = None,
-) -> DataFrame:
-    """(search, name, score) of all pairs with score >= cut_off and > 0.
-
-    ``searches`` and ``names`` hold distinct texts in columns ``search`` and ``name``.
-    A callable scorer needs ``guard=(named scorer, cut-off)``, since no bound is known
-    for it: pairs below the guard are no match under the callable either.
-    """
-    bound, floor = (scorer or "WRatio"), cut_off
-    if callable(scorer):
-        if guard is None:
-            raise ValueError("a callable scorer needs guard=(scorer name, cut-off)")
-        bound, floor = guard
-    floor = max(floor, EPS)
-    pairs = _candidates(searches, names, bound, floor)
-    if callable(scorer):
-        # the guard is part of the definition, not only a way to find candidates
-        pairs = pairs.where(score(bound, F.col("search"), F.col("name"), floor) >= floor)
-    scored = pairs.withColumn("score", score(scorer, F.col("search"), F.col("name"), cut_off))
-    return scored.where((F.col("score") >= cut_off) & (F.col("score") > 0))
+#: The stages before the search among all names, with their tiers.
+STAGES = {"prefix3": 1, "token": 2, "prefix1": 3}
+#: A stage runs if it is predicted to emit at most one row for so many pairs of all.
+STAGE_GAIN = 20
 
 
 def prepare_names(
@@ -296,7 +139,32 @@ def with_tier(scored: DataFrame, names: DataFrame) -> DataFrame:
         .when(admits("length"), 4)
         .otherwise(5)
     )
-    return out.withColumn("tier", tier).drop("near", "in_band")
+    return out.select("search", "name", "score", tier.alias("tier"))
+
+
+def tiered_pairs(searches: DataFrame, names: DataFrame, scorer: str | Scorer | None, cut_off: float,
+                 guard: tuple[str, float] | None = None, direct_pairs: int = DIRECT) -> DataFrame:
+    """(search, name, score, tier) of the pairs at the cut-off, for each search those of its first tier at least."""
+    if callable(scorer) and guard is None:
+        raise ValueError("a callable scorer needs guard=(scorer name, cut-off)")
+    searches, found = checkpoint(searches), []
+    every = searches.count() * names.count()
+    if every > direct_pairs:
+        band = checkpoint(searches.join(_blocks_in_band(searches, names), "search", "left"))
+        for kind, tier in STAGES.items():
+            left, right = stage_keys(band, names, kind)
+            if STAGE_GAIN * predicted_rows(left, right, ["key", "tile"]) > every:
+                break  # and no later stage, as it must not win over this one
+            hits = checkpoint(scored_pairs(stage_pairs(left, right), scorer, cut_off, guard if callable(scorer) else None))
+            found.append(hits.withColumn("tier", F.lit(tier)))
+            band = checkpoint(band.join(hits.select("search").distinct(), "search", "left_anti"))
+            every = band.count() * names.count()
+            if not every:
+                break
+        searches = band.select("search")
+    if every or not found:
+        found.append(with_tier(checkpoint(qualifying_pairs(searches, names, scorer, cut_off, guard, direct_pairs)), names))
+    return reduce(DataFrame.unionByName, found)
 
 
 def match_names(
@@ -309,6 +177,7 @@ def match_names(
     scorer: str | Scorer | None = None,
     order_by: str | None = None,
     guard: tuple[str, float] | None = None,
+    direct_pairs: int = DIRECT,
 ) -> DataFrame:
     """Best reference names per search name.
 
@@ -318,10 +187,11 @@ def match_names(
 
     Output: Search_string, BestMatch, Score, <match_column>, <return_column>; equal
     search strings are one.  The prepared names and the pairs at the cut-off are
-    checkpointed, so each is computed once.
+    checkpointed, so each is computed once.  Up to ``direct_pairs`` pairs of names are
+    compared without stages; the result is the same.
     """
     names = prepare_names(df, match_column, return_column, suffixes, order_by)
-    names = checkpoint(names.repartition(_wide(df), "name"))
+    names = checkpoint(names.repartition(wide(df), "name"))
     wanted = searches.select(
         normalize_name(F.col(f"`{searches.columns[0]}`"), suffixes).alias("search")
     ).where("search IS NOT NULL").distinct()
@@ -330,7 +200,7 @@ def match_names(
         "search", F.col("search").alias("name"), F.lit(100.0).alias("score")
     )
     rest = wanted.join(only, wanted["search"] == only["name"], "left_anti")
-    scored = with_tier(checkpoint(qualifying_pairs(rest, only, scorer, cut_off, guard)), only)
+    scored = tiered_pairs(rest, only, scorer, cut_off, guard, direct_pairs)
     # rank() = 1 is trimmed on the map side, so only ties travel
     best = Window.partitionBy("search").orderBy("tier", F.col("score").desc())
     fuzzy = scored.withColumn("_rank", F.rank().over(best)).where("_rank = 1")
@@ -384,7 +254,7 @@ def match_names_plain(
     names = checkpoint(
         rows.groupBy("name")
         .agg(F.min("row").alias("head"), F.max("row").alias("tail"))
-        .repartition(_wide(df), "name")
+        .repartition(wide(df), "name")
     )
     wanted = search.alias("search")
     wanted = searches.select(wanted).where("search IS NOT NULL").distinct()

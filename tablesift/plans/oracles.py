@@ -484,3 +484,4 @@ ORACLES: dict[str, str] = {
         QUALIFY rank() OVER (PARTITION BY p_brand ORDER BY p_size DESC) = 1""",
 }
 ORACLES |= {"saved_matches": ORACLES["name_best_ties"], "profile_report": ORACLES["profile_summary"], "profile_files": ORACLES["profile_orders"]}
+ORACLES |= {"name_match_staged": ORACLES["name_match_ratio"]}

@@ -537,6 +537,12 @@ def name_match_ratio(spark, sf):
     return _match(spark, sf, d.misspelled(spark, sf), "ratio", 90)
 
 
+@query
+def name_match_staged(spark, sf):
+    """The same through the stages, whatever the number of names."""
+    return naive(match_names(d.misspelled(spark, sf), d.page_titles(spark, sf), "name", "page_id", 90, company_suffixes(), "ratio", direct_pairs=0))
+
+
 @query
 def name_match_ratio_low(spark, sf):
     return _match(spark, sf, d.misspelled(spark, sf), "ratio", 60)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from tablesift import match_names, match_names_plain, search_company_names
 from tablesift.functions import scorers
 from tablesift.functions.text import clean_suffix, company_suffixes, letters_only, normalize_name
-from tablesift.operators.names import block_columns, qualifying_pairs
+from tablesift.operators.name_pairs import qualifying_pairs
+from tablesift.operators.names import block_columns
 
 
 def names(spark, *rows):
@@ -110,14 +111,20 @@ def test_keys_find_every_qualifying_pair(spark, scorer, cut_off):
     left, right = some_names(rnd, 40), some_names(rnd, 120)
     got = {(r.search, r.name): r.score for r in qualifying_pairs(
         spark.createDataFrame([(x,) for x in left], "search string"),
-        spark.createDataFrame([(x,) for x in right], "name string"), scorer, cut_off).collect()}
+        spark.createDataFrame([(x,) for x in right], "name string"), scorer, cut_off, direct_pairs=0).collect()}
     fn = scorers.SCORERS[scorer]
     assert got == {(a, b): fn(a, b) for a in left for b in right if fn(a, b) >= cut_off}
 
 
+@pytest.mark.parametrize("scorer,cut_off", [("ratio", 80), ("ratio", 92), ("token_sort_ratio", 85), ("QRatio", 97)])
+def test_segments_find_every_qualifying_pair(spark, monkeypatch, scorer, cut_off):
+    monkeypatch.setattr("tablesift.operators.name_pairs.KEY_COST", 0)
+    test_keys_find_every_qualifying_pair(spark, scorer, cut_off)
+
+
 @pytest.mark.parametrize("scorer,cut_off", [("ratio", 80), ("token_sort_ratio", 75), ("WRatio", 80)])
-def test_shuffled_keys_give_the_same_pairs(spark, monkeypatch, scorer, cut_off):
-    monkeypatch.setattr("tablesift.operators.names.BROADCAST_BYTES", -1)
+def test_blocks_give_the_same_pairs(spark, monkeypatch, scorer, cut_off):
+    monkeypatch.setattr("tablesift.operators.name_pairs.BROADCAST_BYTES", -1)
     test_keys_find_every_qualifying_pair(spark, scorer, cut_off)
 
 
@@ -174,3 +181,67 @@ def test_text_columns(spark):
     b = spark.range(1).select(F.lit("a b acme").alias("n")).select(*[c.alias(k) for k, c in block_columns(F.col("n")).items()]).first()
     assert (b.prefix3, b.prefix1, b.name_len, b.tokens) == ("aba", "a", 8, ["acme"])
     assert len(company_suffixes()) == 46 and clean_suffix("s.a.") == "s a"
+
+
+@pytest.mark.parametrize("scorer,cut_off", [("WRatio", 65), ("token_set_ratio", 70), ("ratio", 60), ("ratio", 85)])
+def test_stages_change_no_result(spark, monkeypatch, scorer, cut_off):
+    from tablesift.operators import names as module
+
+    rnd = random.Random(12)
+    refs, qs = some_names(rnd, 100), some_names(rnd, 60)
+    ref = names(spark, *[(x, x) for x in refs])
+    out = []
+    for direct, gain in ((10**9, 20), (0, 0), (0, 20)):  # no stages, all stages, those predicted to be cheap
+        monkeypatch.setattr(module, "STAGE_GAIN", gain)
+        got = match_names(searches(spark, *qs), ref, "name", "entity_id", cut_off, scorer=scorer, direct_pairs=direct)
+        out.append(sorted((r.Search_string, r.BestMatch or "", r.Score) for r in got.collect()))
+    assert out[0] == out[1] == out[2]
+
+
+def test_joins_emit_a_tenth_of_all_pairs(spark):
+    from tablesift.operators import name_pairs as module
+
+    from tablesift.plans.data import page_titles
+
+    refs = sorted({r.name.lower() for r in page_titles(spark, "/root/testdata/sf0.01").collect()})
+    left = spark.createDataFrame([(r[:3] + r[4:],) for r in refs], "search string")
+    right = spark.createDataFrame([(r,) for r in refs], "name string")
+    a, b = module.stage_keys(left.withColumn("in_band", F.array(F.lit("prefix3"))), right, "prefix3")
+    assert module.predicted_rows(a, b, ["key", "tile"]) == a.join(b, ["key", "tile"]).count() <= len(refs) ** 2 / 10
+    assert "tile" in a.join(b, ["key", "tile"])._jdf.queryExecution().executedPlan().toString()
+    c, e = module.segment_keys(left, right, "ratio", 90)
+    found = module.segment_pairs(c, e, 90)
+    assert found.count() <= len(refs) ** 2 / 10
+    want = {(x, y) for x in [r[:3] + r[4:] for r in refs] for y in refs if scorers.ratio(x, y) >= 90}
+    got = {(r.search, r.name) for r in found.collect()}
+    assert want <= got
+
+
+def test_tiles_hold_each_pair_once(spark, monkeypatch):
+    from collections import Counter
+
+    from tablesift.operators import name_pairs as module
+
+    monkeypatch.setattr(module, "BLOCK", 16)
+    left = spark.createDataFrame([(f"s{k}",) for k in range(70)], "search string")
+    right = spark.createDataFrame([(f"n{k}",) for k in range(150)], "name string")
+    for limit in (10**9, -1):
+        monkeypatch.setattr(module, "BROADCAST_BYTES", limit)
+        got = Counter((r.search, r.name) for r in module.tile_pairs(left, right, lambda a, b: 50.0, 10).collect())
+        assert len(got) == 70 * 150 and set(got.values()) == {1}
+
+
+def test_array_scores_are_the_plain_scores():
+    import numpy as np
+
+    from tablesift.functions import pair_scores
+
+    rnd = random.Random(14)
+    texts = [["", " ", "a" * 70 + " b"] + some_names(rnd, 40) + [" ".join(some_names(rnd, 4)) for _ in range(12)] for _ in range(2)]
+    a, b = pair_scores.Texts(texts[0]), pair_scores.Texts(texts[1])
+    ai, bi = np.repeat(np.arange(len(a.texts)), len(b.texts)), np.tile(np.arange(len(b.texts)), len(a.texts))
+    for name, fn in scorers.SCORERS.items():
+        want = np.array([fn(a.texts[i], b.texts[j]) for i, j in zip(ai, bi)])
+        for floor in (0, 50, 90.1):
+            got = pair_scores.pair_scores(name, a, b, ai, bi, floor)
+            assert (got == want)[want >= floor].all() and (got[want < floor] < floor).all(), (name, floor)
