@@ -148,41 +148,97 @@ def value_frame(df: DataFrame, values: Sequence[str] | DataFrame) -> DataFrame:
     return listed
 
 
-def _joined_test(df: DataFrame, clause: Clause, tag: str) -> tuple[DataFrame, Column]:
-    """Left joins on the distinct values, one flag per column (and prefix length).
+def _known_small(clause: Clause) -> bool:
+    return not isinstance(clause.values, DataFrame) and sum(len(v.encode()) for v in clause.values) <= BROADCAST_BYTES
 
-    Rows without the ID are dealt out by the partition they come from, so that a column
-    with many nulls does not send them all to one task.
-    """
-    df = df.withColumn(f"_part_{tag}", F.spark_partition_id() + 1)
-    if clause.mode == "exact":
-        groups = {None: clause.values}
-    else:
-        groups = defaultdict(list)
-        for prefix in clause.values:
-            groups[len(prefix)].append(prefix)
+
+def _joined_test(df: DataFrame, clause: Clause, tag: str) -> tuple[DataFrame, Column]:
+    """Left joins with the broadcast values, one flag per column (and prefix length)."""
     flags = []
     for c in clause.columns:
-        for length, values in groups.items():
+        for kind, values in _by_kind(clause).items():
             flag = f"_hit_{tag}_{len(flags)}"
-            listed = value_frame(df, values).select(
-                F.col("_value").alias(f"{flag}_key"), F.lit(0).alias(f"{flag}_salt"), F.lit(True).alias(flag)
-            )
-            key = _as_text(df, c)
-            key = key if length is None else F.substring(key, 1, length)
-            salt = F.when(key.isNull(), F.col(f"_part_{tag}")).otherwise(0)
-            same = (F.coalesce(key, F.lit("")) == F.col(f"{flag}_key")) & (salt == F.col(f"{flag}_salt"))
-            df = df.join(listed, same, "left").drop(f"{flag}_key", f"{flag}_salt")
+            listed = value_frame(df, values).select(F.col("_value").alias(f"{flag}_key"), F.lit(True).alias(flag))
+            df = df.join(listed, _piece(_as_text(df, c), kind) == F.col(f"{flag}_key"), "left").drop(f"{flag}_key")
             flags.append(flag)
     return df, reduce(operator.or_, [F.col(f).isNotNull() for f in flags])
 
 
+def _by_kind(clause: Clause) -> dict[int, Sequence[str] | DataFrame]:
+    """The values of a clause by the length of the prefix they are compared with, 0 for whole texts."""
+    if clause.mode == "exact":
+        return {0: clause.values}
+    groups = defaultdict(list)
+    for prefix in clause.values:
+        groups[len(prefix)].append(prefix)
+    return groups
+
+
+def _piece(text: Column, kind: int) -> Column:
+    return F.substring(text, 1, kind) if kind else text
+
+
+def _rows_by_masks(df: DataFrame, both: list[Clause], any_of: list[Clause]) -> DataFrame:
+    """Filter by lists too long to broadcast.
+
+    Whether a row passes depends on its values in the clauses' columns only. So these alone are unpivoted to
+    (values, ID, clauses that test it); one join with the lists gives each ID the clauses that hold it, a
+    ``bit_or`` folds them to a mask per combination of values, and ``df`` keeps the rows whose
+    combination passes: whatever the number of columns and lists, one semi join of whole rows.
+    """
+    clauses = both + any_of
+    columns = merge_columns(*[c.columns for c in clauses])
+    names = [f"_v{i}" for i in range(len(columns))]
+    long = [c for c in clauses if not c.inline]
+    if len(long) > 62:
+        raise ValueError("at most 62 long lists in one filter")
+    narrow = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names, strict=True)])
+    kinds = sorted({k for c in long for k in _by_kind(c)})
+    cells = []
+    for column, name in zip(columns, names, strict=True):
+        for kind in kinds:
+            tested = sum(1 << i for i, c in enumerate(long) if column in c.columns and kind in _by_kind(c))
+            if tested:
+                key = _piece(_as_text(narrow, name), kind)
+                cells.append(F.struct(F.concat(F.lit(f"{kind}:"), key).alias("key"), F.lit(tested).cast("long").alias("tested")))
+    listed = []
+    for i, clause in enumerate(long):
+        for kind, values in _by_kind(clause).items():
+            key = F.concat(F.lit(f"{kind}:"), "_value").alias("key")
+            listed.append(value_frame(df, values).select(key, F.lit(1 << i).cast("long").alias("holds")))
+    lists = reduce(DataFrame.unionByName, listed).groupBy("key").agg(F.bit_or("holds").alias("holds"))
+    unpivoted = narrow.select(*names, F.explode(F.array(*cells)).alias("cell")).select(*names, "cell.key", "cell.tested").where("key IS NOT NULL")
+    hits = unpivoted.join(lists, "key").where("tested & holds <> 0")
+    masks = hits.groupBy(*names).agg(F.bit_or(F.expr("tested & holds")).alias("mask"))
+    inline = [c for c in clauses if c.inline]
+    if inline and (any_of or not both):
+        # combinations that no list holds may pass by a short list
+        short = narrow.where(reduce(operator.or_, [_inline_test(narrow, _renamed(c, columns, names)) for c in inline])).distinct()
+        masks = masks.unionByName(short.withColumn("mask", F.lit(0).cast("long"))).groupBy(*names).agg(F.bit_or("mask").alias("mask"))
+
+    def test(clause: Clause) -> Column:
+        if clause.inline:
+            return F.coalesce(_inline_test(masks, _renamed(clause, columns, names)), F.lit(False))
+        return F.col("mask").bitwiseAND(F.lit(1 << long.index(clause)).cast("long")) != 0
+
+    parts = ([reduce(operator.and_, [test(c) for c in both])] if both else []) + [test(c) for c in any_of]
+    passing = masks.where(reduce(operator.or_, parts)).select(*names)
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(n)) for c, n in zip(columns, names, strict=True)]
+    # a row without any value passes no clause
+    some = reduce(operator.or_, [F.col(f"`{c}`").isNotNull() for c in columns])
+    return df.where(some).join(passing, reduce(operator.and_, same), "left_semi")
+
+
+def _renamed(clause: Clause, columns: list[str], names: list[str]) -> Clause:
+    return Clause(clause.values, [names[columns.index(c)] for c in clause.columns], clause.mode)
+
+
 def _is_semi_join(clause: Clause) -> bool:
     return not clause.inline and clause.mode == "exact" and len(clause.columns) == 1
 
 
 def apply_layers(df: DataFrame, layered: LayeredFilter | None) -> DataFrame:
-    """Filter by a layered filter; short lists in the plan, long lists as joins.
+    """Filter by a layered filter; short lists in the plan, long lists as broadcast joins, longer ones as one join.
 
     Without alternatives every clause must hold: those on one column become semi joins,
     one after another, so each shrinks what the next one reads.
@@ -202,6 +258,9 @@ def apply_layers(df: DataFrame, layered: LayeredFilter | None) -> DataFrame:
         if not both:
             return df
 
+    if not all(c.inline or _known_small(c) for c in both + any_of):
+        return _rows_by_masks(df, both, any_of)
+
     def tests(clauses: list[Clause], layer: str) -> list[Column]:
         nonlocal df
         found = []

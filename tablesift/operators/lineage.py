@@ -9,6 +9,9 @@ logarithm of the longest chain:
 3. only the edges that were *not* chosen can still link two chains, so the
    connected components are computed on chain ends, a far smaller graph.
 
+A round is one job: what decides about the next round (rows still moving, whether an edge
+has changed) is observed while the round's checkpoint is written.
+
 Hot IDs: every grouping is a min / max with map-side combine, and every join has
 one side unique on its key, so adaptive execution can split the other one.
 """
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_timestamp
-from ..session import checkpoint
+from ..session import checkpoint, observed_checkpoint
 
 
 @dataclass(frozen=True)
@@ -62,9 +65,9 @@ def terminal_ids(step: DataFrame) -> DataFrame:
     IDs on or before a cycle get the smallest ID of that cycle.  Each round joins
     only the IDs that are still moving and doubles their stride.
     """
-    moving = checkpoint(step.select("id", "next", F.col("id").alias("least")))
+    moving, seen = observed_checkpoint(step.select("id", "next", F.col("id").alias("least")), n=F.count(F.lit(1)))
     finished = moving.select("id", F.col("next").alias("terminal")).where("false")
-    n_moving = moving.count()
+    n_moving = seen["n"]
     stride = 1
     while n_moving:
         ahead = moving.select(
@@ -74,14 +77,14 @@ def terminal_ids(step: DataFrame) -> DataFrame:
             finished.select(F.col("id").alias("next"), F.col("terminal").alias("end")),
             allowMissingColumns=True,
         )
-        joined = checkpoint(moving.join(ahead, "next", "left"))
+        joined, seen = observed_checkpoint(moving.join(ahead, "next", "left"), left=F.count("far"))
         ended = joined.where("far IS NULL")
         finished = finished.unionByName(ended.select("id", F.coalesce("end", "next").alias("terminal")))
         moving = joined.where("far IS NOT NULL").select(
             "id", F.col("far").alias("next"), F.least("least", "seen").alias("least")
         )
         stride *= 2
-        left = moving.count()
+        left = seen["left"]
         if left == n_moving and stride >= left:
             # nobody reached an end and the stride covers every cycle: the least ID
             # seen from the node landed on is the least of its cycle
@@ -91,23 +94,20 @@ def terminal_ids(step: DataFrame) -> DataFrame:
     return finished
 
 
-def _all_stars(edges: DataFrame) -> bool:
-    """Every node hangs on one center, and no center hangs on another node."""
-    centers = edges.select(F.col("lo").alias("hi"))
-    if not edges.join(centers, "hi", "left_semi").isEmpty():
-        return False
-    return edges.groupBy("hi").count().where("count > 1").isEmpty()
-
-
 def connected_groups(links: DataFrame) -> DataFrame:
     """(id, group) for an undirected graph (a, b); the group is its smallest ID.
 
-    Alternates two rewirings until only stars are left: every node sends its larger
-    neighbours, then its smaller ones, to the smallest neighbour it knows.
+    Alternates two rewirings until nothing changes, which is when only stars are left: every node sends its larger
+    neighbours, then its smaller ones, to the smallest neighbour it knows.  Whether edges have changed is told by their number and
+    by sum and exclusive-or of their hashes.
     """
+    mark = F.xxhash64("hi", "lo")
+    marks = {"n": F.count(F.lit(1)), "total": F.sum(mark.cast("decimal(38,0)")), "xor": F.bit_xor(mark)}
     hi, lo = F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")
-    edges = checkpoint(links.where("a <> b").select(hi, lo).distinct())
-    while not _all_stars(edges):
+    edges, seen = observed_checkpoint(links.where("a <> b").select(hi, lo).distinct(), **marks)
+    before = None
+    while seen["n"] and seen != before:
+        before = seen
         both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
         least = both.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("m"))
         least = least.select("node", F.least("node", "m").alias("m"))
@@ -119,11 +119,12 @@ def connected_groups(links: DataFrame) -> DataFrame:
         )
         near = wide.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("m"))
         ends = F.explode(F.array("hi", "lo")).alias("hi")
-        edges = checkpoint(
+        edges, seen = observed_checkpoint(
             wide.join(near, wide["hi"] == near["node"])
             .select(ends, F.col("m").alias("lo"))
             .where("hi <> lo")
-            .distinct()
+            .distinct(),
+            **marks,
         )
     roots = edges.select(F.col("lo").alias("id"), F.col("lo").alias("group"))
     return edges.select(F.col("hi").alias("id"), F.col("lo").alias("group")).unionByName(roots).distinct()

@@ -385,6 +385,11 @@ ORACLES: dict[str, str] = {
         WHERE agent_id IN {in_list(LONG_IDS)} OR buyer_id IN {in_list(LONG_IDS)}""",
     "extract_two_lists": f"""SELECT * FROM ({TRADES}) WHERE buyer_id IN {in_list(LONG_IDS)}
         AND buyer_id IN (SELECT entity_id FROM ({ENTITIES}) WHERE c_acctbal > 0)""",
+    "extract_long_multi": f"""SELECT * FROM ({TRADES}) WHERE
+        ((buyer_id IN (SELECT entity_id FROM ({ENTITIES}) WHERE c_acctbal > 5000) OR seller_id IN (SELECT entity_id FROM ({ENTITIES}) WHERE c_acctbal > 5000))
+         AND (starts_with(seller_id, 'DK') OR starts_with(seller_id, 'SE') OR starts_with(seller_id, 'US')))
+        OR seller_id IN (SELECT {entity('s_nationkey', 's_suppkey')} FROM supplier WHERE s_acctbal < -500)
+        OR buyer_id IN (SELECT {entity('s_nationkey', 's_suppkey')} FROM supplier WHERE s_acctbal < -500) OR buyer_id IN {in_list(SHORT_IDS)}""",
     "id_list_file": f"""SELECT DISTINCT entity_id AS value, 'headed' AS form FROM ({ENTITIES})
         UNION ALL SELECT entity_id, 'plain' FROM ({ENTITIES})""",
     "id_list_kept": financials_where(f"entity_id IN (SELECT entity_id FROM ({ENTITIES}) WHERE c_acctbal < 0)"),
@@ -399,6 +404,9 @@ ORACLES: dict[str, str] = {
     "preflight_report": f"""SELECT true AS ok, 'total_assets,entity_id,closing_date' AS required_columns, 'closing_date' AS resolved_date_column,
         'entity_id' AS resolved_id_columns, false AS would_write, count(*) AS rows_out
         FROM ({FINANCIALS}) WHERE starts_with(entity_id, 'DK') AND {YEARS}""",
+    "preflight_files": f"""SELECT CAST(year(closing_date) AS INTEGER) AS year, count(*) AS rows,
+        year(closing_date) BETWEEN 1996 AND 1997 AND (min(entity_id)[:2] <= 'DK' AND 'DK' <= max(entity_id) OR min(entity_id)[:2] <= 'SE' AND 'SE' <= max(entity_id)) AS may_match
+        FROM ({FINANCIALS}) GROUP BY year(closing_date)""",
     "year_distribution_orders": distribution(FINANCIALS, "closing_date"),
     "year_distribution_text": distribution(TEXT_DATES, "try_cast(closing_date AS TIMESTAMP)"),
     "mixed_format_union": "SELECT * FROM orders",
@@ -414,6 +422,9 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 4, 'trades', 'columns not found', 0""",
     "catalog_build": CATALOG,
     "catalog_newest": NEWEST,
+    "catalog_newest_control": f"""WITH named AS (SELECT "Data Product" AS product, CASE WHEN "Data Product" < 'C' THEN min("Timestamp") ELSE max("Timestamp") END AS stamp
+            FROM ({CATALOG}) GROUP BY "Data Product")
+        SELECT "Data Product", "Table", "Top-level Directory" FROM ({CATALOG}) JOIN named ON "Data Product" = product AND "Timestamp" = stamp""",
     "catalog_stale": f"""SELECT DISTINCT "Data Product", "Export" FROM ({CATALOG}) WHERE "Export" NOT IN (SELECT "Export" FROM ({NEWEST}))""",
     "catalog_search": f"""SELECT * FROM ({CATALOG}) WHERE {any_has('buil', ('Data Product', 'Table'))}""",
     "catalog_resolve": f"""WITH m AS (SELECT DISTINCT "Data Product" AS name FROM ({CATALOG}) WHERE {has('"Data Product"', 'MA')})
@@ -485,3 +496,4 @@ ORACLES: dict[str, str] = {
 }
 ORACLES |= {"saved_matches": ORACLES["name_best_ties"], "profile_report": ORACLES["profile_summary"], "profile_files": ORACLES["profile_orders"]}
 ORACLES |= {"name_match_staged": ORACLES["name_match_ratio"]}
+ORACLES |= {"profile_merged": ORACLES["profile_orders"]}

@@ -21,10 +21,11 @@ from ..operators.names import (
     prepare_names,
     search_company_names,
 )
-from ..operators.profile import profile, profile_tables, report_views, write_report
+from ..operators.profile import merged_profile, profile, profile_tables, report_views, save_profile_state, write_report
 from ..operators.stats import year_distribution
 from ..sources import catalog as cat
 from ..sources import metadata as meta
+from ..sources.footers import file_facts
 from ..sources.readers import read_id_list, read_metadata, read_plain_ids, read_table, with_source_file
 from ..sources.writers import fill_null_columns, write_stamped, write_table
 from ..streaming.ingest import ingest_new
@@ -175,6 +176,19 @@ def extract_two_lists(spark, sf):
     return extract(d.trades(spark, sf), ExtractSpec(ids=layers))
 
 
+@query
+def extract_long_multi(spark, sf):
+    """Lists of any length over several columns, in AND and OR layers, with short ones."""
+    trades = d.trades(spark, sf)
+    in_debt = d.table(spark, sf, "supplier").where("s_acctbal < -500").select(d.entity_id("s_nationkey", "s_suppkey"))
+    layers = LayeredFilter(
+        base=Clause(d.entities(spark, sf).where("c_acctbal > 5000").select("entity_id"), ["buyer_id", "seller_id"]),
+        required=Clause(["DK", "SE", "US"], "seller_id", "prefix"),
+        alternatives=[Clause(in_debt, ["seller_id", "buyer_id"]), Clause(SHORT_IDS, "buyer_id")],
+    )
+    return extract(trades, ExtractSpec(ids=layers))
+
+
 @query
 def sample_limit(spark, sf):
     return sample(d.financials(spark, sf).orderBy("o_orderkey"), ExtractSpec(FINANCIAL_COLUMNS), 1000)
@@ -307,6 +321,22 @@ def catalog_newest(spark, sf):
     return naive(cat.newest_exports(cat.build_catalog(d.export_entries(spark, sf))))
 
 
+@query
+def catalog_newest_control(spark, sf):
+    """The exports that the newest control files name; for some products they name the export of the oldest stamp."""
+    root = d.scratch(spark)
+    catalog = cat.build_catalog(d.export_entries(spark, sf).withColumn(
+        "root", F.concat(F.lit(f"{root}/product="), F.split("export", "_exported")[0])))
+    exports = catalog.groupBy(F.col("`Data Product`").alias("product")).agg(
+        F.min_by("Top-level Directory", "Timestamp").alias("oldest"), F.max_by("Top-level Directory", "Timestamp").alias("newest"))
+    named = F.to_json(F.struct(F.col("newest").alias("DataFolder"))).alias("value")
+    exports.select("product", F.lit("tnfs").alias("kind"), named).write.partitionBy("product", "kind").text(root)
+    named = F.to_json(F.struct(F.col("oldest").alias("DataFolder"))).alias("value")
+    exports.where("product < 'C'").select("product", F.lit("tnfs").alias("kind"), named).write.mode("append").partitionBy("product", "kind").text(root)
+    found = cat.newest_by_control(catalog, cat.control_files(spark, root, "kind=tnfs", "part-*"))
+    return found.select("Data Product", "Table", "Top-level Directory")
+
+
 @query
 def catalog_stale(spark, sf):
     return cat.stale_exports(cat.build_catalog(d.export_entries(spark, sf)))
@@ -496,6 +526,28 @@ def profile_files(spark, sf):
     return naive(profile_tables(spark, {("Sales", "orders"): [f"{sf}/orders.parquet"]}, d.CODES))
 
 
+@query
+def profile_merged(spark, sf):
+    """The profile of orders from the saved states of its parts, here by status."""
+    orders, root = d.table(spark, sf, "orders"), d.scratch(spark)
+    paths = []
+    for status in ("F", "O", "P"):
+        paths.append(f"{root}/{status}")
+        save_profile_state(orders.where(F.col("o_orderstatus") == status), paths[-1], d.CODES)
+    return naive(merged_profile(spark, paths, "Sales", "orders"))
+
+
+@query
+def preflight_files(spark, sf):
+    """Per file of a delivery by year its rows and whether an extract can take any of them, from the footers."""
+    path = d.scratch(spark)
+    rows = d.financials(spark, sf).withColumn("year", F.year("closing_date"))
+    rows.repartition("year").sortWithinPartitions("entity_id").write.option("maxRecordsPerFile", 0).partitionBy("year").parquet(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path).select("path")
+    facts = file_facts(spark, files, LayeredFilter(Clause(["DK", "SE"], "entity_id", "prefix")), DateRange(1996, 1997, "closing_date"))
+    return facts.select(F.regexp_extract("path", r"year=(\d+)", 1).cast("int").alias("year"), "rows", "may_match")
+
+
 @query
 def profile_report(spark, sf):
     """The summary view of a written report."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def local_session(cores: str = "8", app: str = "tablesift", **conf: str) -> SparkSession:
@@ -18,6 +18,8 @@ def local_session(cores: str = "8", app: str = "tablesift", **conf: str) -> Spar
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # files of checkpoints that nothing refers to any more are deleted
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -53,3 +55,10 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def observed_checkpoint(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """A reliable checkpoint and aggregates over its rows, in one job."""
+    observation = Observation()
+    kept = checkpoint(df.observe(observation, *[c.alias(k) for k, c in metrics.items()]))
+    return kept, observation.get

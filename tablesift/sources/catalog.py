@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +70,39 @@ def newest_exports(catalog: DataFrame) -> DataFrame:
     return catalog.join(newest, ["Data Product", "Export"], "left_semi")
 
 
+def _bare_path(path: Column) -> Column:
+    """A path without scheme and host."""
+    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", "")
+
+
+def control_files(spark: SparkSession, root: str, folder: str = "tnfs", pattern: str = "*.tnf") -> DataFrame:
+    """(directory, folder, modified, path): the newest control file of each directory below ``root``.
+
+    A directory keeps its control files in ``folder``; their JSON names the current export in ``DataFolder``.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    path = _bare_path(F.col("path"))
+    named = F.from_json(F.col("content").cast("string"), "DataFolder string")["DataFolder"]
+    found = files.select(
+        F.regexp_extract(path, f"^(.*)/{re.escape(folder)}/[^/]*$", 1).alias("directory"),
+        F.struct(F.col("modificationTime").alias("modified"), path.alias("path"), named.alias("folder")).alias("file"),
+    )
+    newest = found.where("directory <> ''").groupBy("directory").agg(F.max("file").alias("file"))
+    return newest.select("directory", "file.folder", "file.modified", "file.path")
+
+
+def newest_by_control(catalog: DataFrame, controls: DataFrame) -> DataFrame:
+    """Catalog rows of the exports that control files name, their ``Timestamp`` being the file's time.
+
+    The stamp in a folder's name does not count. A control file without a folder, or with
+    one that the catalog does not hold, gives no row.
+    """
+    named = controls.select(
+        F.concat_ws("/", "directory", "folder").alias("_export"), F.col("modified").alias("_modified")).where("folder IS NOT NULL")
+    rows = catalog.join(named, _bare_path(F.col("Export")) == F.col("_export"))
+    return rows.withColumn("Timestamp", F.col("_modified")).drop("_export", "_modified")
+
+
 def stale_exports(catalog: DataFrame) -> DataFrame:
     """(Data Product, Export) of every export that is not the newest."""
     exports = catalog.select("Data Product", "Export").distinct()
@@ -98,26 +133,42 @@ def resolve_name(catalog: DataFrame, column: str, name: str) -> DataFrame:
     return exact.unionByName(partial).unionByName(none)
 
 
+def containing_sets(sets: DataFrame, parts: DataFrame) -> DataFrame:
+    """(have, want): each array of ``parts.want`` with the arrays of ``sets.have`` that hold all of it.
+
+    A part enters by the element that the fewest sets hold, so only sets with that element are
+    candidates; of these the rest is verified. The arrays must be distinct on both sides.
+    """
+    held = sets.select("have", F.explode("have").alias("item"))
+    frequency = held.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    rarest = (
+        parts.select("want", F.explode("want").alias("item"))
+        .join(frequency, "item", "left")
+        .groupBy("want")
+        .agg(F.min_by("item", F.struct(F.coalesce("n", F.lit(0)), "item")).alias("item"))
+    )
+    return held.join(rarest, "item").where(F.size(F.array_except("want", "have")) == 0).select("have", "want")
+
+
 def match_products(export_tables: DataFrame, product_tables: DataFrame) -> DataFrame:
     """Products whose tables all appear in an export: (export, options, label).
 
-    ``export_tables``: export, Table.  ``product_tables``: Data Product, Table.
+    ``export_tables``: export, Table.  ``product_tables``: Data Product, Table. Exports with equal tables
+    are matched once, and so are products; an export's or a product's tables (hundreds at most) form an array.
     """
-    have = export_tables.select("export", table_stem("Table").alias("Table")).distinct()
-    want = product_tables.select("Data Product", "Table").distinct()
-    size = want.groupBy("Data Product").agg(F.count("*").alias("_size"))
-    complete = (
-        have.join(want, "Table")
-        .groupBy("export", "Data Product")
-        .agg(F.count("*").alias("_found"))
-        .join(size, "Data Product")
-        .where("_found = _size")
+    have = export_tables.select("export", table_stem("Table").alias("Table"))
+    have = have.groupBy("export").agg(F.array_sort(F.collect_set("Table")).alias("have"))
+    want = product_tables.groupBy("Data Product").agg(F.array_sort(F.collect_set("Table")).alias("want"))
+    options = (
+        containing_sets(have.select("have").distinct(), want.select("want").distinct())
+        .join(want, "want")
+        .groupBy("have")
+        .agg(F.array_sort(F.collect_set("Data Product")).alias("options"))
     )
-    options = complete.groupBy("export").agg(F.array_sort(F.collect_set("Data Product")).alias("options"))
     label = F.when(
         F.col("options").isNotNull(), F.concat(F.lit("Multiple_Options: "), F.array_join("options", ", "))
     ).otherwise(F.lit("Unknown"))
-    return have.select("export").distinct().join(options, "export", "left").withColumn("label", label)
+    return have.join(options, "have", "left").select("export", "options", label.alias("label"))
 
 
 def table_stem(column: str) -> Column:

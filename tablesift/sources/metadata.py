@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import operator
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import contains_word, first_line, letters_only
+from ..operators.filters import BROADCAST_BYTES
 
 DICTIONARY_COLUMNS = ("Data Product", "Table", "Column", "Definition")
 INLINE_WORDS = 100  # search words that are written into the plan
-GRAM = 3
 
 
 def restrict_products(df: DataFrame, available: DataFrame | None) -> DataFrame:
@@ -88,8 +89,8 @@ def search_dictionary_words(
 
     ``words`` is a list of any length or a DataFrame, whose first column is taken. A few
     words are a literal array, so the dictionary is read once and not joined; more are
-    joined: by equality on the cell values, or on the rarest three letters of each word,
-    with the test for containment on what that join finds. Null words find nothing.
+    joined by equality on the cell values, or looked for by an automaton that reads each
+    distinct cell once (it needs pyahocorasick on the executors). Null words find nothing.
     """
     df = _narrow(restrict_products(dictionary, available), product, table)
     searched = _searched(product, table, columns)
@@ -103,37 +104,68 @@ def search_dictionary_words(
     words = words.select(F.col(f"`{words.columns[0]}`").cast("string").alias("word")).dropna().distinct()
     words = words.select(letters_only(F.col("word")).alias("search_word") if letters else F.col("word").alias("search_word"))
     if not searched:
-        return df.join(words.limit(0), F.lit(True))
+        return df.withColumn("search_word", F.lit(None).cast("string")).where("false")
     cells = [F.col(f"`{c}`").cast("string") for c in searched]
     cells = F.filter(F.array(*[letters_only(c) if letters else c for c in cells]), lambda c: c.isNotNull())
     if exact:
         found = df.withColumn("_cell", F.explode(F.array_distinct(cells)))
         return found.join(words, F.col("_cell") == F.col("search_word")).drop("_cell")
-    grams = F.array_distinct(F.flatten(F.transform(cells, lambda c: F.concat(*[_grams(F.lower(c), n) for n in range(GRAM + 1)]))))
-    found = df.withColumn("_gram", F.explode(grams))
-    common = found.groupBy(F.col("_gram").alias("g")).agg(F.count(F.lit(1)).alias("n"))
-    word = F.lower("search_word")
-    # a word below three letters is its own key; its length says how long the grams are
-    own = F.when(F.length(word) < GRAM, F.array(word)).otherwise(F.array_distinct(_grams(word, GRAM)))
-    keyed = single_words(words).withColumn("key", F.explode(own)).join(common, F.col("key") == F.col("g"), "left")
-    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key"))["key"].alias("_key")
-    keyed = keyed.groupBy("search_word", "_times").agg(rarest)
-    found = found.join(keyed, F.col("_gram") == F.col("_key")).where(_hit(searched, F.col("search_word"), letters, False))
-    return found.withColumn("_times", F.explode(F.array_repeat(F.lit(1), F.col("_times").cast("int")))).drop("_gram", "_key", "_times")
-
-
-def single_words(words: DataFrame) -> DataFrame:
-    """Distinct search words with the number of given words that come to the same."""
-    return words.groupBy("search_word").agg(F.count(F.lit(1)).alias("_times"))
-
-
-def _grams(text: Column, length: int) -> Column:
-    """All runs of so many letters of a text; of length zero the empty text."""
-    if not length:
-        return F.array(F.lit(""))
-    last = F.length(text) - (length - 1)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(text, i, F.lit(length)))
-    return F.when(last >= 1, runs).otherwise(F.array().cast("array<string>"))
+    hits = _word_hits(df, cells, words)
+    found = df
+    for i, name in enumerate(searched):
+        cell = F.col(f"`{name}`").cast("string")
+        cell = F.lower(letters_only(cell) if letters else cell)
+        found = found.join(hits.select(F.col("cell").alias(f"_cell{i}"), F.col("found").alias(f"_found{i}")), cell == F.col(f"_cell{i}"), "left")
+    every = F.flatten(F.array_compact(F.array(*[F.col(f"_found{i}") for i in range(len(searched))])))
+    found = found.withColumn("_word", F.explode(F.array_distinct(every)))
+    return found.select(*[F.col(f"`{c}`") for c in df.columns], F.col("_word.search_word").alias("search_word"))
+
+
+def _word_hits(df: DataFrame, cells: Column, words: DataFrame) -> DataFrame:
+    """(cell, found): each distinct lower-case cell with the words it holds, as (search_word, its number among equal ones).
+
+    The cells are read by an automaton of all words, once each; words of more than ``BROADCAST_BYTES`` are dealt
+    into several automata.
+    """
+    texts = df.select(F.explode(cells).alias("cell")).select(F.lower("cell").alias("cell")).distinct()
+    number = F.row_number().over(Window.partitionBy("search_word").orderBy(F.lit(0)))
+    words = words.select("search_word", F.lower("search_word").alias("word"), number.alias("number"))
+    size = words.agg(F.sum(F.octet_length("word") + 64)).first()[0] or 0
+    groups = max(1, -(-size // BROADCAST_BYTES))
+    found = []
+    for group in range(groups):
+        mine = words.where(F.pmod(F.xxhash64("word"), F.lit(groups)) == group)
+        listed = df.sparkSession.sparkContext.broadcast([tuple(r) for r in mine.collect()])
+        found.append(texts.mapInPandas(_searcher(listed), "cell string, search_word string, number int"))
+    hit = F.struct("search_word", "number")
+    return reduce(DataFrame.unionByName, found).groupBy("cell").agg(F.collect_list(hit).alias("found"))
+
+
+def _searcher(listed):
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import ahocorasick
+
+        automaton, empty = ahocorasick.Automaton(), []
+        for search_word, word, number in listed.value:
+            held = automaton.get(word, []) if word else empty
+            held.append((search_word, number))
+            if word:
+                automaton.add_word(word, held)
+        automaton.make_automaton()
+        for batch in batches:
+            rows = []
+            for cell in batch["cell"]:
+                hits = set(empty)
+                if len(automaton):
+                    for _, held in automaton.iter(cell):
+                        hits.update(held)
+                rows += [(cell, word, number) for word, number in hits]
+            columns = list(zip(*rows, strict=True)) or [(), (), ()]
+            cell, word, number = (pd.Series(list(c), dtype=object) for c in columns)
+            yield pd.DataFrame({"cell": cell, "search_word": word, "number": number.astype("int32")})
+
+    return search
+
 
 
 def date_columns(

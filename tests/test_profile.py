@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablesift import profile, profile_table, profile_tables, report_views, year_distribution
-from tablesift.operators.profile import PROFILE_COLUMNS, safe_report_name, write_report
+from tablesift.operators.profile import PROFILE_COLUMNS, merged_profile, safe_report_name, save_profile_state, write_report
 
 CODES = ["DK", "SE", "CN"]
 
@@ -82,13 +82,32 @@ def test_views_and_files(spark, owners, tmp_path):
     path = f"{tmp_path}/t.parquet"
     owners.write.parquet(path)
     one = profile_table(spark, [path], CODES, "P", "t", report_path=f"{tmp_path}/rep")
-    assert one.count() == 9 and spark.read.parquet(f"{tmp_path}/rep/summary").first().file_name == "t.parquet"
+    assert one.count() == 9 and spark.read.parquet(f"{tmp_path}/rep/summary").first().file_name is None
+    first = profile_table(spark, [path, "absent"], CODES, "P", "t", sample_strategy="first_file")
+    assert {r.file_name for r in first.collect()} == {"t.parquet"}
     assert profile_table(spark, [path], dry_run=True).first().would_profile
     many = profile_tables(spark, {("P", "a"): [path], ("P", "b"): [path]}, CODES, sample_strategy="all")
     assert many.count() == 18
     assert safe_report_name("a/b:c") == "a_b_c" and safe_report_name(None) == "profile"
 
 
+def test_states_of_parts_merge_to_the_profile_of_all(spark, owners, tmp_path):
+    cut = [owners.where("revenue > 1"), owners.where("NOT revenue > 1"), owners.where("revenue IS NULL"), owners.limit(0)]
+    for k, part in enumerate(cut):
+        save_profile_state(part, f"{tmp_path}/{k}", CODES)
+    paths = [f"{tmp_path}/{k}" for k in range(len(cut))]
+    whole = profile(owners, CODES, "P", "t").orderBy("column").collect()
+    assert merged_profile(spark, paths, "P", "t").orderBy("column").collect() == whole
+    assert merged_profile(spark, paths, "P", "t", approximate=True).orderBy("column").collect() == whole
+    stored = spark.read.parquet(f"{tmp_path}/0/digests")
+    assert [f.dataType.simpleString() for f in stored.schema] == ["int", "bigint", "bigint"]
+    save_profile_state(owners.select("revenue"), f"{tmp_path}/other", CODES)
+    with pytest.raises(ValueError, match="different columns"):
+        merged_profile(spark, [*paths, f"{tmp_path}/other"])
+    with pytest.raises(ValueError, match="no states"):
+        merged_profile(spark, [])
+
+
 def test_year_distribution(spark):
     df = spark.createDataFrame([("01-01-2020",), ("15-06-2020",), ("01-01-2021",), ("x",)], "closing_date string")
     got = [(r.Year, r.Frequency, round(r.Percentage, 2)) for r in year_distribution(df, date_format="dd-MM-yyyy").collect()]
