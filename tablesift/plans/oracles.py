@@ -254,7 +254,8 @@ def normalized(col: str, suffixes=CLEANED_SUFFIXES) -> str:
     clean = f"trim(regexp_replace(regexp_replace(lower({col}), '[^\\p{{L}}\\p{{M}}\\p{{N}}_\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
     cases = " ".join(
         f"WHEN ends_with(n, {lit(s)}) THEN trim(n[1:length(n) - {len(s)}])" for s in suffixes)
-    return f"(SELECT nullif(CASE {cases} ELSE n END, '') FROM (SELECT {clean} AS n))"
+    kept = f"CASE {cases} ELSE n END" if cases else "n"
+    return f"(SELECT nullif({kept}, '') FROM (SELECT {clean} AS n))"
 
 
 def lcs(a: str, b: str) -> str:
@@ -276,50 +277,93 @@ def words(col: str) -> str:
     return f"list_filter(string_split({col}, ' '), lambda w: length(w) > 1)"
 
 
-def match_sql(searches: str, score: str, cut_off: float, bound: str) -> str:
+#: table, its key, and the name of the phrase's column
+PHRASES = r"""SELECT {1} AS id, phrase AS {2} FROM (SELECT {1}, unnest(string_split_regex(text, '[.,\n]+')) AS phrase FROM {0}) WHERE trim(phrase) <> ''"""
+
+
+def match_sql(searches: str, score: str, cut_off: float, bound: str, titles: str = TITLES, match: str = "name", result: str = "page_id", suffixes=CLEANED_SUFFIXES) -> str:
     """Every search compared with every name that passes ``bound``, then the tiers."""
     return f"""
-    WITH prepared AS (SELECT {normalized('name')} AS name, name AS shown, page_id FROM ({TITLES})),
-    names AS (SELECT name, arg_max(shown, (page_id, shown)) AS shown, max(page_id) AS page_id FROM prepared WHERE name IS NOT NULL GROUP BY name),
-    wanted AS (SELECT DISTINCT {normalized('search')} AS search FROM ({searches})),
-    rest AS (SELECT search, greatest(3, least(10, CAST(ceil(length(search) / 3) AS INT))) AS tol FROM wanted
+    WITH prepared AS (SELECT {normalized(match, suffixes)} AS name, {match} AS shown, {result} AS result FROM ({titles})),
+    names AS MATERIALIZED (SELECT *, {fold('name')} AS nf, {key('name', 3)} AS n3, {key('name', 1)} AS n1, {words('name')} AS nw FROM (
+        SELECT name, arg_max(shown, (result, shown)) AS shown, max(result) AS result FROM prepared WHERE name IS NOT NULL GROUP BY name)),
+    wanted AS MATERIALIZED (SELECT DISTINCT {normalized('search', suffixes)} AS search FROM ({searches})),
+    rest AS MATERIALIZED (SELECT search, greatest(3, least(10, CAST(ceil(length(search) / 3) AS INT))) AS tol,
+                    {fold('search')} AS sf, {key('search', 3)} AS s3, {key('search', 1)} AS s1, {words('search')} AS sw FROM wanted
              WHERE search IS NOT NULL AND search NOT IN (SELECT name FROM names)),
-    pairs AS (SELECT search, name, tol, abs(length(search) - length(name)) <= tol AS near,
-                     {key('search', 3)} <> '' AND {key('search', 3)} = {key('name', 3)} AS b1,
-                     list_has_any({words('search')}, {words('name')}) AS b2,
-                     {key('search', 1)} <> '' AND {key('search', 1)} = {key('name', 1)} AS b3, true AS b4
+    pairs AS (SELECT search, name, sf, nf, tol, abs(length(search) - length(name)) <= tol AS near,
+                     s3 <> '' AND s3 = n3 AS b1, list_has_any(sw, nw) AS b2, s1 <> '' AND s1 = n1 AS b3, true AS b4
               FROM rest, names),
+    passed AS MATERIALIZED (SELECT * FROM pairs WHERE {bound}),
+    scored AS MATERIALIZED (SELECT * FROM (SELECT *, {score} AS score FROM passed) WHERE score >= {cut_off} AND score > 0),
     held AS (SELECT search, bool_or(b1 AND near) AS h1, bool_or(b2 AND near) AS h2, bool_or(b3 AND near) AS h3, bool_or(near) AS h4
-             FROM pairs GROUP BY search),
-    scored AS (SELECT * FROM (SELECT *, {score} AS score FROM pairs WHERE {bound}) WHERE score >= {cut_off} AND score > 0),
+             FROM pairs WHERE search IN (SELECT search FROM scored) GROUP BY search),
     tiered AS (SELECT s.search, s.name, score, CASE WHEN b1 AND (near OR NOT h1) THEN 1 WHEN b2 AND (near OR NOT h2) THEN 2
                       WHEN b3 AND (near OR NOT h3) THEN 3 WHEN near OR NOT h4 THEN 4 ELSE 5 END AS tier
                FROM scored s JOIN held h ON s.search = h.search),
     hits AS (SELECT search, name, score FROM tiered QUALIFY rank() OVER (PARTITION BY search ORDER BY tier, score DESC) = 1
              UNION ALL SELECT search, search, 100.0 FROM wanted WHERE search IN (SELECT name FROM names))
-    SELECT w.search AS "Search_string", h.name AS "BestMatch", round(coalesce(h.score, 0.0), 6) AS "Score", n.shown AS name, n.page_id
+    SELECT w.search AS "Search_string", h.name AS "BestMatch", round(coalesce(h.score, 0.0), 6) AS "Score", n.shown AS {match}, n.result AS {result}
     FROM wanted w LEFT JOIN hits h ON w.search = h.search LEFT JOIN names n ON h.name = n.name WHERE w.search IS NOT NULL"""
 
 
+def weighted_score() -> str:
+    """The combined score from 90.01 on, which parts of names cannot reach: they count 0.9 at most."""
+    tokens = f"0.95 * greatest({ratio(sorted_words('search'), sorted_words('name'))}, {token_set_score()})"
+    alike = "greatest(length(search), length(name)) < 1.5 * least(length(search), length(name))"
+    return f"greatest({ratio('search', 'name')}, CASE WHEN {alike} THEN {tokens} ELSE 0.0 END)"
+
+
+def short_titles(n: int, column: str) -> str:
+    return f"SELECT DISTINCT array_to_string(string_split(lower(name), ' ')[1:{n}], ' ') AS {column} FROM ({TITLES})"
+
+
+def pairs_sql(score: str, cut_off: float) -> str:
+    return f"""SELECT search, name, round(score, 6) AS score FROM (SELECT search, name, {score} AS score
+        FROM ({short_titles(2, 'search')}), ({short_titles(3, 'name')}) WHERE search <> '' AND name <> '') WHERE score >= {cut_off}"""
+
+
+def partial_pairs_sql(cut_off: float) -> str:
+    """The best ratio of the shorter text with a window of its length, which may stand out at both ends of the longer."""
+    cut = "substring(long, greatest(1, e - length(short) + 1)::INT, (least(e, length(long)) - greatest(1, e - length(short) + 1) + 1)::INT)"
+    return f"""WITH s AS ({short_titles(2, 'search')}), n AS ({short_titles(3, 'name')}),
+        p AS (SELECT search, name, search AS short, name AS long FROM s, n WHERE length(search) <= length(name)
+              UNION ALL SELECT search, name, name, search FROM s, n WHERE length(name) <= length(search)),
+        e AS (SELECT *, unnest(range(1, length(short) + length(long))) AS e FROM p WHERE short <> ''),
+        w AS (SELECT search, name, short, {cut} AS w FROM e),
+        d AS (SELECT DISTINCT short, w FROM w WHERE {near_enough('short', 'w', cut_off)}),
+        r AS (SELECT short, w, {ratio('short', 'w')} AS score FROM d)
+        SELECT search, name, round(max(score), 6) AS score FROM w JOIN r USING (short, w) GROUP BY search, name HAVING max(score) >= {cut_off}"""
+
+
+def fold(col: str) -> str:
+    """One byte for each character; what is not ASCII becomes equal, so no distance grows."""
+    return f"regexp_replace({col}, '[^\\x00-\\x7F]', '~', 'g')"
+
+
 def near_enough(a: str, b: str, cut_off: float) -> str:
-    """Edits with replacements are never more than edits without."""
-    return f"levenshtein({a}, {b}) <= (length({a}) + length({b})) * {1 - cut_off / 100} + 1e-9"
+    """Edits with replacements are never more than edits without; DuckDB counts them in bytes."""
+    folded = {"search": "sf", "name": "nf"}  # as match_sql has them
+    x, y = (folded.get(c) or fold(c) for c in (a, b))
+    return f"levenshtein({x}, {y}) <= (length({a}) + length({b})) * {1 - cut_off / 100} + 1e-9"
 
 
 def sorted_words(col: str) -> str:
     return f"array_to_string(list_sort(string_split({col}, ' ')), ' ')"
 
 
-def token_set_score() -> str:
-    """Score of the shared and the remaining words, as sorted texts."""
+def token_set_score(bound: bool = False) -> str:
+    """Score of the shared and the remaining words, as sorted texts; as a bound, what the lengths of the rests allow."""
     both = "list_sort(list_intersect(string_split(search, ' '), string_split(name, ' ')))"
 
     def rest(a: str, b: str) -> str:
         return (f"array_to_string(list_sort(list_distinct(list_filter(string_split({a}, ' '), "
                 f"lambda w: NOT list_contains(string_split({b}, ' '), w)))), ' ')")
 
-    share = f"(SELECT CASE WHEN i <> '' AND (a = '' OR b = '') THEN 100.0 WHEN i = '' THEN {ratio('a', 'b')} ELSE greatest("
-    share += f"200.0 * (length(i) + 1 + {lcs('a', 'b')}) / (2 * length(i) + 2 + length(a) + length(b)), "
+    most, alone = ("least(length(a), length(b))", near_enough("a", "b", 80)) if bound else (lcs("a", "b"), None)
+    alone = f"CASE WHEN {alone} THEN 100.0 ELSE 79.0 END" if bound else ratio("a", "b")
+    share = f"(SELECT CASE WHEN i <> '' AND (a = '' OR b = '') THEN 100.0 WHEN i = '' THEN {alone} ELSE greatest("
+    share += f"200.0 * (length(i) + 1 + {most}) / (2 * length(i) + 2 + length(a) + length(b)), "
     share += "200.0 * length(i) / (2 * length(i) + 1 + length(a)), 200.0 * length(i) / (2 * length(i) + 1 + length(b))) END "
     share += f"FROM (SELECT array_to_string({both}, ' ') AS i, {rest('search', 'name')} AS a, {rest('name', 'search')} AS b))"
     return share
@@ -342,7 +386,7 @@ def plain_sql(removed, suffixes, every: bool) -> str:
     wanted AS (SELECT DISTINCT {low('search', [], suffixes)} AS search FROM ({MISSPELLED})),
     distinct_names AS (SELECT DISTINCT name FROM names),
     near AS MATERIALIZED (SELECT search, name FROM wanted, distinct_names
-               WHERE search NOT IN (SELECT name FROM names) AND {near_enough('search', 'name', 80)}),
+               WHERE search NOT IN (SELECT name FROM names) AND {near_enough('(search)', '(name)', 80)}),
     scored AS MATERIALIZED (SELECT search, name, {ratio('search', 'name')} AS score FROM near),
     fuzzy AS (SELECT s.search, s.name, score, shown, page_id FROM scored s JOIN names n ON s.name = n.name WHERE score >= 80 QUALIFY {final}),
     exact AS (SELECT w.search, n.name, 100.0 AS score, shown, page_id FROM wanted w JOIN names n ON w.search = n.name {exact}),
@@ -488,7 +532,7 @@ ORACLES: dict[str, str] = {
     "name_match_ratio_low": match_sql(MISSPELLED, ratio("search", "name"), 60, near_enough("search", "name", 60)),
     "name_token_sort": match_sql(REORDERED, ratio(sorted_words("search"), sorted_words("name")), 85,
                                  near_enough(sorted_words("search"), sorted_words("name"), 85)),
-    "name_token_set": match_sql(REORDERED, token_set_score(), 85, "true"),
+    "name_token_set": match_sql(REORDERED, token_set_score(), 85, f"{token_set_score(bound=True)} >= 84"),
     "name_plain": plain_sql([], ["ltd", "inc"], False),
     "name_plain_ties": plain_sql([" ltd", " inc"], [], True),
     "name_best_ties": """SELECT DISTINCT p_brand AS "Search_string", p_name AS "BestMatch", CAST(p_size AS DOUBLE) AS "Score" FROM part
@@ -497,3 +541,24 @@ ORACLES: dict[str, str] = {
 ORACLES |= {"saved_matches": ORACLES["name_best_ties"], "profile_report": ORACLES["profile_summary"], "profile_files": ORACLES["profile_orders"]}
 ORACLES |= {"name_match_staged": ORACLES["name_match_ratio"]}
 ORACLES |= {"profile_merged": ORACLES["profile_orders"]}
+ORACLES |= {
+    "name_match_wratio": match_sql(MISSPELLED, weighted_score(), 90.1, f"""{near_enough('search', 'name', 90)}
+        OR {near_enough(sorted_words('search'), sorted_words('name'), 94)} OR {token_set_score(bound=True)} >= 94"""),
+    "name_callable": match_sql(MISSPELLED, "100.0 - abs(length(search) - length(name))", 90,
+                               f"{near_enough('search', 'name', 80)} AND {ratio('search', 'name')} >= 80"),
+    "pairs_quick_ratio": pairs_sql(ratio("search", "name"), 75),
+    "pairs_token_ratio": pairs_sql(f"greatest({ratio(sorted_words('search'), sorted_words('name'))}, {token_set_score()})", 70),
+    "pairs_partial_ratio": partial_pairs_sql(80),
+    "name_match_phrases": match_sql(PHRASES.format("benchmark", "item_id", "search"), ratio("search", "name"), 85, near_enough("search", "name", 85),
+                                    PHRASES.format("documents", "doc_id", "phrase"), "phrase", "id", []),
+    "table_files": f"""SELECT '/exports/' || export || '/' || replace(tab, 'interim_usd', 'usd_interim') || '.csv' AS path FROM ({ENTRIES})
+        QUALIFY count(*) OVER (PARTITION BY export) = 1 OR tab = 'interim_usd_F'""",
+    "table_schema": " UNION ALL ".join(f"SELECT '{t}' AS \"table\", column_name AS \"column\" FROM (DESCRIBE SELECT * FROM {t})" for t in ("orders", "customer", "documents")),
+    "profile_first_file": f"""SELECT * REPLACE ('F.parquet' AS file_name, 'first_file' AS sample_strategy) FROM
+        ({profile_sql("SELECT * FROM orders WHERE o_orderstatus = 'F'", ORDER_COLUMNS, "Sales", "orders")})""",
+    "default_output": f"SELECT *, '2402030405_financials' AS name FROM ({FINANCIALS})",
+    "id_column": f"""SELECT * FROM ({DICTIONARY}) WHERE "Column" = (SELECT max(p_name) FROM part)""",
+    "period_validation": """WITH y AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y FROM orders),
+        a AS (SELECT y AS first FROM y UNION ALL SELECT 1899 UNION ALL SELECT NULL), b AS (SELECT y AS last FROM y UNION ALL SELECT 2999 UNION ALL SELECT NULL)
+        SELECT first, last, coalesce(first >= 1900, true) AND coalesce(last <= 2024, true) AND coalesce(first <= last, true) AS valid FROM a, b""",
+}

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import company_suffixes, letters_only, normalize_name, safe_file_name, split_list
-from ..operators.extract import ExtractSpec, extract, lookup_national_ids, preflight, sample
+from ..operators.extract import ExtractSpec, default_destination, extract, lookup_national_ids, preflight, sample
 from ..operators.filters import Clause, DateRange, LayeredFilter, classify_ids, id_clause
 from ..operators.jobs import run_batch
 from ..operators.lineage import resolve_lineage
+from ..operators.name_pairs import qualifying_pairs
 from ..operators.names import (
     best_matches,
     block_columns,
@@ -21,12 +23,12 @@ from ..operators.names import (
     prepare_names,
     search_company_names,
 )
-from ..operators.profile import merged_profile, profile, profile_tables, report_views, save_profile_state, write_report
+from ..operators.profile import merged_profile, profile, profile_table, profile_tables, report_views, save_profile_state, write_report
 from ..operators.stats import year_distribution
 from ..sources import catalog as cat
 from ..sources import metadata as meta
 from ..sources.footers import file_facts
-from ..sources.readers import read_id_list, read_metadata, read_plain_ids, read_table, with_source_file
+from ..sources.readers import column_names, read_id_list, read_metadata, read_plain_ids, read_table, with_source_file
 from ..sources.writers import fill_null_columns, write_stamped, write_table
 from ..streaming.ingest import ingest_new
 from . import data as d
@@ -650,3 +652,92 @@ def name_match_phrases(spark, sf):
     names = d.phrases(spark, sf, "documents")
     searches = d.phrases(spark, sf, "benchmark").select("phrase")
     return naive(match_names(searches, names, "phrase", "id", 85, scorer="ratio"))
+
+
+@query
+def name_callable(spark, sf):
+    """A scorer of one's own: names of equal length are best, of those that are alike."""
+    return naive(match_names(d.misspelled(spark, sf), d.page_titles(spark, sf), "name", "page_id", 90, company_suffixes(),
+                             lambda a, b: 100.0 - abs(len(a) - len(b)), guard=("ratio", 80)))
+
+
+def _short_titles(spark, sf, n: int, column: str) -> DataFrame:
+    words = F.slice(F.split(F.lower("name"), " "), 1, n)
+    return d.page_titles(spark, sf).select(F.array_join(words, " ").alias(column)).where(f"{column} <> ''").distinct()
+
+
+def _pairs(spark, sf, scorer: str, cut_off: float) -> DataFrame:
+    """All pairs of the titles' first two words and first three words at the cut-off."""
+    return naive(qualifying_pairs(_short_titles(spark, sf, 2, "search"), _short_titles(spark, sf, 3, "name"), scorer, cut_off))
+
+
+@query
+def pairs_partial_ratio(spark, sf):
+    return _pairs(spark, sf, "partial_ratio", 80)
+
+
+@query
+def pairs_token_ratio(spark, sf):
+    return _pairs(spark, sf, "token_ratio", 70)
+
+
+@query
+def pairs_quick_ratio(spark, sf):
+    return _pairs(spark, sf, "QRatio", 75)
+
+
+# small operators
+
+
+@query
+def table_files(spark, sf):
+    """The part files of one table in folders that several tables may share."""
+    files = d.export_entries(spark, sf).select(F.concat_ws("/", "root", "export", "entry").alias("path"))
+    return cat.select_table_files(files, "usd_interim_F")
+
+
+@query
+def table_schema(spark, sf):
+    rows = [(t, c) for t in ("orders", "customer", "documents") for c in column_names(spark, f"{sf}/{t}.parquet")]
+    return spark.createDataFrame(rows, "table string, column string")
+
+
+@query
+def profile_first_file(spark, sf):
+    """The profile of the first of several parts."""
+    root = d.scratch(spark)
+    for status in ("F", "O"):
+        d.table(spark, sf, "orders").where(F.col("o_orderstatus") == status).write.parquet(f"{root}/{status}.parquet")
+    return naive(profile_table(spark, [f"{root}/F.parquet", f"{root}/O.parquet"], d.CODES, "Sales", "orders", sample_strategy="first_file"))
+
+
+@query
+def default_output(spark, sf):
+    """An extract that goes where it goes by default, read again."""
+    path = default_destination("financials", d.scratch(spark), datetime(2024, 2, 3, 4, 5))
+    written = write_table(d.financials(spark, sf), path)
+    name = written[0].rpartition("/")[2].partition(".")[0]
+    return naive(read_table(spark, written).withColumn("name", F.lit(name)))
+
+
+@query
+def id_column(spark, sf):
+    """The dictionary rows of the ID column that a search word resolves to."""
+    dictionary = d.dictionary(spark, sf)
+    word = dictionary.agg(F.max("Column")).first()[0]
+    return dictionary.where(F.col("Column") == meta.resolve_id_column(dictionary, word))
+
+
+@query
+def period_validation(spark, sf):
+    """Which pairs of the years of orders are a period."""
+    years = [r[0] for r in d.table(spark, sf, "orders").select(F.year("o_orderdate")).distinct().collect()]  # one a year
+    rows = []
+    for first in [*years, 1899, None]:
+        for last in [*years, 2999, None]:
+            try:
+                DateRange(first, last, this_year=2024)
+                rows.append((first, last, True))
+            except ValueError:
+                rows.append((first, last, False))
+    return spark.createDataFrame(rows, "first int, last int, valid boolean")
