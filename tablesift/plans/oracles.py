@@ -353,15 +353,16 @@ def sorted_words(col: str) -> str:
 
 
 def token_set_score(bound: bool = False) -> str:
-    """Score of the shared and the remaining words, as sorted texts; as a bound, what the lengths of the rests allow."""
+    """Score of the shared and the remaining words, as sorted texts; as a bound, what the edits of the rests allow."""
     both = "list_sort(list_intersect(string_split(search, ' '), string_split(name, ' ')))"
 
     def rest(a: str, b: str) -> str:
         return (f"array_to_string(list_sort(list_distinct(list_filter(string_split({a}, ' '), "
                 f"lambda w: NOT list_contains(string_split({b}, ' '), w)))), ' ')")
 
-    most, alone = ("least(length(a), length(b))", near_enough("a", "b", 80)) if bound else (lcs("a", "b"), None)
-    alone = f"CASE WHEN {alone} THEN 100.0 ELSE 79.0 END" if bound else ratio("a", "b")
+    # what is not edited away is shared, and edits with replacements are never more than those without
+    most = f"(length(a) + length(b) - levenshtein({fold('a')}, {fold('b')})) / 2" if bound else lcs("a", "b")
+    alone = f"CASE WHEN {near_enough('a', 'b', 80)} THEN 100.0 ELSE 79.0 END" if bound else ratio("a", "b")
     share = f"(SELECT CASE WHEN i <> '' AND (a = '' OR b = '') THEN 100.0 WHEN i = '' THEN {alone} ELSE greatest("
     share += f"200.0 * (length(i) + 1 + {most}) / (2 * length(i) + 2 + length(a) + length(b)), "
     share += "200.0 * length(i) / (2 * length(i) + 1 + length(a)), 200.0 * length(i) / (2 * length(i) + 1 + length(b))) END "

@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -254,3 +255,47 @@ def test_source_names_are_unique_text(spark, tmp_path):
     path, = write_table(tagged, f"{tmp_path}/per", by_source=True)
     names = [r.source_file for r in spark.read.parquet(path).collect()]
     assert len(set(names)) == 2 and all(n.startswith("0001-") for n in names)
+
+
+def test_control_files_name_the_newest_export(spark, tmp_path):
+    for product, files in {"p1": [("a.tnf", "old", 100), ("b.tnf", "new", 200)], "p2": [("c.tnf", "new", 300), ("d.tnf", "old", 400)],
+                           "p3": [("e.tnf", None, 100)], "p4": [("f.tnf", "gone", 100)], "p5": []}.items():
+        (tmp_path / product / "tnfs").mkdir(parents=True)
+        for name, folder, modified in files:
+            path = tmp_path / product / "tnfs" / name
+            path.write_text('{"DataFolder": "%s"}' % folder if folder else "no json")
+            os.utime(path, (modified, modified))
+    (tmp_path / "p1" / "tnfs" / "z.txt").write_text("{}")
+    entries = spark.createDataFrame([(f"file:{tmp_path}/{p}", e, "t") for p in ("p1", "p2", "p3", "p4", "p5") for e in ("old", "new")],
+                                    "root string, export string, entry string")
+    cat = catalog.build_catalog(entries)
+    controls = catalog.control_files(spark, str(tmp_path))
+    assert {r.folder for r in controls.collect()} == {"gone", "new", "old", None}
+    found = catalog.newest_by_control(cat, controls)
+    assert found.columns == cat.columns
+    got = {(r["Export"].rpartition("/p")[2], r["Timestamp"].timestamp()) for r in found.collect()}
+    assert got == {("1/new", 200.0), ("2/old", 400.0)}
+
+
+def test_sets_that_contain_others(spark):
+    rnd = random.Random(3)
+    sets = {frozenset(rnd.sample("abcdefghij", rnd.randint(0, 7))) for _ in range(60)}
+    parts = {frozenset(rnd.sample("abcdefghijk", rnd.randint(1, 4))) for _ in range(40)}
+    have = spark.createDataFrame([(sorted(s),) for s in sets], "have array<string>")
+    want = spark.createDataFrame([(sorted(s),) for s in parts], "want array<string>")
+    got = {(frozenset(r.have), frozenset(r.want)) for r in catalog.containing_sets(have, want).collect()}
+    assert got == {(s, p) for s in sets for p in parts if p <= s}
+
+
+@pytest.mark.parametrize("letters", [False, True])
+def test_many_words_are_found_as_one_by_one(spark, dictionary, monkeypatch, letters):
+    words = ["", "Assets", "ASS", "total assets", "e", "o", "name", "e", None, "total-assets", "zzz", ".", "é"]
+    rows_ = dictionary.union(dictionary.limit(1))
+    few = metadata.search_dictionary_words(rows_, words, letters=letters)
+    want = sorted(map(repr, (tuple(r) for r in few.collect())))
+    monkeypatch.setattr(metadata, "INLINE_WORDS", 0)
+    for limit in (10**9, 150):
+        monkeypatch.setattr(metadata, "BROADCAST_BYTES", limit)
+        many = metadata.search_dictionary_words(rows_, words, letters=letters)
+        assert many.columns == few.columns
+        assert sorted(map(repr, (tuple(r) for r in many.collect()))) == want
