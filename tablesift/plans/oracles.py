@@ -528,7 +528,7 @@ ORACLES: dict[str, str] = {
         u AS (SELECT name, max(page_id) AS page_id FROM n WHERE name IS NOT NULL GROUP BY name)
         SELECT name, page_id, {key('name', 3)} AS prefix3, {key('name', 1)} AS prefix1, length(name) AS name_len,
                array_to_string({words('name')}, ' ') AS tokens FROM u""",
-    "name_exact": match_sql(f"SELECT upper(name) AS search FROM ({TITLES})", ratio("search", "name"), 100, near_enough("search", "name", 100)),
+    "name_exact": match_sql(f"SELECT translate(name, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS search FROM ({TITLES})", ratio("search", "name"), 100, near_enough("search", "name", 100)),
     "name_match_ratio": match_sql(MISSPELLED, ratio("search", "name"), 90, near_enough("search", "name", 90)),
     "name_match_ratio_low": match_sql(MISSPELLED, ratio("search", "name"), 60, near_enough("search", "name", 60)),
     "name_token_sort": match_sql(REORDERED, ratio(sorted_words("search"), sorted_words("name")), 85,

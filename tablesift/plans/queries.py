@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from string import ascii_lowercase, ascii_uppercase
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -582,7 +583,8 @@ def _match(spark, sf, searches, scorer, cut_off):
 
 @query
 def name_exact(spark, sf):
-    upper = d.page_titles(spark, sf).select(F.upper("name").alias("search"))
+    # only A-Z, as engines differ in the upper case of sharp s
+    upper = d.page_titles(spark, sf).select(F.translate("name", ascii_lowercase, ascii_uppercase).alias("search"))
     return _match(spark, sf, upper, "ratio", 100)
 
 
