@@ -7,11 +7,13 @@ and may be shorter. Null and empty texts are one separator.
 **Plan.** Only the histogram of piece lengths (at most ``capacity`` rows) reaches the
 driver. The configuration linear program has one variable for each way to fill a sequence
 and one row for each length. Multiplicative weights solve it: the price of a length is its
-size times exp(ETA * share still unserved); a knapsack dynamic program finds the
-configuration of greatest price, which is used until one of its lengths runs out. The
-solution is rounded down and what is left is placed best-fit, longest first, again on the
-histogram. ``ROUNDS`` bounds the pricing rounds; lengths that are left then are placed
-best-fit too, so every piece is placed for any input.
+size, slightly more for long ones (which fit in fewer places), times exp(ETA * share still
+unserved). In a round one knapsack dynamic program gives the configuration of greatest price for
+every length; those near the greatest are used, in steps that leave most of each length for
+later prices, so that all lengths are served together. Steps are rounded down to whole
+sequences. What is left is placed best-fit, longest first, again on the histogram, and
+a plan that takes more sequences than best-fit of everything is not used. ``ROUNDS`` bounds
+the pricing rounds; lengths left then are placed best-fit too, so every piece is placed for any input.
 
 **Assignment.** The plan is a table of slots: for each configuration and length, the first
 and last slot of that length. Its size depends on ``capacity`` and ``ROUNDS`` only, so it
@@ -23,7 +25,8 @@ ordered documents into windows of ``WINDOW``, makes a plan for each, numbers the
 length by their place and the sequences by the smallest place in them. So the
 sequences up to any sequence_id hold a prefix of the order, to within one window.
 
-Repeated rows are packed as often as they occur. Columns of the pieces are passed through.
+Repeated rows are packed as often as they occur. Columns of the pieces are passed through, whatever
+their names; only sequence_id and offset are replaced. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -45,7 +48,11 @@ from .common import key_rank, require, saved
 CAPACITY = 2048
 SEPARATOR = 0
 ROUNDS = 200
-ETA = 1.5
+STEP = 0.5  # share of a length that a round serves
+NEAR = 0.03  # share of the greatest price that a configuration may lack
+TILT = 0.3  # power of a length's share of the capacity in its price
+ETA = 0.01
+REST = 0.05  # share of the pieces that is left to best-fit
 PASSES = 5
 WINDOW = 4096  # documents of an order that are packed together
 
@@ -108,38 +115,70 @@ def tokenize(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, cap
     return docs.select(*names).mapInPandas(pieces, schema)
 
 
-def best_configuration(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> Counter:
-    """The multiset of lengths of greatest total price that fits; a knapsack dynamic program."""
-    best = np.zeros(capacity + 1)
-    taken = np.full(capacity + 1, -1)
-    fit = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for room in range(int(lengths[0]), capacity + 1):
-        worth = prices[:fit[room]] + best[room - lengths[:fit[room]]]
-        k = int(worth.argmax())
-        best[room], taken[room] = worth[k], k
-    out, room = Counter(), capacity
-    while taken[room] >= 0 and room >= lengths[0]:
-        length = int(lengths[taken[room]])
-        out[length] += 1
-        room -= length
-    return out
-
-
-def solve_configurations(counts: dict[int, int], capacity: int, weights: dict[int, float]) -> dict[tuple[int, ...], float]:
-    """A solution of the configuration program over most of the counts, by multiplicative weights."""
-    left = {k: float(v) for k, v in counts.items() if v > 0}
-    used: dict[tuple[int, ...], float] = defaultdict(float)
+class Priced:
+    """The multisets of lengths of greatest total price for every room; a knapsack dynamic program."""
+
+    def __init__(self, prices: dict[int, float], capacity: int):
+        self.prices = np.full(capacity + 1, -np.inf)
+        self.prices[list(prices)] = list(prices.values())
+        self.best = np.zeros(capacity + 1)
+        self.taken = np.full(capacity + 1, -1)
+        for room in range(min(prices), capacity + 1):
+            worth = self.prices[1:room + 1] + self.best[room - 1::-1]
+            k = int(worth.argmax())
+            self.best[room], self.taken[room] = worth[k], k + 1
+
+    def with_length(self, length: int, left: dict[int, int]) -> Counter:
+        """A configuration of great price that holds ``length``, of pieces that are ``left``."""
+        out, room = Counter([length]), len(self.best) - 1 - length
+        while self.taken[room] > 0:
+            k = int(self.taken[room])
+            if out[k] >= left.get(k, 0):
+                worth = self.prices[1:room + 1] + self.best[room - 1::-1]
+                worth[[x - 1 for x, m in out.items() if x <= room and m >= left.get(x, 0)]] = -np.inf
+                k = int(worth.argmax()) + 1
+                if out[k] >= left.get(k, 0):
+                    break
+            out[k] += 1
+            room -= k
+        return out
+
+
+def solve_configurations(counts: dict[int, int], capacity: int, weights: dict[int, float]) -> Counter:
+    """How often each configuration is used in a rounded solution of the configuration program, by multiplicative weights.
+
+    A round prices each length and takes, for each, the best configuration that holds it,
+    if its price is within ``NEAR`` of the greatest. No length loses more than ``STEP`` of what is left of it in a round.
+    """
+    left = {k: v for k, v in counts.items() if v > 0}
+    used: Counter = Counter()
+    few = REST * sum(left.values())
     for _ in range(ROUNDS):
-        lengths = np.array(sorted(k for k, v in left.items() if v >= 1), np.int64)
-        if not len(lengths):
+        if sum(left.values()) <= few:
             break
-        unserved = np.array([left[k] / counts[k] for k in lengths.tolist()])
-        worth = lengths * np.array([weights[k] for k in lengths.tolist()])
-        pattern = best_configuration(lengths, worth * np.exp(ETA * unserved), capacity)
-        times = min(left[k] / m for k, m in pattern.items())
-        for k, m in pattern.items():
-            left[k] -= m * times
-        used[tuple(sorted(pattern.elements(), reverse=True))] += times
+        priced = Priced({k: k * (k / capacity) ** TILT * weights[k] * float(np.exp(ETA * v / counts[k])) for k, v in left.items()}, capacity)
+        prices = priced.prices.copy()
+        lengths = np.array(sorted(left))
+        worth = prices[lengths] + priced.best[capacity - lengths]
+        least, allowed, some = (1 - NEAR) * worth.max(), {k: max(1, int(v * STEP)) for k, v in left.items()}, False
+        for at in np.argsort(-worth, kind="stable"):
+            if worth[at] < least:
+                break
+            length = int(lengths[at])
+            if allowed[length] <= 0 or length not in left:
+                continue
+            pattern = priced.with_length(length, left)
+            if some and (sum(prices[k] * m for k, m in pattern.items()) < least or any(allowed[k] <= 0 for k in pattern)):
+                continue
+            some = True
+            times = max(1, min(allowed[k] // m for k, m in pattern.items()))
+            for k, m in pattern.items():
+                left[k] -= m * times
+                allowed[k] -= m * times
+                if not left[k]:
+                    del left[k]
+                    priced.prices[k] = -np.inf
+            used[tuple(sorted(pattern.elements(), reverse=True))] += times
     return used
 
 
@@ -167,11 +206,7 @@ def best_fit(counts: dict[int, int], capacity: int) -> Counter:
 
 
 def _one_plan(counts: dict[int, int], capacity: int, weights: dict[int, float]) -> Counter:
-    out: Counter = Counter()
-    for pattern, times in solve_configurations(counts, capacity, weights).items():
-        if int(times + 1e-9):
-            out[pattern] += int(times + 1e-9)
-    left = Counter(counts)
+    out, left = solve_configurations(counts, capacity, weights), Counter(counts)
     for pattern, times in out.items():
         for length in pattern:
             left[length] -= times
@@ -183,7 +218,8 @@ def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY) -> Counter:
 
     Until a plan is within a five-hundredth of the bound that the token count or the lengths over
     half the capacity give, or ``PASSES`` are made, the weight of each length is
-    multiplied up by the room its sequences left, and a new plan made; the best is used.
+    multiplied up by the room its sequences left, and a new plan made. The smallest of these plans is
+    used, or best-fit of everything where that takes fewer sequences.
     """
     bound = max(-(-sum(k * v for k, v in counts.items()) // capacity), sum(v for k, v in counts.items() if 2 * k > capacity))
     weights, best = dict.fromkeys(counts, 1.0), None
@@ -199,7 +235,8 @@ def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY) -> Counter:
                 room[length] += times * (1 - sum(pattern) / capacity)
         for length in counts:
             weights[length] *= float(np.exp(4 * room[length] / max(counts[length], 1)))
-    return best
+    plain = best_fit(counts, capacity)
+    return plain if best is None or sum(plain.values()) < sum(best.values()) else best
 
 
 def slot_rows(plan: Counter) -> list[tuple]:
@@ -222,8 +259,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """
     require(pieces, "length")
     spark = pieces.sparkSession
-    named = pieces.drop("sequence_id", "offset").withColumn("_row", F.monotonically_increasing_id())
-    rows = saved(named, "pieces")
+    rows = saved(_held(pieces, ["sequence_id", "offset"]), "pieces")
     histogram = rows.where("length > 0").groupBy("length").agg(F.count(F.lit(1)).alias("n"))
     histogram = histogram.withColumn("length", F.when(F.col("length") <= capacity, F.col("length")).otherwise(
         F.raise_error(F.lit(f"a piece is longer than {capacity}")).cast("long")))
@@ -237,10 +273,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         "offset", F.col("_offset") + slot % F.col("_copies") * F.col("length"))
     rest = rows.where("length IS NULL OR length <= 0").withColumns(
         {"sequence_id": F.lit(None).cast("long"), "offset": F.lit(None).cast("long")})
-    names = [f"`{c}`" for c in named.columns if c != "_row"] + ["sequence_id", "offset"]
+    names = ["held.*", "sequence_id", "offset"]
     return placed.select(*names).union(rest.select(*names))
 
 
+def _held(pieces: DataFrame, replaced: list[str], *more: Column) -> DataFrame:
+    """The columns in one, ``held``, so that none of them can clash with those that are added; length, ``more`` and ``_row``, a number of the row."""
+    kept = [F.col(f"`{c}`") for c in pieces.columns if c not in replaced]
+    return pieces.select(F.struct(*kept).alias("held"), F.col("length").cast("long").alias("length"), *more, F.monotonically_increasing_id().alias("_row"))
+
+
 def pack_in_order(pieces: DataFrame, place: str, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to pieces with a ``length`` of 1 to ``capacity``; ids follow the column ``place``.
 
@@ -254,13 +296,15 @@ def pack_in_order(pieces: DataFrame, place: str, capacity: int = CAPACITY) -> Da
         out = pd.DataFrame(rows, columns=["_length", "_first", "_end", "_copies", "_base", "_offset"])
         return out.assign(_w=key[0])
 
-    named = pieces.drop("sequence_id", "offset").withColumn("_row", F.monotonically_increasing_id())
-    rows = saved(named, "pieces")
-    window = F.floor(F.col(place) / WINDOW).cast("long")
+    rows = saved(_held(pieces, ["sequence_id", "offset", place], F.col(f"`{place}`").cast("long").alias("_place")), "pieces")
+    window = F.floor(F.col("_place") / WINDOW).cast("long")
     size = F.when(F.col("length") <= capacity, F.col("length")).otherwise(
         F.raise_error(F.lit(f"a piece is longer than {capacity}")).cast("long"))
-    thin = rows.where("length > 0").select("_row", F.col(place).alias("_place"), window.alias("_window"), size.alias("_size"))
+    thin = rows.where("length > 0").select("_row", "_place", window.alias("_window"), size.alias("_size"))
     histogram = thin.groupBy("_window", F.col("_size").alias("length")).agg(F.count(F.lit(1)).alias("n"))
+    # a named number of partitions, as a window's plan takes time that its few bytes don't show
+    windows = (rows.agg(F.max("_place")).first()[0] or 0) // WINDOW + 1
+    histogram = histogram.repartition(min(2 * windows, 8192), "_window")
     slots = saved(histogram.groupBy("_window").applyInPandas(
         plans, "_length long, _first long, _end long, _copies long, _base long, _offset long, _w long"), "slots")
     # a window holds at most WINDOW documents, so each partition is bounded by their pieces
@@ -276,9 +320,8 @@ def pack_in_order(pieces: DataFrame, place: str, capacity: int = CAPACITY) -> Da
     starts = firsts.groupBy(F.col("_window").alias("_w")).agg(F.count(F.lit(1)).alias("_n"))
     starts = starts.select("_w", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     inner = F.row_number().over(Window.partitionBy("_window").orderBy("_least", "_local")) - 1
-    firsts = firsts.withColumn("_inner", inner).join(F.broadcast(starts), F.col("_window") == F.col("_w"))
+    firsts = firsts.withColumn("_inner", inner).join(starts, F.col("_window") == F.col("_w"))
     firsts = firsts.select(F.col("_window").alias("_w"), F.col("_local").alias("_l"), (F.col("_start") + F.col("_inner")).alias("sequence_id"))
     found = placed.join(firsts, (F.col("_window") == F.col("_w")) & (F.col("_local") == F.col("_l"))).select(
         F.col("_row").alias("_r"), "sequence_id", "offset")
-    names = [f"`{c}`" for c in named.columns if c not in ("_row", place)] + ["sequence_id", "offset"]
-    return rows.join(found, F.col("_row") == F.col("_r"), "left").select(*names)
+    return rows.join(found, F.col("_row") == F.col("_r"), "left").select("held.*", "sequence_id", "offset")
