@@ -6,7 +6,7 @@ the sample the ``FEATURES`` with the greatest chi-square for the label (``LEAST_
 least) are used, and those of the identity terms always.
 
 **Model.** Logistic regression. For every labelled sentence that holds an identity term,
-the term is swapped for others of its list; the squared change of the linear score under
+the term is swapped for every other of its list; the squared change of the linear score under
 each swap is a penalty, so a group's mention moves the score as any other group's does and
 is not held against a neutral text. Accelerated gradient steps on the penalised loss; the weights of
 identity terms are thereby pulled to a common value, and the loss decides on that value.
@@ -39,7 +39,6 @@ FEATURES = 4096
 LEAST_CHI = 27.0  # chi-square an indicator must have, about four rows that all have the label
 RIDGE = 0.001
 SWAP_PENALTY = 5.0
-SWAPS = 3  # other terms tried for each identity term of a sentence
 CACHED = 200_000
 #: Lists of group names; terms of one list take each other's place.
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
@@ -100,8 +99,8 @@ def swapped(text: str | None, others: dict[str, list[str]]) -> Iterator[tuple[st
 
 
 def identity_swaps(terms: Sequence[Sequence[str]]) -> dict[str, list[str]]:
-    """Each term with the next terms of its list."""
-    return {t: [group[(i + k) % len(group)] for k in range(1, min(SWAPS, len(group) - 1) + 1)] for group in terms for i, t in enumerate(group)}
+    """Each term with the other terms of its list."""
+    return {t: [*group[i + 1:], *group[:i]] for group in terms for i, t in enumerate(group)}
 
 
 class Model:
