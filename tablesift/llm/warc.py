@@ -10,11 +10,14 @@ Of rows with equal payloads of ``least_bytes`` or more, that with the smallest p
 a response record and the others are revisit records that refer to it.
 
 **Scale.** Payloads are compared by SHA-1 and length through an aggregate with map-side
-combine; only then are texts shuffled, once, evenly by a hash of the row. Every task
+combine. Only digests that occur more than once are joined to the pages; where those are too many
+to be broadcast, whole pages meet them by digest, and adaptive execution splits a partition that
+one payload fills. Every task
 writes bundles of ``BUNDLE_BYTES`` at most, under a name that holds its attempt, to the
 shared folder, through pyarrow's file systems (local paths, HDFS, object stores). The
-index is saved, so a repeated attempt leaves an unused file, never a wrong index. Tasks
-read whole bundles frame by frame, and records in order of place.
+index is saved, so a repeated attempt leaves an unused file, never a wrong index. Reading is
+dealt by bundle to a number of tasks that follows from the bytes of the records, not of the index;
+a task reads its bundles frame by frame, and records in order of place.
 
 A null payload is empty. Rows that repeat a page_id with an equal payload are written
 each; if it is the smallest, each is a response. A null page_id comes after all others; a
@@ -188,7 +191,10 @@ def write_archives(pages: DataFrame, folder: str | None = None, least_bytes: int
 
 
 def read_records(index: DataFrame) -> DataFrame:
-    """The records an index names: page_id, record_type, refers_to, digest (of the headers) and payload (null for revisits)."""
+    """The records an index names: page_id, record_type, refers_to, digest (of the headers) and payload (null for revisits).
+
+    A payload that differs from its digest is an error.
+    """
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         opened, name, frames, at, data = None, None, [], -1, b""
         for batch in batches:
@@ -208,28 +214,29 @@ def read_records(index: DataFrame) -> DataFrame:
                     raise ValueError(f"{name} holds another record than {page}")
                 kind = headers["WARC-Type"]
                 refers = headers.get("WARC-Refers-To", "").removeprefix("<urn:page:").removesuffix(">")
-                rows.append((page, kind, int(refers) if refers else None, headers["WARC-Payload-Digest"].removeprefix("sha1:"), block if kind == "response" else None))
+                digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
+                if kind == "response" and base32_sha1(block) != digest:
+                    raise ValueError(f"the payload of {page} differs from its digest")
+                rows.append((page, kind, int(refers) if refers else None, digest, block if kind == "response" else None))
             out = pd.DataFrame(rows, columns=["page_id", "record_type", "refers_to", "digest", "payload"])
             yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
 
     schema = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("record_type", T.StringType()), T.StructField("refers_to", T.LongType()),
                            T.StructField("digest", T.StringType()), T.StructField("payload", T.BinaryType())])
-    rows = index.select("page_id", "bundle", "frame", "offset", "bytes").repartition("bundle").sortWithinPartitions("bundle", "frame", "offset")
+    size = index.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUNDLE_BYTES))
+    rows = index.select("page_id", "bundle", "frame", "offset", "bytes").repartition(tasks, "bundle").sortWithinPartitions("bundle", "frame", "offset")
     return rows.mapInPandas(read, schema)
 
 
 def archived_pages(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Writes the pages and reads the archives back: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    Digests are computed anew from the payloads read; a revisit takes the size of the
+    Digests are computed anew from the payloads read (``read_records``); a revisit takes the size of the
     response it refers to, whose digest must be its own.
     """
     read = read_records(write_archives(pages, least_bytes=least_bytes))
-    digest = F.udf(lambda x: None if x is None else base32_sha1(bytes(x)), "string")
-    rows = read.select("page_id", "record_type", "refers_to", "digest", F.octet_length("payload").cast("long").alias("size"),
-                       digest("payload").alias("own"))
-    rows = saved(rows.withColumn("digest", F.when(F.col("own").isNull() | (F.col("own") == F.col("digest")), F.col("digest")).otherwise(
-        F.raise_error(F.lit("a payload differs from its digest")))).drop("own"), "records")
+    rows = saved(read.select("page_id", "record_type", "refers_to", "digest", F.octet_length("payload").cast("long").alias("size")), "records")
     responses = rows.where("record_type = 'response'").groupBy(F.col("page_id").alias("to"), F.col("digest").alias("to_digest")).agg(F.max("size").alias("to_size"))
     revisits = rows.where("record_type = 'revisit'").join(saved(responses, "responses"), (F.col("refers_to") == F.col("to")) & (F.col("digest") == F.col("to_digest")), "left")
     size = F.coalesce("to_size", F.raise_error(F.lit("a revisit's response is missing")).cast("long"))
