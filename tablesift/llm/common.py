@@ -53,7 +53,7 @@ def with_place(df: DataFrame, name: str) -> DataFrame:
     number = F.coalesce(F.regexp_extract("_file", r"^part-(\d+)", 1).try_cast("long"), F.lit(-1))
     before = Window.orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select(F.col("_file").alias("_f"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
-    placed = held.join(F.broadcast(starts), F.col("_file") == F.col("_f"))
+    placed = held.join(starts, F.col("_file") == F.col("_f"))
     return placed.withColumn(name, F.col("_start") + F.col("_at")).drop("_file", "_at", "_f", "_start")
 
 

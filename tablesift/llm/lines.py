@@ -259,12 +259,15 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the text of the lines that stay, and n_chars (if there) recounted."""
     gone = removed_lines(docs).select(F.col("doc_id").alias("_id"), F.col("hash").alias("_h"), F.col("lines").alias("_lines"))
+    held = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     every = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.withColumn("_hash", every)
-    rows = rows.join(saved(gone, "gone"), (F.col("_hash") == F.col("_h")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left")
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_lines", i)), "\n")
-    text = F.when(F.col("_lines").isNull(), F.col("text")).otherwise(kept)
-    rows = rows.withColumn("text", text)
+    # the columns in one, so that none of them can clash with those that are added
+    rows = docs.select(held.alias("held"), every.alias("_hash"))
+    rows = rows.join(saved(gone, "gone"), (F.col("_hash") == F.col("_h")) & F.col("held.doc_id").cast("long").eqNullSafe(F.col("_id")), "left")
+    text = F.col("held.text")
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("_lines", i)), "\n")
+    changed = {"text": F.when(F.col("_lines").isNull(), text).otherwise(kept)}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_lines").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+        size = F.length(changed["text"]).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("_lines").isNull(), F.col("held.n_chars")).otherwise(size)
+    return rows.select(*[changed.get(c, F.col(f"held.`{c}`")).alias(c) for c in docs.columns])

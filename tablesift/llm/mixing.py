@@ -29,6 +29,7 @@ from .common import key_rank, require, saved
 SLOTS = 1000
 BLOCK_ROWS = 16
 POOL = "*"
+ADDED = ("stream", "block", "block_position", "position")
 RANGES = 10  # bits of the hash that name a range
 
 
@@ -83,20 +84,21 @@ def mix(docs: DataFrame, weights: Mapping[str, float], other: float = 0.05, bloc
     Ordering by position gives the mixture; block_position numbers the blocks of all
     streams from 0 without gaps. Columns of these names are replaced.
     """
-    rows, plan = _streams(docs, weights, other, block_rows, slots)
-    every = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns])
-    placed = _placed(key_rank(rows, ["stream"], every, [], few_groups=True), plan, block_rows)
-    names = [f"`{c}`" for c in rows.columns if c != "stream"]
-    return placed.select(*names, "stream", "block", "block_position", "position")
+    rows, plan = _streams(docs, weights, other, block_rows, slots, ADDED)
+    placed = _placed(key_rank(rows, ["stream"], F.xxhash64(F.lit(seed), "held"), [], few_groups=True), plan, block_rows)
+    return placed.select("held.*", "stream", "block", "block_position", "position")
 
 
-def _streams(docs: DataFrame, weights: Mapping[str, float], other: float, block_rows: int, slots: int) -> tuple[DataFrame, DataFrame]:
-    """The rows with their stream, and the phases of the schedule."""
+def _streams(docs: DataFrame, weights: Mapping[str, float], other: float, block_rows: int, slots: int,
+             replaced: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """The rows (``held``: their columns) with their stream, and the phases of the schedule."""
     require(docs, "source")
     weights = {s: float(w) for s, w in weights.items() if w > 0} | {POOL: float(other)}
-    rows = docs.drop("stream", "block", "block_position", "position")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in replaced]
     listed = F.col("source").isin(*[s for s in weights if s != POOL])
-    rows = rows.withColumn("stream", F.when(listed, F.col("source")).otherwise(F.lit(POOL)))
+    stream = F.when(listed, F.col("source")).otherwise(F.lit(POOL))
+    # the columns in one, so that none of them can clash with those that are added
+    rows = docs.select(F.struct(*kept).alias("held"), stream.alias("stream"))
     counts = {r["stream"]: -(-r["n"] // block_rows) for r in rows.groupBy("stream").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = phases(counts, weights, slots)
     schema = "_s string, _first long, _end long, _start long, _length long, _period array<int>"
@@ -126,7 +128,7 @@ def in_mixed_order(docs: DataFrame, weights: Mapping[str, float], other: float =
     spark = docs.sparkSession
     rows, plan = _streams(docs, weights, other, block_rows, slots)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    every = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns])
+    every = F.xxhash64(F.lit(seed), "held")
     thin = saved(rows.select("stream", every.alias("_h")), "hashes")
     thin = _placed(key_rank(thin, ["stream"], F.col("_h"), [], few_groups=True, tied=True), plan, block_rows)
     each = -(-(thin.agg(F.max("position")).first()[0] or 0) // parts) + 1
@@ -135,7 +137,7 @@ def in_mixed_order(docs: DataFrame, weights: Mapping[str, float], other: float =
     cuts = saved(cuts, "cuts")
     starts = cuts.groupBy(F.col("stream").alias("_s1"), F.col("_part").alias("_p1")).agg(F.min("start").alias("_from"))
     cuts = cuts.groupBy(F.col("stream").alias("_s2"), F.col("_piece").alias("_p2")).agg(F.collect_list(F.struct("lo", "_part")).alias("_cuts"))
-    named = rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "stream", every.alias("_h"))
+    named = rows.select(F.col("held").alias("row"), "stream", every.alias("_h"))
     dealt = named.join(F.broadcast(cuts), (F.col("stream") == F.col("_s2")) & (piece == F.col("_p2")))
     dealt = dealt.select("row", "stream", "_h", F.array_max(F.filter("_cuts", lambda c: c["lo"] <= F.col("_h")))["_part"].alias("_part"))
     inner = F.row_number().over(Window.partitionBy("_part", "stream").orderBy("_h")) - 1

@@ -189,8 +189,9 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5) -> DataFrame:
     ``docs`` needs doc_id and text; of further columns only those with these names are replaced.
     """
     require(docs, "doc_id", "text")
-    kept = [c for c in docs.columns if c not in ("text", "fingerprint", "component_id", "fp")]
-    prints = saved(docs.select(*[F.col(f"`{c}`") for c in kept], fingerprint_udf(words)(F.col("text")).alias("fp")), "prints")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "fingerprint", "component_id")]
+    # the columns in one, so that none of them can clash with those that are added
+    prints = saved(docs.select(F.struct(*kept).alias("held"), "doc_id", fingerprint_udf(words)(F.col("text")).alias("fp")), "prints")
     distinct = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "distinct")
     links = saved(fingerprint_links(distinct.select("fp")).distinct(), "links")
     groups = connected_groups(links).select(F.col("id").alias("member"), "group")
@@ -202,7 +203,7 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5) -> DataFrame:
     classes = saved(classes, "classes")  # apart from the join below, so that a hot fingerprint's rows can be split there
     text = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return prints.join(classes, F.col("fp") == F.col("key")).select(
-        *[F.col(f"`{c}`") for c in kept], text, "component_id")
+        "held.*", text, "component_id")
 
 
 def one_per_group(docs: DataFrame, words: int = 5) -> DataFrame:
@@ -210,7 +211,8 @@ def one_per_group(docs: DataFrame, words: int = 5) -> DataFrame:
 
     Of rows that share that doc_id, one stays; a group without any doc_id keeps one row.
     """
-    rows = single_rows(docs, "_row", "rows")
+    held = single_rows(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("held")), "_row", "rows")
+    rows = held.select("_row", "held.doc_id", "held.text")
     groups = near_duplicate_groups(rows.select(F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("doc_id"), "text"), words)
     first = groups.where(F.col("component_id") == F.col("doc_id")).select(F.col("doc_id._row").alias("_row"))
-    return rows.join(first, "_row", "left_semi").drop("_row")
+    return held.join(first, "_row", "left_semi").select("held.*")
