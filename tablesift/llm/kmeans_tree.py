@@ -15,7 +15,7 @@ and batches of ``QUERIES`` queries, so a leaf that holds a third of all rows is
 Each task gives its k best for each query, whose best are then taken in a second step.
 
 Vectors that are null, zero or hold null or non-finite components take no part; neither do
-rows with a null id or vectors of another length than the longest. Rows that share an id
+rows with a null id. Vectors that differ in length are an error that names both. Rows that share an id
 are candidates of their own, but never for a query with that id; of equal results
 (query, id, score) each is returned. Without queries the result is empty.
 """
@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bitsliced import best, usable
+from .bitsliced import best, one_length, usable
 from .common import require, saved
 
 SAMPLE = 20_000
@@ -184,10 +184,10 @@ def search(vectors: DataFrame, query_rows: Column, k: int = 5, recall: float = R
     some = F.exists("embedding", lambda x: x != 0)
     rows = vectors.where(usable(F.col("embedding")) & some & F.col("vec_id").isNotNull())
     rows = saved(rows.select(F.col("vec_id").cast("long").alias("vec_id"), query_rows.alias("is_query"), vector.alias("vector")), "vectors")
-    longest, total = rows.agg(F.max(F.size("vector")), F.count(F.lit(1))).first()
+    total = rows.count()
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.size("vector") == F.lit(longest))
+    one_length(rows, "vector")
     sample = rows.select("vector", F.xxhash64("vec_id").alias("h"), "vec_id").orderBy("h", "vec_id").limit(SAMPLE).toPandas()
     tree = fit_tree(_unit(_matrix(sample["vector"])), total)
     shared = spark.sparkContext.broadcast(tree)
