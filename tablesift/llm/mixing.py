@@ -85,8 +85,12 @@ def mix(docs: DataFrame, weights: Mapping[str, float], other: float = 0.05, bloc
     streams from 0 without gaps. Columns of these names are replaced.
     """
     rows, plan = _streams(docs, weights, other, block_rows, slots, ADDED)
-    placed = _placed(key_rank(rows, ["stream"], F.xxhash64(F.lit(seed), "held"), [], few_groups=True), plan, block_rows)
-    return placed.select("held.*", "stream", "block", "block_position", "position")
+    # under names of their own, so that none can clash and those that nobody asks for are not shuffled
+    names = {f"_held{i}": c for i, c in enumerate(c for c in docs.columns if c not in ADDED)}
+    columns = [F.col(f"held.`{c}`").alias(own) for own, c in names.items()]
+    rows = rows.select("stream", *columns).withColumn("_hash_of_row", F.xxhash64(F.lit(seed), *names))
+    placed = _placed(key_rank(rows, ["stream"], F.col("_hash_of_row"), [], few_groups=True), plan, block_rows)
+    return placed.select(*[F.col(own).alias(c) for own, c in names.items()], "stream", "block", "block_position", "position")
 
 
 def _streams(docs: DataFrame, weights: Mapping[str, float], other: float, block_rows: int, slots: int,
