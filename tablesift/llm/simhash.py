@@ -67,7 +67,10 @@ def shingle_hashes(text: str | None, words: int) -> np.ndarray:
 
 def fingerprint_of(text: str | None, words: int) -> int:
     """The fingerprint as a signed 64-bit number."""
-    values = shingle_hashes(text, words)
+    return fingerprint_of_hashes(shingle_hashes(text, words))
+
+
+def fingerprint_of_hashes(values: np.ndarray) -> int:
     if not len(values):
         return 0
     ones = np.zeros(64, np.int64)

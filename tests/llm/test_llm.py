@@ -493,3 +493,22 @@ def test_pipeline_stages(spark):
         docs = spark.createDataFrame(rows, out.schema)
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_near_duplicates_start_from_simhash(spark, monkeypatch):
+    from tablesift.llm import neardup
+
+    rnd = random.Random(21)
+    base = [f"w{rnd.randrange(5000)}" for _ in range(600)]
+    rows = [(0, " ".join(base)), (1, " ".join(base[:-1])), (2, " ".join(f"v{rnd.randrange(5000)}" for _ in range(600)))]
+    seen, plain = [], neardup.simhash_pairs
+
+    def watched(classes):
+        pairs = plain(classes)
+        seen.append([(r.a, r.b) for r in pairs.collect()])
+        return pairs
+
+    monkeypatch.setattr(neardup, "simhash_pairs", watched)
+    kept = neardup.one_per_group(spark.createDataFrame(rows, "doc_id long, text string"), words=5)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2]
+    assert len(seen) == 1 and len(seen[0]) == 1  # the near copy, by its fingerprint
