@@ -83,7 +83,7 @@ def write_table(
             writer = writer.option("header", True)
         if by_source:
             writer = writer.partitionBy("source_file")
-        with _advisory_size(spark, file_size_mb):
+        with _write_settings(spark, file_size_mb):
             writer.save(path)
         if fmt == first and own:
             stored = spark.read.schema(df.schema).format(fmt).load(path)
@@ -94,16 +94,22 @@ def write_table(
     return [f"{destination}.{f}" for f in formats]
 
 
+#: Folders that a task writes at once. Beyond them Spark sorts the rest of its rows, up to a whole file's, in memory.
+OPEN_FOLDERS = 4
+
+
 @contextmanager
-def _advisory_size(spark: SparkSession, megabytes: int) -> Iterator[None]:
-    """The partition size that adaptive execution aims at, for one write."""
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, f"{megabytes}m")
+def _write_settings(spark: SparkSession, megabytes: int) -> Iterator[None]:
+    """The partition size that adaptive execution aims at, and rows dealt to folders without a sort, for one write."""
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{megabytes}m", "spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FOLDERS)}
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def _remove(spark: SparkSession, path: str) -> None:

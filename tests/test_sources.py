@@ -299,3 +299,24 @@ def test_many_words_are_found_as_one_by_one(spark, dictionary, monkeypatch, lett
         many = metadata.search_dictionary_words(rows_, words, letters=letters)
         assert many.columns == few.columns
         assert sorted(map(repr, (tuple(r) for r in many.collect()))) == want
+
+
+def test_rows_are_written_to_folders_without_a_sort(spark, tmp_path, monkeypatch):
+    from tablesift.sources import writers
+
+    seen = []
+    plain = writers._write_settings
+
+    def watched(session, megabytes):
+        seen.append(session.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+        return plain(session, megabytes)
+
+    monkeypatch.setattr(writers, "_write_settings", watched)
+    with plain(spark, 7):
+        assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) == writers.OPEN_FOLDERS > 0
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "7m"
+    rows = spark.range(600).selectExpr("id", "concat('s', id % 9) AS source_file")  # more folders than are open at once
+    path, = writers.write_table(rows, f"{tmp_path}/out", by_source=True)
+    back = spark.read.parquet(path).groupBy("source_file").count().collect()
+    assert {(r[0], r[1]) for r in back} == {(f"s{k}", 600 // 9 + (k < 600 % 9)) for k in range(9)}
+    assert seen == ["0"] and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
