@@ -245,3 +245,65 @@ def test_array_scores_are_the_plain_scores():
         for floor in (0, 50, 90.1):
             got = pair_scores.pair_scores(name, a, b, ai, bi, floor)
             assert (got == want)[want >= floor].all() and (got[want < floor] < floor).all(), (name, floor)
+
+
+def test_block_tables_hold_every_pair(monkeypatch):
+    import numpy as np
+
+    from tablesift.functions import pair_scores
+
+    rnd = random.Random(15)
+    left = ["", " ", "b" * 70 + " a", *some_names(rnd, 30)]
+    right = ["", "a" * 70 + " b", "e" * 40, *some_names(rnd, 60), *[" ".join(some_names(rnd, 4)) for _ in range(9)]]
+    a, b = pair_scores.Texts(left), pair_scores.Texts(right)
+    ai, bi = np.repeat(np.arange(len(left)), len(right)), np.tile(np.arange(len(right)), len(left))
+    monkeypatch.setattr(pair_scores, "CELLS", 500)
+    want = pair_scores.lcs(a, b, ai, bi).reshape(len(left), len(right))
+    assert (pair_scores.lcs_table(a, slice(0, len(left)), b) == want).all()
+    assert (pair_scores.shared_table(a, slice(0, len(left)), b) >= want).all()
+    for dense in (0, 9):  # by subsequences, by characters
+        monkeypatch.setattr(pair_scores, "DENSE", dense)
+        for name, fn in scorers.SCORERS.items():
+            for floor in (50, 80, 91):
+                got = {(i, j): s for x in pair_scores.scored_block(name, a, b, floor) for i, j, s in zip(*x, strict=True)}
+                assert got == {(i, j): s for i, x in enumerate(left) for j, y in enumerate(right) if (s := fn(x, y)) >= floor}, (name, floor)
+
+
+def test_blocks_of_keys_hold_each_pair_of_a_key(spark, monkeypatch):
+    from tablesift.operators import name_pairs as module
+
+    monkeypatch.setattr(module, "BLOCK", 8)  # the key "hot" is dealt into blocks, the others share groups
+    monkeypatch.setattr(module, "FEW", 20)
+    left = [(f"{'s' * (k % 30)}{k}", k % 5 == 0, "hot" if k % 2 else f"k{k % 9}") for k in range(80)]
+    right = [(f"{'n' * (k % 17)}{k}", "hot" if k % 3 else f"k{k % 9}") for k in range(70)]
+    asked = spark.createDataFrame(left, "search string, whole boolean, key string")
+    known = spark.createDataFrame(right, "name string, key string")
+
+    def near(search, name):
+        return abs(len(search) - len(name)) <= max(3, min(10, -(-len(search) // 3)))
+
+    found = module.block_pairs(asked, known, ["key"], lambda a, b: 50.0 + len(b), 10, ("partial_ratio", 0))
+    got = sorted((r.search, r.name, r.score) for r in found.collect())
+    assert got == sorted((s, n, 50.0 + len(n)) for s, w, k in left for n, c in right if k == c and (w or near(s, n)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInPandas" in plan  # pairs of blocks, no row for each pair
+
+
+def test_best_pairs_by_segments_are_the_best(spark, monkeypatch):
+    from tablesift.operators import name_pairs as module
+
+    monkeypatch.setattr(module, "KEY_COST", 0)
+    rnd = random.Random(16)
+    right = sorted({"".join(rnd.choice("abcde ") for _ in range(30)).strip() for _ in range(60)})
+    left = [r[:7] + r[8:] for r in right[:20]] + [r[2:-2] for r in right[20:40]] + ["q"]
+    for scorer in ("ratio", "WRatio", "token_sort_ratio"):
+        fn = scorers.SCORERS[scorer]
+        found = module.best_pairs(spark.createDataFrame([(x,) for x in left], "search string"),
+                                  spark.createDataFrame([(x,) for x in right], "name string"), scorer, 70, direct_pairs=0).collect()
+        best = {}
+        for r in found:
+            assert r.score == fn(r.search, r.name)
+            best[r.search] = max(best.get(r.search, 0), r.score)
+        got = {(r.search, r.name) for r in found if r.score == best[r.search]}
+        want = {(s, n) for s in left for n in right if fn(s, n) >= 70 and fn(s, n) == max(fn(s, m) for m in right)}
+        assert got == want
