@@ -10,7 +10,8 @@ joins the tokens' strings by spaces, as a vocabulary without a decoder does.
 frequent of at most ``LONGEST`` bytes are merged in Spark and compiled into a minimal acyclic
 transducer (``lexicon``), whose size is bounded by those two. It is written to the shared folder,
 handed to each executor once by ``addFile`` and memory-mapped there. All other words are merged exactly where they
-occur, in n log n steps for a word of n bytes; so the lexicon decides the time, never the ids.
+occur: those of at most ``LONGEST`` bytes in blocks of ``BLOCK`` words of about one length, one merge of each at a time, on
+arrays; longer ones one by one, in n log n steps for n bytes. So the lexicon decides the time, never the ids.
 
 **Characters.** Python's Unicode tables are newer than the tokenizer's. Texts of the characters in ``PLAIN``, for which both agree, are
 normalised and cut here; other texts by the normaliser and the
@@ -26,10 +27,12 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from uuid import uuid4
 
 import numpy as np
@@ -52,6 +55,11 @@ REMEMBERED = 300_000  # merged words a process keeps
 #: The vocabulary's pattern of words, and the mark of a word's end.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"
+#: The same for ASCII texts in small letters, for the faster of the two libraries (each case has first characters of its own,
+#: but for the apostrophe).
+ASCII_WORD = re.compile(r"[a-z]+|'(?:s|t|re|ve|m|ll|d)|[^a-z0-9\t-\r ]+|[0-9]")
+BLOCK = 4096  # words that are merged together
+NO_PAIR, NO_RANK = (1 << 63) - 1, (1 << 31) - 1
 #: Characters whose class, case and composition all tables since Unicode 13 agree on.
 PLAIN = (r"\u0000-\u0557\u1e00-\u206f\u20a0-\u20bf\u2100-\u218b\u2190-\u23ff\u2500-\u27bf\u3000-\u30ff"
          r"\u4e00-\u9fef\uac00-\ud7a3\uff01-\uffee\ufffd\U0001f300-\U0001f5ff\U0001f600-\U0001f64f")
@@ -88,6 +96,12 @@ class Vocabulary:
         self.merges = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(merges)}
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.word, self.odd = regex.compile(WORD), regex.compile(f"[^{PLAIN}]")
+        # the merges as arrays, by a number for the pair; a pair of no merge is after all of them
+        pairs = sorted((a << 32 | b, rank, whole) for (a, b), (rank, whole) in self.merges.items())
+        self.pairs = np.array([p for p, _, _ in pairs] + [NO_PAIR], np.int64)
+        self.ranks = np.array([r for _, r, _ in pairs] + [NO_RANK], np.int32)
+        self.wholes = np.array([w for _, _, w in pairs] + [-1], np.int32)
+        self.inner_ids, self.last_ids = (np.array([-1 if i is None else i for i in ids], np.int32) for ids in (self.inner, self.last))
         self.full = None
 
     def merged(self, word: bytes) -> list[int]:
@@ -112,10 +126,84 @@ class Vocabulary:
                     heapq.heappush(waiting, (found[0], a, symbols[a], symbols[b]))
         return [s for s in symbols if s >= 0]
 
+    def all_merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and all ids one after the other."""
+        counts, found = np.zeros(len(words), np.int64), [np.empty(0, np.int32)] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(sizes, kind="stable")
+        together = order[(sizes[order] > 0) & (sizes[order] <= LONGEST)]
+        starts, pool, at = np.zeros(len(words), np.int64), [], 0
+        for first in range(0, len(together), BLOCK):
+            mine = together[first:first + BLOCK]
+            counts[mine], ids = self._merged_block([words[k] for k in mine.tolist()], sizes[mine])
+            starts[mine] = at + np.cumsum(counts[mine]) - counts[mine]
+            pool.append(ids)
+            at += len(ids)
+        for k in np.flatnonzero(sizes > LONGEST).tolist():
+            ids = np.array(self.merged(words[k]), np.int32)
+            counts[k], starts[k] = len(ids), at
+            pool.append(ids)
+            at += len(ids)
+        pool = np.concatenate(pool) if pool else np.empty(0, np.int32)
+        return counts, gather(pool, starts, counts).astype(np.uint32)
+
+    def _found(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Where the merge of each pair is in ``pairs``, its last place if there is none."""
+        pair = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.pairs, pair)
+        return np.where(self.pairs[at] == pair, at, len(self.pairs) - 1)
+
+    def _merged_block(self, words: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``all_merged``, of words of about one length: a row of symbols each, one merge of every word at a time."""
+        n, width = len(words), int(sizes.max())
+        text = np.frombuffer(b"".join(words), np.uint8)
+        row = np.repeat(np.arange(n), sizes)
+        place = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        ids = np.where(place == sizes[row] - 1, self.last_ids[text], self.inner_ids[text])
+        known = ids >= 0
+        if not known.all():  # bytes without a symbol are left out
+            row, ids = row[known], ids[known]
+            sizes = np.bincount(row, minlength=n)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        symbols = np.full((n, width + 1), -1, np.int32)
+        symbols[row, place] = ids
+        left, sizes = np.arange(n), sizes.copy()
+        none = len(self.pairs) - 1
+        merge = np.full((n, width), none, np.int32)
+        some = place + 1 < sizes[row]
+        merge[row[some], place[some]] = self._found(symbols[row[some], place[some]], symbols[row[some], place[some] + 1])
+        out = symbols.copy()
+        while True:
+            rank = self.ranks[merge]
+            best = rank.argmin(axis=1)  # of equal ranks the leftmost
+            going = rank[np.arange(len(left)), best] < NO_RANK
+            if not going.all():
+                out[left[~going]] = symbols[~going]
+                left, symbols, merge, best = left[going], symbols[going], merge[going], best[going]
+            if not len(left):
+                break
+            k = np.arange(len(left))
+            whole = self.wholes[merge[k, best]]
+            # what comes after the pair moves one place on
+            after = np.arange(width)[None, :] > best[:, None]
+            symbols[:, :-1] = np.where(after, symbols[:, 1:], symbols[:, :-1])
+            symbols[:, -1] = -1
+            symbols[k, best] = whole
+            merge[:, :-1] = np.where(after[:, :-1], merge[:, 1:], merge[:, :-1])
+            merge[:, -1] = none
+            sizes[left] -= 1
+            for one in (best, best - 1):
+                inside = (one >= 0) & (one + 1 < sizes[left])
+                at, there = k[inside], one[inside]
+                merge[at, there] = self._found(symbols[at, there], symbols[at, there + 1])
+            ends = best + 1 >= sizes[left]
+            merge[k[ends], best[ends]] = none
+        return sizes, out[out >= 0]
+
     def words(self, text: str) -> list[str]:
         """The words of a text without special tokens."""
         if text.isascii():
-            return self.word.findall(text.lower())
+            return ASCII_WORD.findall(text.lower())
         if self.odd.search(text):
             if self.full is None:
                 from tokenizers import Tokenizer
@@ -188,8 +276,9 @@ def build_lexicon(docs: DataFrame, path: str, words: int = WORDS) -> str:
         vocab = vocabulary(path)
         for batch in batches:
             found = batch.column(0).to_pylist()
-            ids = [vocab.merged(w.encode()) for w in found]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
+            counts, ids = vocab.all_merged([w.encode() for w in found])
+            ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32)))], ["word", "ids"])
 
     top = saved(word_counts(docs, path).orderBy(F.col("n").desc(), "word").limit(words), "words")
     rows = top.repartition(16, "word").select("word").mapInArrow(merged, "word string, ids array<int>").toPandas()  # at most ``words`` rows
@@ -214,27 +303,29 @@ class Encoder:
 
     def __init__(self, path: str, lexicon: Lexicon):
         self.vocab, self.lexicon = vocabulary(path), lexicon
-        self.memory: dict[str, list[int]] = {}
+        self.memory: dict[str, bytes] = {}
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each of the distinct words has, and all ids one after the other."""
         held, counts, ids = self.lexicon.look_up([w.encode() for w in words])
         rest = np.flatnonzero(~held)
-        found = []
-        for k in rest.tolist():
-            word = words[k]
-            mine = self.memory.get(word)
-            if mine is None:
-                mine = [self.vocab.special[word[1:]]] if word[0] == " " else self.vocab.merged(word.encode())
-                if len(self.memory) >= REMEMBERED:
-                    self.memory.clear()
-                if len(word) <= LONGEST:
-                    self.memory[word] = mine
-            found.append(mine)
-        if not found:
+        if not len(rest):
             return counts, ids
-        more = np.fromiter(map(len, found), np.int64, len(found))
-        pool = np.concatenate([ids, np.fromiter((i for mine in found for i in mine), np.uint32, int(more.sum()))])
+        missing = [words[k] for k in rest.tolist()]
+        found = list(map(self.memory.get, missing))
+        new = [k for k, mine in enumerate(found) if mine is None]
+        lengths, merged = self.vocab.all_merged([b"" if missing[k][0] == " " else missing[k].encode() for k in new])
+        data, end = merged.astype(np.uint32).tobytes(), 0
+        if len(self.memory) + len(new) > REMEMBERED:
+            self.memory.clear()
+        for k, n in zip(new, lengths.tolist(), strict=True):
+            word = missing[k]
+            found[k] = np.uint32(self.vocab.special[word[1:]]).tobytes() if word[0] == " " else data[end:end + 4 * n]
+            end += 4 * n
+            if len(word) <= LONGEST and len(self.memory) < REMEMBERED:
+                self.memory[word] = found[k]
+        more = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool = np.concatenate([ids, np.frombuffer(b"".join(found), np.uint32)])
         starts = np.cumsum(counts) - counts
         starts[rest] = len(ids) + np.cumsum(more) - more
         counts[rest] = more
@@ -243,11 +334,7 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The ids (unsigned, 32 bits) of each text."""
         parts = [self.vocab.parts(t) for t in texts]
-        number: dict[str, int] = {}
-        for mine in parts:
-            for word in mine:
-                if word not in number:
-                    number[word] = len(number)
+        number = {word: k for k, word in enumerate(dict.fromkeys(chain.from_iterable(parts)))}
         if not number:
             return [np.zeros(0, np.uint32) for _ in texts]
         counts, ids = self._ids(list(number))

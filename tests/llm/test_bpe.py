@@ -129,3 +129,21 @@ def test_empty_table_and_unknown_ids(spark):
     assert bpe.decode(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")), WORD_VOCABULARY).count() == 0
     odd = spark.createDataFrame([(bytearray(struct.pack("<2I", 49406, 99999)),), (None,)], "ids binary")
     assert [r["decoded"] for r in bpe.decode(odd, WORD_VOCABULARY).collect()] == ["<|startoftext|>", ""]
+
+
+def test_words_merged_in_blocks_have_the_ids_of_words_merged_alone(monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK", 37)
+    vocab, rng = bpe.vocabulary(WORD_VOCABULARY), random.Random(9)
+    words = [bytes(rng.choice(rng.choice([b"aab", b"etaoinshr", bytes(range(256))])) for _ in range(rng.randint(0, 90))) for _ in range(400)]
+    words += ["é".encode() * 3, b"", b"a", b"aaaaaaa", b"x" * 64, b"x" * 65, b"internationalisation", "Σας".encode()]
+    counts, ids = vocab.all_merged(words)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [vocab.merged(w) for w in words]
+    counts, ids = vocab.all_merged([])
+    assert len(counts) == len(ids) == 0
+
+
+def test_ascii_words_are_those_of_the_pattern():
+    vocab, rng = bpe.vocabulary(WORD_VOCABULARY), random.Random(10)
+    for _ in range(3000):
+        text = "".join(chr(rng.randrange(128)) if rng.random() < 0.4 else rng.choice("abtsrevmld' '1.") for _ in range(rng.randint(0, 30)))
+        assert bpe.ASCII_WORD.findall(text.lower()) == vocab.word.findall(text.lower())
