@@ -85,9 +85,10 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _ranks(docs: DataFrame) -> np.ndarray:
     """The rank by count of each of the buckets."""
     counts = docs.select("text").mapInArrow(_word_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    seen = dict.fromkeys(range(BUCKETS), 0) | {r["bucket"]: r["n"] for r in counts.collect()}
+    seen, got = np.zeros(BUCKETS, np.int64), counts.toArrow()
+    seen[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
     ranks = np.empty(BUCKETS, np.uint64)
-    ranks[sorted(seen, key=lambda b: (seen[b], b))] = np.arange(BUCKETS, dtype=np.uint64)
+    ranks[np.argsort(seen, kind="stable")] = np.arange(BUCKETS, dtype=np.uint64)
     return ranks
 
 
@@ -163,8 +164,8 @@ def _marks(places: DataFrame) -> np.ndarray:
     bit = F.xxhash64("w").bitwiseAND(F.lit(MARKS - 1).cast("long"))
     words = places.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(xxhash64(w) & 63 as int))")).alias("bits"))
     out = np.zeros(MARKS // 64, np.int64)
-    for r in words.collect():  # MARKS / 64 rows at most
-        out[r["at"]] = r["bits"]
+    got = words.toArrow()  # MARKS / 64 rows at most
+    out[got.column("at").to_numpy()] = got.column("bits").to_numpy()
     return out
 
 

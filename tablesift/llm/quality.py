@@ -11,8 +11,9 @@ fitted by dual coordinate descent. Its margins are turned into probabilities by
 curve, fitted on a fifth of the sample that the descent doesn't see.
 
 **Sample.** The fit uses at most ``SAMPLE`` labelled rows, those of smallest hash of
-doc_id, all of them while there are fewer; scoring runs over every row. The sample's
-indicators (not its texts) are what reaches the driver.
+doc_id, all of them while there are fewer; scoring runs over every row. Indicators are
+counted and numbered in Spark: what reaches the driver are the names that enter the model and, for each row
+of the sample, their numbers.
 
 Null and empty texts have the single indicator "empty" and are scored like others. Rows
 without a label or doc_id are not learned from. Without rows of both classes every score
@@ -27,10 +28,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import require
+from .common import require, saved
 
 SAMPLE = 20_000
 LEAST_ROWS = 3  # rows of the sample an indicator must occur in
@@ -143,24 +146,28 @@ def fit_logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]
 
 def fit(found: list[set[str]], labels: list[int]) -> Model:
     """The model of labelled indicator sets."""
-    y = np.array(labels, int)
+    often = Counter(k for s in found for k in s)
+    names = sorted(k for k, n in often.items() if n >= min(LEAST_ROWS, len(found)))
+    place = {k: i for i, k in enumerate(names)}
+    index = [sorted(place[k] for k in s if k in place) for s in found]
+    return fit_places(names, np.array([i for k in index for i in k], np.int64), np.array([len(k) for k in index], np.int64), np.array(labels, int))
+
+
+def fit_places(names: list[str], places: np.ndarray, sizes: np.ndarray, y: np.ndarray) -> Model:
+    """The model of labelled rows; ``places`` (in ``names``) are those of the first row, the second and so on, ``sizes`` of each."""
     if len(y) == 0 or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Model(offset=float(np.log(share / (1 - share))))
-    often = Counter(k for s in found for k in s)
-    names = {k: i for i, k in enumerate(sorted((k for k, n in often.items() if n >= min(LEAST_ROWS, len(y)))))}
-    index = [np.fromiter((names[k] for k in s if k in names), np.int64) for s in found]
-    counts = np.ones((2, len(names)))
-    for k, label in zip(index, y, strict=True):
-        counts[label][k] += 1
+    counts = np.array([1 + np.bincount(places[np.repeat(y, sizes) == label], minlength=len(names)) for label in (0, 1)], float)
     ratios = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-
-    def row(k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        v = ratios[k]
-        return k, v / max(float(np.sqrt(v @ v)), 1e-6)
-
-    rows = [row(k) for k in index]
+    values = ratios[places]
+    ends = np.cumsum(sizes)
+    rows = []
+    for start, end in zip(ends - sizes, ends, strict=True):
+        v = values[start:end]
+        v /= max(float(np.sqrt(v @ v)), 1e-6)
+        rows.append((places[start:end], v))
     apart = np.arange(len(y)) % 5 == 4
     if len({*y[apart]}) < 2 or len({*y[~apart]}) < 2:
         apart[:] = False
@@ -170,7 +177,7 @@ def fit(found: list[set[str]], labels: list[int]) -> Model:
     held = np.flatnonzero(apart) if apart.any() else seen
     margins = np.array([float(w[rows[i][0]] @ rows[i][1]) + bias for i in held])
     slope, offset = fit_logistic(margins, y[held])
-    weights = {name: (float(w[i] * ratios[i]), float(ratios[i] ** 2)) for name, i in names.items()}
+    weights = {name: (float(w[i] * ratios[i]), float(ratios[i] ** 2)) for i, name in enumerate(names)}
     return Model(weights, bias, slope, offset)
 
 
@@ -194,10 +201,24 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
     def found(texts: pd.Series) -> pd.Series:
         return pd.Series([list(indicators(t)) for t in texts])
 
+    key = ["_h", "doc_id", "label"]
     rows = labelled_sample(docs, labels, label, folds, fold, sample)
-    rows = rows.select("_h", "doc_id", "label", found("text").alias("found")).orderBy("_h", "doc_id", "label").limit(sample)
-    got = rows.select("label", "found").toPandas()
-    return fit([set(x) for x in got["found"]], got["label"].tolist())
+    rows = saved(rows.select(*key, found("text").alias("found")).orderBy(*key).limit(sample), "indicators")
+    often = rows.select(F.explode("found").alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    often = often.where(F.col("n") >= F.lit(min(LEAST_ROWS, rows.count()))).toArrow()
+    names = sorted(often.column("name").to_pylist())
+    shared = docs.sparkSession.sparkContext.broadcast({k: i for i, k in enumerate(names)})
+
+    @F.pandas_udf("array<int>")
+    def placed(sets: pd.Series) -> pd.Series:
+        place = shared.value
+        return pd.Series([sorted(place[k] for k in s if k in place) for s in sets])
+
+    # numbers in Arrow buffers: some MB for the whole sample, where its indicators as strings take some hundred
+    got = rows.select(*key, placed("found").alias("places")).orderBy(*key).select("label", "places").toArrow().combine_chunks()
+    places = got.column("places").combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int32()))
+    sizes = pc.list_value_length(places).to_numpy(zero_copy_only=False).astype(np.int64)
+    return fit_places(names, places.flatten().to_numpy(zero_copy_only=False).astype(np.int64), sizes, got.column("label").to_numpy().astype(int))
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:

@@ -8,8 +8,9 @@ import numpy as np
 import pytest
 import xxhash
 import zstandard
+from pyspark.sql import functions as F
 
-from tablesift.llm import bitsliced, chat, kmeans_tree, lines, mixing, packing, quality, simhash, toxicity, warc
+from tablesift.llm import bitsliced, chat, kmeans_tree, lines, mixing, neardup, packing, quality, simhash, toxicity, warc
 from tablesift.llm.queries import VOCABULARY
 
 WORDS = [f"w{k}" for k in range(400)]
@@ -512,3 +513,45 @@ def test_near_duplicates_start_from_simhash(spark, monkeypatch):
     kept = neardup.one_per_group(spark.createDataFrame(rows, "doc_id long, text string"), words=5)
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2]
     assert len(seen) == 1 and len(seen[0]) == 1  # the near copy, by its fingerprint
+
+
+# --- what reaches the driver -------------------------------------------------------
+
+def test_quality_sends_the_driver_numbers_and_no_lists_of_strings(spark, monkeypatch):
+    kind, sent = type(spark.range(0)), []
+    for name in ("collect", "toPandas", "toArrow"):
+        def seen(self, *args, call=getattr(kind, name), **more):
+            sent.append(self.schema.simpleString())
+            return call(self, *args, **more)
+        monkeypatch.setattr(kind, name, seen)
+    rng = random.Random(11)
+    texts = [sentence(rng, 20) if k % 2 else f"{sentence(rng, 12)} ## {k}" for k in range(60)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(62)], "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    assert sent and not any("array<string>" in s for s in sent)
+    rows = quality.labelled_sample(docs, labels, "quality", 5, 0, 100).orderBy("_h", "doc_id", "label").collect()
+    want = quality.fit([quality.indicators(r["text"]) for r in rows], [r["label"] for r in rows])
+    assert model.weights.keys() == want.weights.keys() and len(want.weights) > 10
+    for t in texts:
+        assert model.score(quality.indicators(t)) == pytest.approx(want.score(quality.indicators(t)), abs=1e-9)
+    empty = quality.train(docs.limit(0), labels)
+    assert (empty.weights, empty.offset) == ({}, 0.0)
+
+
+def test_tables_of_numbers_reach_the_driver_as_arrow(spark, monkeypatch):
+    rng = random.Random(12)
+    docs = docs_of(spark, [(k, f"{sentence(rng, 9)}\n{sentence(rng, 4)}") for k in range(40)])
+    counts = Counter(int(lines._hash_array([w])[0]) % lines.BUCKETS for r in docs.collect() for w in lines._small(r["text"]).split())
+    monkeypatch.setattr(type(docs), "collect", lambda self: pytest.fail("rows as Python objects"))
+    ranks = lines._ranks(docs)
+    assert np.argsort(ranks).tolist() == sorted(range(lines.BUCKETS), key=lambda b: (counts[b], b))
+    marks = lines._marks(spark.range(50).select(F.col("id").alias("w")))
+    assert 0 < sum(int(x).bit_count() if x >= 0 else 64 - int(~x).bit_count() for x in marks) <= 50
+    assert not lines._marks(spark.range(0).select(F.col("id").alias("w"))).any()
+    monkeypatch.setattr(neardup, "SAMPLE", 1)
+    monkeypatch.setattr(neardup, "FREQUENT", 2)
+    doubled = docs.unionAll(docs)
+    tokens, n = neardup.frequent_shingles(doubled, 5)
+    assert (tokens[1:] > tokens[:-1]).all() and len(tokens) and (n >= 2).all()
+    assert not len(neardup.frequent_shingles(docs.limit(0), 5)[0])
