@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from uuid import uuid4
 
+import numpy as np
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +88,30 @@ def key_rank(df: DataFrame, group: list[str], order: Column, ties: list[Column],
         "_order", "_range", "_inner", "_before", "_r", *[f"_g{i}" for i in range(len(group))])
 
 
+def bit_marks(rows: DataFrame, bit: Column, size: int) -> np.ndarray:
+    """A bit set of ``size`` bits, as longs, that has the bit (a number from 0 to ``size`` - 1) of every row."""
+    words = rows.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+    out = np.zeros(size // 64, np.int64)
+    got = words.toArrow()  # size / 64 rows at most
+    out[got.column("at").to_numpy()] = got.column("bits").to_numpy()
+    return out
+
+
+def marks_at(marks: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return (marks[bits >> 6] >> (bits & 63)) & 1 == 1
+
+
+def marked(spark: SparkSession, marks: np.ndarray) -> Callable[[Column], Column]:
+    """A test of a column of bit numbers: whether the bit is set."""
+    shared = spark.sparkContext.broadcast(marks)
+
+    @F.pandas_udf("boolean")
+    def is_set(bits: pd.Series) -> pd.Series:
+        return pd.Series(marks_at(shared.value, bits.to_numpy()))
+
+    return is_set
+
+
 def require(df: DataFrame, *columns: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:

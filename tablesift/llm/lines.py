@@ -38,13 +38,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import require, saved
+from .common import bit_marks, marked, require, saved
 
 BITS = 14
 BUCKETS = 1 << BITS
@@ -79,6 +78,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text in batch.column("text").to_pylist():
             total += np.bincount(_hash_array(_small(text).split()) & np.uint64(BUCKETS - 1), minlength=BUCKETS)
+    _hashes.clear()  # the worker lives on, for other stages
     yield pa.RecordBatch.from_pydict({"bucket": np.arange(BUCKETS), "n": total})
 
 
@@ -148,6 +148,7 @@ def _coded(docs: DataFrame, ranks: np.ndarray, whole: bool) -> DataFrame:
                     out |= {"n": pa.array(got["n"]), "prefix": pa.ListArray.from_arrays(pa.array(offsets), pa.array(got["prefix"]))}
                     out |= {c: pa.array(got[c]) for c in ("p1", "p2")}
                 yield pa.RecordBatch.from_pydict(out)
+        _hashes.clear()  # the worker lives on, for other stages
 
     schema = "doc_id long, hash long, no int, c1 long, c2 long" + (", n int, prefix array<int>, p1 long, p2 long" if whole else "")
     return _keyed(docs).mapInArrow(coded, schema)
@@ -159,30 +160,22 @@ def _place() -> Column:
     return F.coalesce(F.col("doc_id"), F.lit((1 << 39) - 1)) * LINES + line
 
 
+def _bit(place: str) -> Column:
+    return F.xxhash64(place).bitwiseAND(F.lit(MARKS - 1).cast("long"))
+
+
 def _marks(places: DataFrame) -> np.ndarray:
     """A bit set, of bounded size, in which every place has its bit."""
-    bit = F.xxhash64("w").bitwiseAND(F.lit(MARKS - 1).cast("long"))
-    words = places.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(xxhash64(w) & 63 as int))")).alias("bits"))
-    out = np.zeros(MARKS // 64, np.int64)
-    got = words.toArrow()  # MARKS / 64 rows at most
-    out[got.column("at").to_numpy()] = got.column("bits").to_numpy()
-    return out
+    return bit_marks(places, _bit("w"), MARKS)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (first, earlier) of places whose words are 4/5 similar."""
     pairs = saved(pairs, "pairs")
     ends = saved(pairs.select(F.col("first").alias("w")).union(pairs.select("earlier")).distinct(), "ends")
-    marks = docs.sparkSession.sparkContext.broadcast(_marks(ends))
     lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
-
-    @F.pandas_udf("boolean")
-    def marked(bits: pd.Series) -> pd.Series:
-        b = bits.to_numpy()
-        return pd.Series((marks.value[b >> 6] >> (b & 63)) & 1 == 1)
-
     lines = lines.select(_place().alias("place"), "line")
-    lines = lines.where(marked(F.xxhash64("place").bitwiseAND(F.lit(MARKS - 1).cast("long"))))
+    lines = lines.where(marked(docs.sparkSession, _marks(ends))(_bit("place")))
     spaced = F.lower("line")
     for space in "\t\r\f\v":
         spaced = F.replace(spaced, F.lit(space), F.lit(" "))

@@ -555,3 +555,43 @@ def test_tables_of_numbers_reach_the_driver_as_arrow(spark, monkeypatch):
     tokens, n = neardup.frequent_shingles(doubled, 5)
     assert (tokens[1:] > tokens[:-1]).all() and len(tokens) and (n >= 2).all()
     assert not len(neardup.frequent_shingles(docs.limit(0), 5)[0])
+
+
+# --- what the executors hold and move ----------------------------------------------
+
+def test_near_duplicates_move_no_texts_of_pairs_that_sketches_tell_apart(spark, monkeypatch):
+    rng = random.Random(31)
+    shared = "one line of five words"
+    rows = [(k, f"{shared} " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(14))) for k in range(12)]
+    base = [f"v{rng.randrange(10**6)}" for _ in range(80)]
+    rows += [(100, " ".join(base)), (101, " ".join([*base[:-3], "x", "y", "z"]))]
+    tested, plain = [], neardup.saved
+
+    def watched(df, kind="table"):
+        out = plain(df, kind)
+        if kind == "alike":
+            tested.extend((r.a, r.b, r.same) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(neardup, "FREQUENT", 100)  # no shingle is listed, so the shared ones are candidates
+    monkeypatch.setattr(neardup, "saved", watched)
+    kept = neardup.one_per_group(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), words=5)
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(12), 100]
+    assert [same for _, _, same in tested] == [True]
+
+
+def test_sketches_never_tell_similar_sets_apart():
+    rng = np.random.default_rng(5)
+    for n in (1, 9, 40, 700, 5000):
+        a = rng.integers(0, 1 << 64, n, np.uint64, endpoint=False)
+        b = np.concatenate([a[n // 9:], rng.integers(0, 1 << 64, n // 9, np.uint64, endpoint=False)])
+        differ = int(np.bitwise_count((neardup.sketch_of(a) ^ neardup.sketch_of(b)).view(np.uint64)).sum())
+        assert differ <= 2 * (n // 9) and len(neardup.sketch_of(a)) * 64 == neardup.PARITY
+
+
+def test_line_dedup_leaves_no_word_hashes_in_the_worker():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"text": ["some words here", None, "and more"]})
+    assert sum(b.column("n").to_numpy().sum() for b in lines._word_counts(iter([batch]))) == 5
+    assert not lines._hashes
