@@ -49,9 +49,9 @@ from .warc import file_system
 
 WORDS = 100_000
 LONGEST = 64
-CHUNK = 4 << 20
+CHUNK = 1 << 20  # of 4 << 20, a worker's word lists alone take some 60 MB more, and it is no faster
 COUNTED = 200_000  # words a task counts before it hands them on
-REMEMBERED = 300_000  # merged words a process keeps
+REMEMBERED = 100_000  # merged words a process keeps, at some 400 bytes each
 #: The vocabulary's pattern of words, and the mark of a word's end.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"

@@ -147,3 +147,20 @@ def test_ascii_words_are_those_of_the_pattern():
     for _ in range(3000):
         text = "".join(chr(rng.randrange(128)) if rng.random() < 0.4 else rng.choice("abtsrevmld' '1.") for _ in range(rng.randint(0, 30)))
         assert bpe.ASCII_WORD.findall(text.lower()) == vocab.word.findall(text.lower())
+
+
+def test_an_encoder_holds_few_words_at_a_time(tmp_path):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    (tmp_path / "lexicon").write_bytes(lexicon.compiled([(b"word", (1,))]))
+    of = bpe.Encoder(WORD_VOCABULARY, lexicon.Lexicon(str(tmp_path / "lexicon")))
+    texts = pa.array([" ".join(f"w{(k * 211 + j) % 9000}" for j in range(2000)) for k in range(400)])  # 4.6 million characters
+    tracemalloc.start()
+    try:
+        n = sum(len(ids) for chunk in bpe.text_chunks(texts) for ids in of(chunk))
+        peak = tracemalloc.get_traced_memory()[1]
+        assert n > 400 * 2000 and peak < 30e6
+    finally:
+        tracemalloc.stop()
