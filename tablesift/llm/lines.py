@@ -8,11 +8,11 @@ line before it, in the order of (doc_id, line number), matches it.
 join, all its other lines match that one. So the most common line costs one row.
 
 **Prefix join.** Words become 63-bit codes that sort by rarity: first the rank of the
-word's bucket (one of 16,384) by corpus count, then hash bits. Two sets of sizes n and m
+word's bucket (one of 262,144) by corpus count, then hash bits. Two sets of sizes n and m
 that match share one of the rarest n - ceil(4n/5) + 1 codes of each. Those prefix codes
 (their upper 32 bits, as a collision here only adds a candidate) are dealt out once and
 joined with themselves, with the length filter (4/5 n <= m <= 5/4 n), the positional
-filter (what is left after the two positions suffices) and a parity filter (each differing
+filter (from the first shared code on, enough is left of both) and a parity filter (each differing
 word flips one bit of a 128-bit sum, and only (n+m)/9 words may differ). What passes is
 verified by the words.
 
@@ -23,9 +23,8 @@ row for each member, not for each pair. Which codes are hot is seen from every e
 class; that decides who is compared first, not what is found, as all others go through
 the join with all classes.
 
-**Style.** The words are coded in Python, all joins and groupings are Spark's. With
-built-in functions alone (split, transform, sort_array) coding took 310 CPU seconds a GB
-and counting 100, out of 400 for the whole operator; see the README.
+**Style.** All of it is built-in functions, joins and groupings of Spark; no Python runs on the executors. A line's words
+become an array of hashes by one lambda and of codes by another, never rows of their own but to be counted.
 
 Null and empty texts stay as they are, as do lines without words. doc_id must be a whole
 number (below 2^39, and a text below 2^24 lines, else the job fails); a null one comes
@@ -43,30 +42,23 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_marks, marked, require, saved
+from .common import bit_marks, require, saved
 
-BITS = 14
+BITS = 18
 BUCKETS = 1 << BITS
 HOT = 40
 SAMPLED = 8  # one class in so many is counted to find hot codes
 LINES = 1 << 24
 MARKS = 1 << 22  # bits of the filter for lines to verify
-CACHED = 700_000  # words a Python worker remembers the hashes of
+SPACES = "\t\r\f\v"
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED:
-            self.clear()
-        out = self[word] = xxhash.xxh3_64_intdigest(word)
-        return out
-
-
-_hashes = _Hashes()
+_hashes: dict[bytes, int] = {}
 
 
 def _hash_array(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    """Spark's ``xxhash64`` of words, for tests."""
+    return np.array([xxhash.xxh64_intdigest(w, seed=42) for w in words], np.uint64)
 
 
 def _small(text: str | None) -> bytes:
@@ -74,84 +66,76 @@ def _small(text: str | None) -> bytes:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What ``_ranks`` counts, in plain Python, for tests."""
     total = np.zeros(BUCKETS, np.int64)
     for batch in batches:
         for text in batch.column("text").to_pylist():
             total += np.bincount(_hash_array(_small(text).split()) & np.uint64(BUCKETS - 1), minlength=BUCKETS)
-    _hashes.clear()  # the worker lives on, for other stages
     yield pa.RecordBatch.from_pydict({"bucket": np.arange(BUCKETS), "n": total})
 
 
-def _ranks(docs: DataFrame) -> np.ndarray:
-    """The rank by count of each of the buckets."""
-    counts = docs.select("text").mapInArrow(_word_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+def _listed(values: np.ndarray, kind: str) -> Column:
+    """The numbers as one constant array (folded from its text, as a constant for each is slow to build)."""
+    return F.split(F.lit(",".join(map(str, values.tolist()))), ",").cast(f"array<{kind}>")
+
+
+def _spaced(line: Column) -> Column:
+    """The line in small letters with its words parted by spaces."""
+    odd = F.contains(line, F.lit(SPACES[0]))
+    for space in SPACES[1:]:
+        odd = odd | F.contains(line, F.lit(space))
+    return F.lower(F.when(odd, F.translate(line, SPACES, " " * len(SPACES))).otherwise(line))
+
+
+def _hashed(line: Column) -> Column:
+    """The hashes of a line's words, repeats included."""
+    return F.array_remove(F.transform(F.split(_spaced(line), " "), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
+
+
+def _counts(docs: DataFrame) -> np.ndarray:
+    """How many words each of the buckets has."""
+    spaced = F.replace("text", F.lit("\n"), F.lit(" "))
+    buckets = F.transform(_hashed(spaced), lambda h: h.bitwiseAND(F.lit(BUCKETS - 1).cast("long")).cast("int"))
+    # the array in a step of its own, as the one with a lambda is not compiled as a whole
+    counts = docs.select(buckets.alias("buckets")).select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     seen, got = np.zeros(BUCKETS, np.int64), counts.toArrow()
     seen[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
+    return seen
+
+
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """The counts on a scale of 1/4 octaves (a byte each, which Spark holds without an object for each)."""
+    return np.minimum(np.round(4 * np.log2(counts + 1)), 127).astype(np.int64)
+
+
+def _ranks(docs: DataFrame) -> np.ndarray:
+    """The rank by count of each of the buckets."""
+    seen = _counts(docs)
     ranks = np.empty(BUCKETS, np.uint64)
     ranks[np.argsort(seen, kind="stable")] = np.arange(BUCKETS, dtype=np.uint64)
     return ranks
 
 
-def coded_lines(texts: list[str | None], ranks: np.ndarray) -> dict[str, np.ndarray]:
-    """For each line with words: text (its index), no, class c1 and c2, n, prefix codes (all lines' in
-    one array, ``lengths`` each) and two longs of parity bits."""
-    words: list[bytes] = []
-    text, no, sizes = [], [], []
-    for i, t in enumerate(texts):
-        for k, line in enumerate(_small(t).split(b"\n")):
-            if found := line.split():
-                words += found
-                text.append(i)
-                no.append(k)
-                sizes.append(len(found))
-    hashes = _hash_array(words)
-    line = np.repeat(np.arange(len(sizes)), sizes)
-    codes = (ranks[hashes & np.uint64(BUCKETS - 1)] << np.uint64(63 - BITS)) | (hashes >> np.uint64(BITS + 1))
-    order = np.lexsort((codes, line))
-    line, codes, hashes = line[order], codes[order], hashes[order]
-    new = np.ones(len(line), bool)
-    new[1:] = (line[1:] != line[:-1]) | (codes[1:] != codes[:-1])
-    line, codes, hashes = line[new], codes[new], hashes[new]
-    n = np.bincount(line, minlength=len(sizes))
-    starts = np.cumsum(n) - n
-    mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-    bit = np.uint64(1) << (hashes >> np.uint64(58))
-    upper = (hashes >> np.uint64(57)) & np.uint64(1) == 1
-    lengths = n - (4 * n + 4) // 5 + 1
-    rarest = np.arange(len(line)) - starts[line] < lengths[line]
-    out = {"text": np.array(text, np.int64), "no": np.array(no, np.int32), "n": n.astype(np.int32), "lengths": lengths,
-           "prefix": ((codes[rarest] >> np.uint64(31)).astype(np.int64) - (1 << 31)).astype(np.int32)}
-    sums = (("c1", np.add, hashes), ("c2", np.add, mixed), ("p1", np.bitwise_xor, np.where(upper, bit, 0)), ("p2", np.bitwise_xor, np.where(upper, 0, bit)))
-    for name, add, values in sums:
-        out[name] = (add.reduceat(values, starts) if len(starts) else np.empty(0, np.uint64)).astype(np.uint64).view(np.int64)
-    return out
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("hash"), "text")
 
 
-def _coded(docs: DataFrame, ranks: np.ndarray, whole: bool) -> DataFrame:
-    """doc_id, hash (of the row), no (line number) and class of each line with words; ``whole``: also n, prefix and parity."""
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+def _coded(docs: DataFrame, levels: np.ndarray) -> DataFrame:
+    """doc_id, hash (of the row), no (line number), class c1 and c2, n (0 of a line without words), prefix and two longs of parity bits of each line."""
+    table, low = _listed(levels, "tinyint"), F.lit(BUCKETS - 1).cast("long")
+    lines = _keyed(docs).select("doc_id", "hash", F.posexplode(F.split("text", "\n")).alias("no", "line"))
 
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                got = coded_lines(part.column("text").to_pylist(), shared.value)
-                out = {c: part.column(c).take(pa.array(got["text"])) for c in ("doc_id", "hash")}
-                out |= {c: pa.array(got[c]) for c in ("no", "c1", "c2")}
-                if whole:
-                    offsets = np.concatenate([[0], np.cumsum(got["lengths"])]).astype(np.int32)
-                    out |= {"n": pa.array(got["n"]), "prefix": pa.ListArray.from_arrays(pa.array(offsets), pa.array(got["prefix"]))}
-                    out |= {c: pa.array(got[c]) for c in ("p1", "p2")}
-                yield pa.RecordBatch.from_pydict(out)
-        _hashes.clear()  # the worker lives on, for other stages
+    def code(h: Column) -> Column:
+        level = F.get(table, h.bitwiseAND(low).cast("int")).cast("long")
+        return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    schema = "doc_id long, hash long, no int, c1 long, c2 long" + (", n int, prefix array<int>, p1 long, p2 long" if whole else "")
-    return _keyed(docs).mapInArrow(coded, schema)
+    codes = F.sort_array(F.array_distinct(F.transform(_hashed(F.col("line")), code)))
+    lines = lines.select("doc_id", "hash", "no", codes.alias("codes")).withColumn("n", F.size("codes"))
+    # the hash bits of a code alone, which are spread evenly: one names the long, six the bit
+    parity = "aggregate(codes, 0L, (a, c) -> if((c & 64) = {}, a ^ shiftleft(1L, cast(c & 63 as int)), a))"
+    prefix = F.transform(F.slice("codes", 1, F.col("n") - F.ceil(F.col("n") * 4 / 5).cast("int") + 1), lambda c: F.shiftright(F.shiftleft(c, 32), 32).cast("int"))
+    return lines.select("doc_id", "hash", "no", F.xxhash64("codes").alias("c1"), F.xxhash64(F.lit(1), "codes").alias("c2"), "n", prefix.alias("prefix"),
+                        F.expr(parity.format(0)).alias("p1"), F.expr(parity.format(64)).alias("p2"))
 
 
 def _place() -> Column:
@@ -169,31 +153,37 @@ def _marks(places: DataFrame) -> np.ndarray:
     return bit_marks(places, _bit("w"), MARKS)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (first, earlier) of places whose words are 4/5 similar."""
-    pairs = saved(pairs, "pairs")
-    ends = saved(pairs.select(F.col("first").alias("w")).union(pairs.select("earlier")).distinct(), "ends")
+def _words(ends: DataFrame, docs: DataFrame) -> DataFrame:
+    """w, words: the words of the lines at the places ``w``."""
+    ends = saved(ends.distinct(), "ends")
     lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
     lines = lines.select(_place().alias("place"), "line")
-    lines = lines.where(marked(docs.sparkSession, _marks(ends))(_bit("place")))
-    spaced = F.lower("line")
-    for space in "\t\r\f\v":
-        spaced = F.replace(spaced, F.lit(space), F.lit(" "))
-    words = F.array_distinct(F.array_remove(F.split(spaced, " "), ""))
+    bit = _bit("place")
+    held = F.get(_listed(_marks(ends), "long"), F.shiftright(bit, 6).cast("int"))
+    lines = lines.where(F.call_function("bit_get", held, bit.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1)
+    words = F.array_distinct(F.array_remove(F.split(_spaced(F.col("line")), " "), ""))
     texts = lines.join(ends, F.col("place") == F.col("w")).select("w", words.alias("words"))
-    texts = saved(texts.distinct(), "words")
+    return saved(texts.distinct(), "words")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("first").alias("w")).union(pairs.select("earlier"))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (first, earlier) of places whose words (``texts``) are 4/5 similar."""
     both = pairs.join(texts.select(F.col("w").alias("w1"), F.col("words").alias("a")), F.col("first") == F.col("w1"))
     both = both.join(texts.select(F.col("w").alias("w2"), F.col("words").alias("b")), F.col("earlier") == F.col("w2"))
     return both.where(F.size(F.array_intersect("a", "b")) * 9 >= (F.size("a") + F.size("b")) * 4).select("first", "earlier")
 
 
 def _may_match(a: list[Column], b: list[Column]) -> Column:
-    """If two classes may match, by n, at, p1 and p2 of each; never with an n below zero."""
+    """If two classes may match and this may be their first shared code, by n, at, p1 and p2 of each; never with an n below zero."""
     n, at, p1, p2 = a
     n2, at2, q1, q2 = b
     need = F.floor(((n + n2) * 4 + 8) / 9)
     differ = F.bit_count(p1.bitwiseXOR(q1)) + F.bit_count(p2.bitwiseXOR(q2))
-    return ((n * 4 <= n2 * 5) & (n2 * 4 <= n * 5) & (F.least(n - at, n2 - at2) + F.least(at, at2) >= need)
+    return ((n * 4 <= n2 * 5) & (n2 * 4 <= n * 5) & (F.least(n - at, n2 - at2) >= need)
             & (differ <= n + n2 - 2 * need))
 
 
@@ -215,7 +205,8 @@ def matched_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     led = led.join(left, F.col("first") == F.col("f1")).join(right, F.col("earlier") == F.col("f2"))
     differ = F.bit_count(F.col("a1").bitwiseXOR(F.col("a2"))) + F.bit_count(F.col("b1").bitwiseXOR(F.col("b2")))
     led = led.where(differ * 9 <= F.col("n") + F.col("n2")).select("first", "earlier")
-    settled = saved(_verified(led, docs).select("first").distinct(), "settled")
+    led = saved(led, "pairs")
+    settled = saved(_verified(led, _words(_ends(led), docs)).select("first").distinct(), "settled")
     # settled classes stay as partners; with a length below zero they find none themselves
     marked = classes.join(settled.select(F.col("first").alias("s")), F.col("first") == F.col("s"), "left")
     marked = marked.withColumn("n", F.when(F.col("s").isNull(), F.col("n")).otherwise(-F.col("n")))
@@ -229,23 +220,26 @@ def matched_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     pairs = saved(pairs.distinct(), "candidates")
     # one earlier match is all it takes: first the likeliest candidate of each class, then all of those it doesn't settle
     likely = pairs.groupBy("first").agg(F.min(F.struct("differ", "earlier")).alias("best")).select("first", F.col("best.earlier").alias("earlier"))
-    near = saved(_verified(likely, docs).select("first").distinct(), "near")
+    texts = _words(_ends(pairs), docs)
+    near = saved(_verified(likely, texts).select("first").distinct(), "near")
     rest = pairs.join(near.select(F.col("first").alias("s")), F.col("first") == F.col("s"), "left_anti")
-    found = _verified(rest.select("first", "earlier"), docs)
+    found = _verified(rest.select("first", "earlier"), texts)
     return settled.unionByName(near).unionByName(found.select("first")).distinct()
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, hash and lines (the numbers of the lines to remove) of each row that loses some."""
     require(docs, "doc_id", "text")
-    ranks = _ranks(docs)
+    levels = _levels(_counts(docs))
     first = [F.first(c).alias(c) for c in ("n", "prefix", "p1", "p2")]
-    classes = _coded(docs, ranks, True).groupBy("c1", "c2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("rows"), *first)
+    # tested after it is written: before, Spark would code each line for the test and once more
+    coded = saved(_coded(docs, levels), "coded").where(F.col("n") > 0)
+    classes = coded.groupBy("c1", "c2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("rows"), *first)
     classes = saved(classes, "classes")
     matched = saved(matched_classes(classes.select("first", "n", "prefix", "p1", "p2"), docs), "matched").select(F.col("first").alias("s"))
     marked = classes.join(matched, F.col("first") == F.col("s"), "left").where(F.col("s").isNotNull() | (F.col("rows") > 1))
     marked = saved(marked.select(F.col("c1").alias("d1"), F.col("c2").alias("d2"), "first", F.col("s").isNotNull().alias("matched")), "marked")
-    own = _coded(docs, ranks, False).join(marked, (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2")))
+    own = coded.select("doc_id", "hash", "no", "c1", "c2").join(marked, (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2")))
     gone = own.where(F.col("matched") | (_place() != F.col("first")))
     return gone.groupBy("doc_id", "hash").agg(F.sort_array(F.collect_set("no")).alias("lines"))
 

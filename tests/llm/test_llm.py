@@ -595,3 +595,34 @@ def test_line_dedup_leaves_no_word_hashes_in_the_worker():
     batch = pa.RecordBatch.from_pydict({"text": ["some words here", None, "and more"]})
     assert sum(b.column("n").to_numpy().sum() for b in lines._word_counts(iter([batch]))) == 5
     assert not lines._hashes
+
+
+def test_line_dedup_runs_no_python_on_the_executors(spark, monkeypatch):
+    plans, plain = [], lines.saved
+
+    def watched(df, kind="table"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, kind)
+
+    monkeypatch.setattr(lines, "saved", watched)
+    monkeypatch.setattr(lines, "HOT", 3)
+    rng = random.Random(14)
+    base = [sentence(rng, 12) for _ in range(4)]
+    rows = [(k, "\n".join(f"{rng.choice(base)} x{rng.randrange(9)}" for _ in range(4))) for k in range(40)]
+    docs = spark.createDataFrame(spark.createDataFrame(rows, "doc_id long, text string").toArrow()).repartition(3)
+    out = lines.without_repeated_lines(docs)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert not any(name in plan for plan in plans for name in ("ArrowEvalPython", "MapInArrow", "MapInPandas", "BatchEvalPython"))
+    want = brute_removed(rows)
+    assert {r["doc_id"]: r["text"].count("\n") + bool(r["text"]) for r in out.collect()} == {i: 4 - len(want[i]) for i, _ in rows}
+
+
+def test_lines_are_parted_by_ascii_white_space(spark):
+    rows = [(1, "one two\tthree"), (2, "ONE\x0btwo \x0c three\r"), (3, " \t\r\x0b\n\x0c"), (4, "one two three")]
+    got = {r["doc_id"]: r["text"] for r in lines.without_repeated_lines(docs_of(spark, rows)).collect()}
+    assert got == dict(rows) | {2: ""}
+    counts = lines._counts(docs_of(spark, rows))
+    want = np.zeros(lines.BUCKETS, np.int64)
+    for _, t in rows:
+        np.add.at(want, (lines._hash_array(lines._small(t).split()) & np.uint64(lines.BUCKETS - 1)).astype(int), 1)
+    assert counts.tolist() == want.tolist()
