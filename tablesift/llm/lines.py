@@ -96,8 +96,9 @@ def _counts(docs: DataFrame) -> np.ndarray:
     """How many words each of the buckets has."""
     spaced = F.replace("text", F.lit("\n"), F.lit(" "))
     buckets = F.transform(_hashed(spaced), lambda h: h.bitwiseAND(F.lit(BUCKETS - 1).cast("long")).cast("int"))
-    # the array in a step of its own, as the one with a lambda is not compiled as a whole
-    counts = docs.select(buckets.alias("buckets")).select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    # the array in a step of its own, as one with a lambda is not compiled with the rest; outer, as Spark else tests the array first and makes it twice
+    counts = docs.select(buckets.alias("buckets")).select(F.explode_outer("buckets").alias("bucket")).where(F.col("bucket").isNotNull())
+    counts = counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     seen, got = np.zeros(BUCKETS, np.int64), counts.toArrow()
     seen[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
     return seen
@@ -181,10 +182,9 @@ def _may_match(a: list[Column], b: list[Column]) -> Column:
     """If two classes may match and this may be their first shared code, by n, at, p1 and p2 of each; never with an n below zero."""
     n, at, p1, p2 = a
     n2, at2, q1, q2 = b
-    need = F.floor(((n + n2) * 4 + 8) / 9)
+    both = n + n2
     differ = F.bit_count(p1.bitwiseXOR(q1)) + F.bit_count(p2.bitwiseXOR(q2))
-    return ((n * 4 <= n2 * 5) & (n2 * 4 <= n * 5) & (F.least(n - at, n2 - at2) >= need)
-            & (differ <= n + n2 - 2 * need))
+    return (n * 4 <= n2 * 5) & (n2 * 4 <= n * 5) & ((n - at) * 9 >= both * 4) & ((n2 - at2) * 9 >= both * 4) & (differ * 9 <= both)
 
 
 def matched_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
