@@ -307,3 +307,31 @@ def test_best_pairs_by_segments_are_the_best(spark, monkeypatch):
         got = {(r.search, r.name) for r in found if r.score == best[r.search]}
         want = {(s, n) for s in left for n in right if fn(s, n) >= 70 and fn(s, n) == max(fn(s, m) for m in right)}
         assert got == want
+
+
+def test_full_word_sets_need_no_pairs_of_all(spark, monkeypatch):
+    from tablesift.operators import names as operator
+
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 6))) for _ in range(60)]
+    rows = [("the of " + " ".join(rng.sample(words, rng.randint(1, 4))), f"E{k}") for k in range(120)]
+    rows += [("the of", "E120"), ("the", "E121"), ("xyz quite other", "E122"), ("ab", "E123")]
+    asked = [" ".join(reversed(n.split())) for n, _ in rows] + ["the of " + words[0][:-1] + " " + words[1], "xyz quit other", "no such thing", "x the"]
+    compared = []
+    every = operator.qualifying_pairs
+
+    def counted(searches, *rest):
+        compared.append(searches.count())
+        return every(searches, *rest)
+
+    monkeypatch.setattr(operator, "qualifying_pairs", counted)
+    monkeypatch.setattr(operator, "KEY_COST", 1, raising=False)
+    for scorer in ("token_set_ratio", "token_ratio"):
+        def found(direct, scorer=scorer):
+            out = match_names(searches(spark, *asked), names(spark, *rows), "name", "entity_id", 85, scorer=scorer, direct_pairs=direct)
+            return sorted(map(str, out.collect()))
+
+        staged, direct = found(0), found(10**9)
+        assert staged == direct and len(staged) >= len(asked)
+        # all words of the reordered names are in a name, so they are not compared with all names
+        assert compared[-2] < 8 < compared[-1]
