@@ -335,3 +335,32 @@ def test_full_word_sets_need_no_pairs_of_all(spark, monkeypatch):
         assert staged == direct and len(staged) >= len(asked)
         # all words of the reordered names are in a name, so they are not compared with all names
         assert compared[-2] < 8 < compared[-1]
+
+
+def test_few_windows_are_scored(monkeypatch):
+    from tablesift.functions import pair_scores as ps
+
+    rng = random.Random(8)
+    monkeypatch.setattr(ps, "NARROW", 4, raising=False)  # words of 16, 32 and 64 bits
+    scored, lcs = [], ps.lcs
+
+    def counted(a, b, ai, bi, *pieces):
+        scored.append(len(ai))
+        return lcs(a, b, ai, bi, *pieces)
+
+    monkeypatch.setattr(ps, "lcs", counted)
+    for longest in (12, 30, 70, 140):
+        a = ps.Texts([""] + ["".join(rng.choices("abcdé ", k=rng.randint(1, longest))) for _ in range(24)])
+        b = ps.Texts(["", *a.texts[3:6]] + ["".join(rng.choices("abcdü ", k=rng.randint(1, longest + 8))) for _ in range(24)])
+        table = ps.lcs_table(a, slice(2, 25), b)
+        assert table.tolist() == [[scorers.lcs_length(x, y) for y in b.texts] for x in a.texts[2:]]
+        for floor in (0, 60, 80, 100):
+            scored.clear()
+            got = {(i, j): s for part in ps.scored_block("partial_ratio", a, b, floor) for i, j, s in zip(*(p.tolist() for p in part))}
+            plain = {(i, j): scorers.partial_ratio(x, y) for i, x in enumerate(a.texts) for j, y in enumerate(b.texts)}
+            assert got == pytest.approx({k: s for k, s in plain.items() if s >= floor and s > 0})
+        # most windows cannot reach the floor, as what comes before their end and after their start tells
+        scored.clear()
+        list(ps.scored_block("partial_ratio", a, b, 60))
+        windows = sum(len(x) + len(y) for x in a.texts for y in b.texts if x and y)
+        assert sum(scored) <= windows / 4
