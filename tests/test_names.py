@@ -341,7 +341,6 @@ def test_few_windows_are_scored(monkeypatch):
     from tablesift.functions import pair_scores as ps
 
     rng = random.Random(8)
-    monkeypatch.setattr(ps, "NARROW", 4, raising=False)  # words of 16, 32 and 64 bits
     scored, lcs = [], ps.lcs
 
     def counted(a, b, ai, bi, *pieces):
